@@ -1,0 +1,27 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from weft.session import session_builder  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    warehouse = tmp_path_factory.mktemp("warehouse")
+    builder = session_builder(
+        "weft-tests",
+        master="local[8]",
+        shuffle_partitions=8,
+        settings={
+            "spark.ui.enabled": "false",
+            "spark.sql.warehouse.dir": str(warehouse),
+            "spark.driver.memory": "4g",
+        },
+    )
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
