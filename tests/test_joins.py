@@ -1,0 +1,146 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.plans import exchanges, explain
+from weft.operators.hotkeys import hot_keys, largest_group, spread
+from weft.operators.joins import HOWS, cogroup_chunks, equi_join
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+@pytest.fixture
+def pairs(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2)], "k string, l int")
+    right = spark.createDataFrame([("a", 1), ("c", 2), ("d", 2), ("a", 2)], "k string, r int")
+    return left, right
+
+
+@pytest.mark.parametrize(
+    "how,expected",
+    [
+        ("inner", [("a", 1, 1), ("a", 1, 2)]),
+        ("left", [("a", 1, 1), ("a", 1, 2), ("b", 2, None)]),
+        ("right", [("a", 1, 1), ("a", 1, 2), ("c", None, 2), ("d", None, 2)]),
+        ("full", [("a", 1, 1), ("a", 1, 2), ("b", 2, None), ("c", None, 2), ("d", None, 2)]),
+    ],
+)
+def test_small_joins(pairs, how, expected):
+    left, right = pairs
+    assert rows(equi_join(left, right, ["k"], how)) == Counter(expected)
+    assert rows(equi_join(left, right, ["k"], how, hot_rows=0)) == Counter(expected)
+    assert rows(equi_join(left, right, ["k"], how, hot_rows=None)) == Counter(expected)
+
+
+def skewed(spark, seed, name):
+    rng = random.Random(seed)
+    keys = ["hot"] * 6 + [None] * 3 + list("abcdefgh"[seed : seed + 5])
+    body = [(rng.choice(keys), rng.choice([1, None]), rng.randint(0, 4)) for _ in range(160)]
+    # Copies of one row, as many as a hot group would have.
+    body += [("hot", 1, 7)] * 60
+    return spark.createDataFrame(body, f"k string, j int, {name} int")
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+@pytest.mark.parametrize("on", [["k"], ["k", "j"]])
+@pytest.mark.parametrize("how", HOWS)
+def test_split_join_equals_plain_join(spark, how, on, partitions):
+    left = skewed(spark, 0, "l").repartition(partitions)
+    right = skewed(spark, 3, "r").repartition(partitions)
+    if on == ["k"]:
+        left, right = left.drop("j"), right.drop("j")
+    plain = rows(left.join(right, on, how))
+    for limit in (10, 70):
+        assert rows(equi_join(left, right, on, how, hot_rows=limit)) == plain
+
+
+@pytest.mark.parametrize("how", HOWS)
+def test_join_with_an_empty_side(spark, how):
+    full = skewed(spark, 0, "l").drop("j")
+    empty = skewed(spark, 1, "r").drop("j").filter("r > 99")
+    for left, right in ((full, empty), (empty, full)):
+        assert rows(equi_join(left, right, ["k"], how, hot_rows=5)) == rows(
+            left.join(right, ["k"], how)
+        )
+
+
+def test_join_refuses_unclear_requests(pairs):
+    left, right = pairs
+    with pytest.raises(ValueError):
+        equi_join(left, right, ["k"], "cross")
+    with pytest.raises(ValueError, match="rename"):
+        equi_join(left.withColumnRenamed("l", "r"), right, ["k"])
+
+
+def test_hot_keys_are_bounded_and_cut(spark):
+    df = skewed(spark, 0, "l")
+    assert hot_keys(df, ["k"], 1_000) == {}
+    found = hot_keys(df, ["k"], 20)
+    assert ("hot",) in found and (None,) in found
+    assert len(hot_keys(df, ["k"], 0)) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert largest_group(df, ["k"]) == max(r["count"] for r in df.groupBy("k").count().collect())
+    assert largest_group(df.filter("l > 99"), ["k"]) == 0
+
+
+def test_spread_cuts_copies_of_one_row(spark):
+    df = spark.range(0, 8_000, 1, 8).select(F.lit("hot").alias("k"))
+    cut = spread(df, ["k"], cut={("hot",): 4}, copy={})
+    sizes = {r["_salt"]: r["count"] for r in cut.groupBy("_salt").count().collect()}
+    assert sum(sizes.values()) == 8_000
+    assert set(sizes) <= set(range(4)) and len(sizes) > 1
+    copied = spread(df, ["k"], cut={}, copy={("hot",): 4})
+    assert copied.count() == 32_000
+
+
+def test_uneven_keys_land_in_several_tasks(spark):
+    left = spark.range(20_000).select(F.lit("hot").alias("k"), F.col("id").alias("l"))
+    right = spark.createDataFrame([("hot", 1)], "k string, r int")
+    cut = spread(left, ["k"], cut=hot_keys(left, ["k"], 1_000), copy={})
+    sizes = [r["count"] for r in cut.groupBy("_salt").count().collect()]
+    assert max(sizes) < 2_500
+    assert equi_join(left, right, ["k"], hot_rows=1_000).count() == 20_000
+
+
+def test_only_bounded_sides_are_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+        right = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+        right = right.withColumnRenamed("o_custkey", "c_custkey")
+        plain = explain(equi_join(left, right, ["c_custkey"]))
+        assert "SortMergeJoin" in plain and "Broadcast" not in plain
+        counted = cogroup_chunks(
+            left.select("c_custkey", "c_nationkey"), right, ["c_custkey"], "c_nationkey", "o_orderkey"
+        )
+        assert "Join" not in explain(counted)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cogroup(spark):
+    left = spark.createDataFrame([("a", "1"), ("b", "2"), (None, "0")], "k string, l string")
+    right = spark.createDataFrame([("a", "x"), ("c", "2"), ("a", "y"), (None, "z")], "k string, r string")
+    found = {r.k: (r.left, r.right) for r in cogroup_chunks(left, right, ["k"], "l", "r").collect()}
+    assert found == {
+        "a": (["1"], ["x", "y"]), "b": (["2"], []), "c": ([], ["2"]), None: (["0"], ["z"]),
+    }
+
+
+def test_cogroup_of_large_groups_goes_on_in_further_rows(spark):
+    left = spark.range(25).select(F.lit("k").alias("k"), "id")
+    right = spark.range(7).select(F.lit("k").alias("k"), F.col("id").alias("r"))
+    out = cogroup_chunks(left, right, ["k"], "id", "r", chunk_rows=10).orderBy("chunk").collect()
+    assert [len(r.left) for r in out] == [10, 10, 5]
+    assert [len(r.right) for r in out] == [7, 0, 0]
+    assert [v for r in out for v in r.left] == list(range(25))
+
+
+def test_grouping_shuffles_partial_results_only(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    counts = df.groupBy("l_returnflag").count()
+    assert exchanges(counts) == 1
+    assert "partial_count" in explain(counts)

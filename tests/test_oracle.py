@@ -2,7 +2,6 @@
 
 import math
 import os
-from decimal import Decimal
 
 import duckdb
 import pytest
@@ -23,9 +22,16 @@ def duck():
     return connection
 
 
+DUCK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(value):
-    if isinstance(value, Decimal):
-        return int(value) if value == value.to_integral_value() else float(value)
     if isinstance(value, float) and math.isnan(value):
         return "NaN"
     return value
@@ -40,8 +46,11 @@ def table(columns, rows):
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, duck, name):
     df = queries()[name](spark, DIRECTORY)
+    sql = oracle_sql()[name]
+    types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {c: DUCK_TYPES[t] for c, t in df.dtypes} == types
     found = table(df.columns, df.collect())
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(sql)
     expected = table([d[0] for d in result.description], result.fetchall())
     assert found[0] == expected[0]
     assert len(found[1]) == len(expected[1])

@@ -1,0 +1,120 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.plans import explain, tree
+from weft.functions.text import (
+    characters,
+    clipped,
+    json_object,
+    labelled,
+    lines,
+    parse_delimited,
+    word_rows,
+    words,
+)
+from weft.operators.grouping import count_by_key
+
+LINES = [
+    ("a b a a", ["a", "b", "a", "a"]),
+    ("", [""]),
+    (" ", []),
+    ("   ", []),
+    ("  a", ["", "", "a"]),
+    ("a  ", ["a"]),
+    ("a  b", ["a", "", "b"]),
+    ("\t", ["\t"]),
+    ("a\tb c", ["a\tb", "c"]),
+    ("中 文", ["中", "文"]),
+    (None, None),
+]
+
+
+def test_words_rule(spark):
+    df = spark.createDataFrame(LINES, "line string, expected array<string>")
+    for row in df.select("line", "expected", words("line").alias("found")).collect():
+        assert row.found == row.expected, row.line
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_word_count_for_any_partitioning(spark, partitions):
+    df = spark.createDataFrame([("a b a a",), ("c a a",)], "line string").repartition(partitions)
+    found = {r.word: r.n for r in count_by_key(word_rows(df, "line"), "word").collect()}
+    assert found == {"a": 5, "b": 1, "c": 1}
+
+
+def test_word_count_plan_stays_in_the_engine(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    counts = count_by_key(word_rows(lines(df, "text"), "line"), "word")
+    text = explain(counts)
+    assert "Python" not in text and "MapPartitions" not in text
+    assert "ReadSchema: struct<text:string>" in text
+    # Partial and final aggregate around one exchange.
+    assert tree(counts).count("HashAggregate") == 2
+    assert tree(counts).count("Exchange") == 1
+
+
+def test_lines_keep_other_columns_and_empty_lines(spark):
+    df = spark.createDataFrame([(1, "a\n\nb"), (2, "")], "id int, text string")
+    found = [tuple(r) for r in lines(df, "text", "id").collect()]
+    assert sorted(found) == [(1, ""), (1, "a"), (1, "b"), (2, "")]
+
+
+def test_characters(spark):
+    df = spark.createDataFrame([("ab",)], "s string")
+    assert df.select(characters(F.concat("s", F.lit("a"))).alias("c")).first().c == ["a", "b", "a"]
+
+
+def test_label_and_json(spark):
+    df = spark.createDataFrame([("Andy", 30), ("Michael", None)], "name string, age long")
+    rows = df.select(
+        labelled(name="name", age="age").alias("l"), json_object(name="name", age="age").alias("j")
+    ).collect()
+    assert [r.l for r in rows] == ["name:Andy\tage:30", None]
+    assert [r.j for r in rows] == ['{"name":"Andy","age":30}', '{"name":"Michael"}']
+
+
+@pytest.mark.parametrize(
+    "width,text,expected",
+    [
+        (20, "x" * 20, "x" * 20),
+        (20, "x" * 21, "x" * 17 + "..."),
+        (3, "abcd", "abc"),
+        (20, None, None),
+        (5, "中文中文中文", "中文..."),
+    ],
+)
+def test_clipped(spark, width, text, expected):
+    df = spark.createDataFrame([(text,)], "s string")
+    assert df.select(clipped("s", width).alias("c")).first().c == expected
+
+
+PERSON = T.StructType([T.StructField("name", T.StringType()), T.StructField("age", T.LongType())])
+
+
+def test_parse_delimited(spark):
+    df = spark.createDataFrame([("Michael, 29",), ("Andy, 30",)], "value string")
+    parsed = parse_delimited(df, "value", PERSON)
+    assert parsed.dtypes == [("name", "string"), ("age", "bigint")]
+    assert [tuple(r) for r in parsed.collect()] == [("Michael", 29), ("Andy", 30)]
+
+
+@pytest.mark.parametrize("sep", ["\x01", ";", "|", ".", "::"])
+def test_parse_delimited_takes_the_separator_literally(spark, sep):
+    df = spark.createDataFrame([(f"val{sep} 7",)], "value string")
+    assert tuple(parse_delimited(df, "value", PERSON, sep=sep).first()) == ("val", 7)
+
+
+def test_parse_delimited_bad_numbers(spark):
+    df = spark.createDataFrame([("Andy, x",), ("Tom",)], "value string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|INVALID_ARRAY_INDEX"):
+        parse_delimited(df, "value", PERSON).collect()
+    found = [tuple(r) for r in parse_delimited(df, "value", PERSON, lenient=True).collect()]
+    assert found == [("Andy", None), ("Tom", None)]
+
+
+def test_upper_and_length_count_code_points(spark):
+    df = spark.createDataFrame([("straße",), ("a😀",)], "s string")
+    rows = df.select(F.upper("s").alias("u"), F.length("s").alias("n")).collect()
+    assert rows[0].u == "STRASSE"
+    assert rows[1].n == 2

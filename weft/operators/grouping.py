@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from weft.operators.hotkeys import largest_group
 from weft.operators.ordering import GROUP_ROWS, explode_range, quantiles, running_totals
+from weft.sources.scratch import stored
 
 CHUNK_ROWS = 10_000
 
@@ -56,14 +57,20 @@ def group_chunks(
     so neither a hot key nor a hot value gathers in one task.
     """
     pairs = df.select(*keys, F.col(value).alias("_v"))
-    if largest_group(pairs, keys) <= chunk_rows:
+    largest = largest_group(pairs, keys)
+    if largest <= chunk_rows:
         gathered = F.sort_array(F.collect_list(F.struct("_v")))
         groups = pairs.groupBy(*keys).agg(gathered.alias("_g"))
         return groups.select(
             *keys, F.lit(0).cast("long").alias("chunk"), F.col("_g")["_v"].alias("values")
         )
     runs = pairs.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_totals(runs, keys, ["_v"], "_n", group_rows=group_rows)
+    if largest > group_rows:
+        # Placed in two passes; the counts are not computed again for each.
+        runs, largest = stored(runs, "runs"), None
+    placed = running_totals(
+        runs, keys, ["_v"], "_n", group_rows=group_rows, largest=largest
+    )
     end = F.col("start") + F.col("_n")
     low, high = F.expr(f"start div {chunk_rows}"), F.expr(f"(start + _n - 1) div {chunk_rows}")
     pieces = explode_range(placed, low, high, "chunk")
@@ -114,12 +121,20 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 def summary(
     df: DataFrame, columns: list[str], shares: dict[str, float] | None = None
 ) -> DataFrame:
-    """:func:`describe` with exact quantiles, as text; one row per column."""
+    """:func:`describe` with exact quantiles, as text; one row per column.
+
+    Strings have no quantiles.
+    """
     shares = shares or {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     table = None
     for c in columns:
-        one = quantiles(df, c, shares)
-        one = one.select(F.lit(c).alias("field"), *[F.col(q).cast("string") for q in shares])
+        if isinstance(df.schema[c].dataType, T.NumericType):
+            one = quantiles(df, c, shares)
+        else:
+            one = df.sparkSession.range(1).select(*[F.lit(None).alias(q) for q in shares])
+        one = one.select(
+            F.lit(c).alias("field"), *[F.col(q).cast("string").alias(q) for q in shares]
+        )
         table = one if table is None else table.unionByName(one)
     # One row per column on both sides.
     return describe(df, columns).join(F.broadcast(table), "field")

@@ -45,15 +45,19 @@ def running_totals(
     *,
     name: str = "start",
     group_rows: int = GROUP_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Sum of ``weight`` over the rows before this one, per key.
 
-    ``order`` must be unique per key. A window is used when every key is known to
-    fit in one task. Otherwise rows are cut into ranges of (key, order) and kept
-    in scratch storage; a total per key and range, then, is where the window
-    inside each range starts. ``keys`` may be empty for one global order.
+    ``order`` must be unique per key; ``keys`` may be empty for one global order.
+    A plain window is used when no key has more than ``group_rows`` rows, which
+    is counted unless a bound is given as ``largest``. Otherwise rows are cut into
+    ranges of (key, order) and kept in scratch storage, and each range continues
+    from the totals of the key's earlier ranges.
     """
-    if largest_group(df, keys) <= group_rows:
+    if largest is None:
+        largest = largest_group(df, keys)
+    if largest <= group_rows:
         before = _before(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn(name, F.coalesce(F.sum(weight).over(before), F.lit(0)))
     key = F.struct(*keys) if keys else F.lit(0)
@@ -101,9 +105,9 @@ def quantiles(
     all values. Nulls are left out. One row, one column per share.
     """
     present = df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
-    counts = present.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_totals(counts, [], ["_v"], "_n", group_rows=group_rows)
-    total = present.count()
+    counts = stored(present.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")), "counts")
+    distinct, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    placed = running_totals(counts, [], ["_v"], "_n", group_rows=group_rows, largest=distinct)
     picks = []
     for name, share in shares.items():
         rank = max(1, _ceil_share(total, share))

@@ -16,14 +16,18 @@ def schema_status(df: DataFrame, schema: T.StructType, *, name: str = "status")
     """Columns of ``schema``, matched by name, and whether the row fits it.
 
     A row with a null in a required field is ``rejected``, any other is ``ok``.
-    Types may be widened; a lossy conversion fails when the query is analysed.
+    Types may be widened. A missing column or a lossy conversion fails before
+    anything runs.
     """
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns {missing} are missing")
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    required = [F.col(f.name).isNull() for f in schema.fields if not f.nullable]
-    missing = F.lit(False)
-    for test in required:
-        missing = missing | test
-    status = F.when(missing, "rejected").otherwise("ok")
+    unfit = F.lit(False)
+    for field in schema.fields:
+        if not field.nullable:
+            unfit = unfit | F.col(field.name).isNull()
+    status = F.when(unfit, "rejected").otherwise("ok")
     return df.to(nullable).withColumn(name, status)
 
 

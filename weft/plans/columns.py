@@ -81,7 +81,8 @@ def drop_nulls(t):
 
 @query(
     "P12",
-    "SELECT doc_id, quality, CASE WHEN quality IS NULL THEN 'rejected' ELSE 'ok' END AS status "
+    "SELECT doc_id, CAST(quality AS BIGINT) AS quality, "
+    "CASE WHEN quality IS NULL THEN 'rejected' ELSE 'ok' END AS status "
     "FROM documents LEFT JOIN labels USING (doc_id)",
 )
 def schema_guard(t):

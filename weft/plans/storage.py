@@ -21,8 +21,6 @@ from weft.sources.files import (
 from weft.sources.scratch import scratch_path
 from weft.sources.tables import query_global_view, sql_on_file as read_by_sql
 
-BUCKETS = 8
-
 
 def _labelled(t):
     documents = t.documents.select("doc_id", "lang", "source")
@@ -123,7 +121,7 @@ def partition_pruned_read(t):
 def range_layout_filter(t):
     path = scratch_path(t.spark, "by-quantity")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
-    write_range_layout(rows, path, "l_quantity")
+    write_range_layout(rows, path, "l_quantity", ties=["l_orderkey", "l_linenumber"])
     return t.spark.read.parquet(path).filter(key_between("l_quantity", 10.0, 20.0))
 
 
@@ -138,12 +136,11 @@ def bucketed_join(t):
     hot = hot_keys(orders, ["c_custkey"], HOT_ROWS)
     database, run = scratch_database(t.spark), uuid.uuid4().hex[:8]
     keys = ["c_custkey", SALT]
-    left = save_bucketed(
-        spread(customers, ["c_custkey"], cut={}, copy=hot), f"{database}.customers_{run}", keys, BUCKETS
-    )
-    right = save_bucketed(
-        spread(orders, ["c_custkey"], cut=hot, copy={}), f"{database}.orders_{run}", keys, BUCKETS
-    )
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    customers = spread(customers, ["c_custkey"], cut={}, copy=hot)
+    orders = spread(orders, ["c_custkey"], cut=hot, copy={})
+    left = save_bucketed(customers, f"{database}.customers_{run}", keys, buckets)
+    right = save_bucketed(orders, f"{database}.orders_{run}", keys, buckets)
     return left.join(right.hint("merge"), keys).drop(SALT)
 
 

@@ -8,6 +8,7 @@ from weft.functions.text import characters, clipped, lines, word_rows, words
 from weft.operators.grouping import count_by_key
 from weft.operators.ordering import top
 from weft.plans.registry import query
+from weft.sources.tables import widened
 
 LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
 WORD_LIST = (
@@ -17,9 +18,13 @@ WORDS = f"(SELECT doc_id, unnest({WORD_LIST}) AS word FROM {LINES})"
 WORD_COUNT = f"len({WORD_LIST})"
 
 
+def _lines(t, *keep):
+    return lines(widened(t.documents.select("text", *keep)), "text", *keep)
+
+
 @query("A15 T02 T03", f"SELECT word, count(*) AS n FROM {WORDS} GROUP BY word")
 def word_count(t):
-    return count_by_key(word_rows(lines(t.documents, "text"), "line"), "word")
+    return count_by_key(word_rows(_lines(t), "line"), "word")
 
 
 @query(
@@ -32,7 +37,7 @@ def word_count_top(t):
 
 @query("A22", f"SELECT word, count(*) AS n, max(doc_id) AS last_doc FROM {WORDS} GROUP BY word")
 def reduce_groups(t):
-    pairs = word_rows(lines(t.documents, "text", "doc_id"), "line", "doc_id")
+    pairs = word_rows(_lines(t, "doc_id"), "line", "doc_id")
     return pairs.groupBy("word").agg(
         F.sum(F.lit(1).cast("long")).alias("n"), F.max("doc_id").alias("last_doc")
     )
@@ -41,29 +46,29 @@ def reduce_groups(t):
 @query("A16 X08", f"SELECT count(*) AS n FROM {WORDS}")
 def word_total(t):
     sizes = F.size(words("line")).cast("long")
-    return lines(t.documents, "text").agg(F.sum(sizes).alias("n"))
+    return _lines(t).agg(F.sum(sizes).alias("n"))
 
 
 @query("S01 A01", f"SELECT count(*) AS n FROM {LINES}")
 def line_count(t):
-    return lines(t.documents, "text").agg(F.count(F.lit(1)).alias("n"))
+    return _lines(t).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("A17", f"SELECT line, count(*) AS n FROM {LINES} GROUP BY line")
 def line_frequency(t):
-    return count_by_key(lines(t.documents, "text"), "line")
+    return count_by_key(_lines(t), "line")
 
 
 @query("X08", f"SELECT doc_id, line, CAST({WORD_COUNT} AS INT) AS n FROM {LINES}")
 def words_per_line(t):
-    return lines(t.documents, "text", "doc_id").select(
+    return _lines(t, "doc_id").select(
         "doc_id", "line", F.size(words("line")).alias("n")
     )
 
 
 @query("A18", f"SELECT CAST(max({WORD_COUNT}) AS INT) AS n FROM {LINES}")
 def words_per_line_max(t):
-    return lines(t.documents, "text").agg(F.max(F.size(words("line"))).alias("n"))
+    return _lines(t).agg(F.max(F.size(words("line"))).alias("n"))
 
 
 @query(

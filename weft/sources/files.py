@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weft.sources.scratch import scratch_path
 
@@ -46,18 +47,14 @@ def write_partitioned(df: DataFrame, path: str, by: str, *, mode: str = "error")
     df.hint("rebalance", by).write.mode(mode).partitionBy(by).parquet(path)
 
 
-def write_range_layout(df: DataFrame, path: str, key: str, *, mode: str = "error") -> None:
+def write_range_layout(
+    df: DataFrame, path: str, key: str, *, ties: Sequence[str] = (), mode: str = "error"
+) -> None:
     """Files with disjoint, sorted key ranges, so that a range filter on ``key``
     skips files and row groups by their min/max statistics.
 
-    The other comparable columns are tie-breaks: a key with very many rows is
-    then spread over several files.
+    With ``ties`` a key that has very many rows is spread over several files.
     """
-    ties = [
-        f.name
-        for f in df.schema.fields
-        if f.name != key and isinstance(f.dataType, (T.IntegralType, T.StringType, T.DoubleType))
-    ]
     ranged = df.repartitionByRange(key, *ties).sortWithinPartitions(key)
     ranged.write.mode(mode).parquet(path)
 

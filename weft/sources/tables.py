@@ -16,6 +16,17 @@ def load_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def widened(df: DataFrame) -> DataFrame:
+    """Spreads a scan of fewer splits than the cluster has cores.
+
+    For costly work per row on a table that comes as one or a few large pieces.
+    A table of many files has enough splits and is left alone. ``df`` should be a
+    scan, as asking for its splits runs any shuffle in it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def register_tables(
     spark: SparkSession, directory: str, names: Iterable[str] = TABLES, *, prefix: str = ""
 ) -> list[str]:
