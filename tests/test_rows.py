@@ -1,3 +1,5 @@
+from dataclasses import dataclass
+
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
@@ -14,6 +16,7 @@ from weft.operators.rows import (
     schema_status,
 )
 from weft.sources.files import key_between
+from weft.sources.schemas import record_schema
 
 PEOPLE = [("Michael", None), ("Andy", 30), ("Justin", 19), ("Think", 30), ("Think", 35)]
 
@@ -78,6 +81,34 @@ def test_schema_guard_widens_but_does_not_narrow(spark):
         schema_status(spark.createDataFrame([("a",)], "name string"), STRICT)
 
 
+@dataclass
+class Person:
+    name: str
+    age: int
+
+
+@dataclass
+class Visit:
+    who: Person
+    score: float | None
+    days: list[int]
+    new: bool
+
+
+def test_record_schema(spark, people):
+    assert record_schema(Person) == T.StructType(
+        [T.StructField("name", T.StringType()), T.StructField("age", T.LongType(), False)]
+    )
+    visit = record_schema(Visit)
+    assert visit["who"].dataType == record_schema(Person)
+    assert visit["score"].nullable and not visit["new"].nullable
+    assert visit["days"].dataType == T.ArrayType(T.LongType())
+    ok, rejected = enforce_schema(people, record_schema(Person))
+    assert (ok.count(), rejected.count()) == (4, 1)
+    rows = spark.createDataFrame([Person("Andy", 32)], record_schema(Person))
+    assert rows.first() == ("Andy", 32)
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 8])
 def test_map_batches(spark, partitions):
     def double(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -10,6 +10,7 @@ from weft.functions.text import (
     labelled,
     lines,
     parse_delimited,
+    values_map,
     word_rows,
     words,
 )
@@ -72,6 +73,8 @@ def test_label_and_json(spark):
     ).collect()
     assert [r.l for r in rows] == ["name:Andy\tage:30", None]
     assert [r.j for r in rows] == ['{"name":"Andy","age":30}', '{"name":"Michael"}']
+    maps = [r.m for r in df.select(values_map("name", "age").alias("m")).collect()]
+    assert maps == [{"name": "Andy", "age": "30"}, {"name": "Michael", "age": None}]
 
 
 @pytest.mark.parametrize(

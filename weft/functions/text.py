@@ -50,6 +50,12 @@ def json_object(**fields: str | Column) -> Column:
     return F.to_json(F.struct(*[_col(c).alias(n) for n, c in fields.items()]))
 
 
+def values_map(*columns: str) -> Column:
+    """The named columns as a map from name to text; a null stays in the map."""
+    pairs = [p for c in columns for p in (F.lit(c), F.col(c).cast("string"))]
+    return F.create_map(*pairs)
+
+
 def clipped(c: str | Column, width: int = 20) -> Column:
     """Strings over ``width`` characters are cut and end in three dots."""
     text = _col(c).cast("string")

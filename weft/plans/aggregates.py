@@ -15,14 +15,11 @@ from weft.operators.grouping import (
     reduce_by_key as reduced,
 )
 from weft.operators.ordering import quantiles
-from weft.plans.registry import query
+from weft.plans.registry import labelled_documents, query
 
 LABELLED = "documents LEFT JOIN labels USING (doc_id)"
 
 
-def _labelled(t):
-    return t.documents.select("doc_id", "lang", "source").join(t.labels, "doc_id", "left")
-
 
 @query("A01", "SELECT count(*) AS n FROM lineitem")
 def row_count(t):
@@ -36,7 +33,7 @@ def group_count(t):
 
 @query("A02", f"SELECT quality, count(*) AS n FROM {LABELLED} GROUP BY 1")
 def group_count_nulls(t):
-    return keyed_counts(_labelled(t), "quality")
+    return keyed_counts(labelled_documents(t), "quality")
 
 
 @query(
@@ -57,7 +54,7 @@ def group_max_min_avg(t):
     f"SELECT source, max(quality) AS mx, round(avg(quality), 6) AS av FROM {LABELLED} GROUP BY 1",
 )
 def group_skips_nulls(t):
-    return _labelled(t).groupBy("source").agg(
+    return labelled_documents(t).groupBy("source").agg(
         F.max("quality").alias("mx"), F.round(F.avg("quality"), 6).alias("av")
     )
 
@@ -209,7 +206,7 @@ def summary_table(t):
 
 @query("U04", f"SELECT lang, count(quality) AS n FROM {LABELLED} GROUP BY 1")
 def udaf_count(t):
-    return _labelled(t).groupBy("lang").agg(own.count_values("quality").alias("n"))
+    return labelled_documents(t).groupBy("lang").agg(own.count_values("quality").alias("n"))
 
 
 @query(
@@ -227,7 +224,7 @@ def udaf_max_floor0(t):
     f"SELECT lang, source, CAST(coalesce(sum(quality), 0) AS BIGINT) AS v FROM {LABELLED} GROUP BY 1, 2",
 )
 def udaf_sum0(t):
-    return _labelled(t).groupBy("lang", "source").agg(own.sum_or_zero("quality").alias("v"))
+    return labelled_documents(t).groupBy("lang", "source").agg(own.sum_or_zero("quality").alias("v"))
 
 
 @query(
@@ -236,7 +233,7 @@ def udaf_sum0(t):
     f"FROM {LABELLED} GROUP BY 1, 2",
 )
 def udaf_average(t):
-    groups = _labelled(t).groupBy("lang", "source").agg(own.average_or_nan("quality").alias("a"))
+    groups = labelled_documents(t).groupBy("lang", "source").agg(own.average_or_nan("quality").alias("a"))
     millionths = F.round(F.col("a") * 1000000).cast("long")
     return groups.select("lang", "source", F.when(F.isnan("a"), -1).otherwise(millionths).alias("v"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from weft.functions.text import json_object, labelled, parse_delimited
 from weft.operators.rows import hash_sample, map_batches, schema_status
-from weft.plans.registry import query
+from weft.plans.registry import labelled_documents, query
 from weft.sources.files import key_between
 
 
@@ -30,8 +30,7 @@ def select_arithmetic(t):
     "SELECT doc_id, quality + 1 AS q1 FROM documents LEFT JOIN labels USING (doc_id)",
 )
 def null_arithmetic(t):
-    joined = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
-    return joined.select("doc_id", (F.col("quality") + 1).alias("q1"))
+    return labelled_documents(t).select("doc_id", (F.col("quality") + 1).alias("q1"))
 
 
 @query("P04", "SELECT p_name, p_size, p_size AS p_size_2 FROM part")
@@ -75,8 +74,7 @@ def key_range_filter(t):
     "WHERE quality IS NOT NULL AND toxic IS NOT NULL",
 )
 def drop_nulls(t):
-    joined = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
-    return joined.na.drop(how="any").select("doc_id", "quality", "toxic")
+    return labelled_documents(t).na.drop(how="any").select("doc_id", "quality", "toxic")
 
 
 @query(
@@ -92,7 +90,7 @@ def schema_guard(t):
             T.StructField("quality", T.LongType(), False),
         ]
     )
-    return schema_status(t.documents.join(t.labels, "doc_id", "left"), expected)
+    return schema_status(labelled_documents(t), expected)
 
 
 @query("T01 X01", "SELECT c_custkey, c_name || 'aa' AS v FROM customer")

@@ -21,6 +21,15 @@ class Tables:
         return load_table(self.spark, self.directory, name)
 
 
+def labelled_documents(t: Tables) -> DataFrame:
+    """Documents with their labels, which are null for most.
+
+    ``doc_id`` is the key of both tables, so a plain left join is even.
+    """
+    documents = t.documents.select("doc_id", "lang", "source")
+    return documents.join(t.labels, "doc_id", "left")
+
+
 @dataclass(frozen=True)
 class Query:
     name: str

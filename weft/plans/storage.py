@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from weft.operators.hotkeys import HOT_ROWS, SALT, hot_keys, spread
-from weft.plans.registry import query
+from weft.plans.registry import labelled_documents, query
 from weft.sources.catalog import save_bucketed, save_table, scratch_database
 from weft.sources.files import (
     key_between,
@@ -22,10 +22,6 @@ from weft.sources.scratch import scratch_path
 from weft.sources.tables import query_global_view, sql_on_file as read_by_sql
 
 
-def _labelled(t):
-    documents = t.documents.select("doc_id", "lang", "source")
-    return documents.join(t.labels.select("doc_id", "quality"), "doc_id", "left")
-
 
 @query(
     "S01 S17",
@@ -40,7 +36,7 @@ def text_roundtrip(t):
     "SELECT doc_id, lang, source, quality FROM documents LEFT JOIN labels USING (doc_id)",
 )
 def json_roundtrip(t):
-    return round_trip(_labelled(t), "json")
+    return round_trip(labelled_documents(t).drop("toxic"), "json")
 
 
 @query("S05", "SELECT * FROM customer")
@@ -99,7 +95,7 @@ def merge_schema(t):
 )
 def partitioned_write(t):
     path = scratch_path(t.spark, "by-quality")
-    write_partitioned(_labelled(t), path, "quality")
+    write_partitioned(labelled_documents(t).drop("toxic"), path, "quality")
     return t.spark.read.parquet(path)
 
 
