@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.plans import exchanges, explain
-from weft.operators.hotkeys import hot_keys, largest_group, spread
+from weft.operators.hotkeys import hot_keys, split_hot, spread
 from weft.operators.joins import HOWS, cogroup_chunks, equi_join
 
 
@@ -82,8 +82,9 @@ def test_hot_keys_are_bounded_and_cut(spark):
     found = hot_keys(df, ["k"], 20)
     assert ("hot",) in found and (None,) in found
     assert len(hot_keys(df, ["k"], 0)) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert largest_group(df, ["k"]) == max(r["count"] for r in df.groupBy("k").count().collect())
-    assert largest_group(df.filter("l > 99"), ["k"]) == 0
+    cold, hot = split_hot(df, ["k"], found)
+    assert cold.count() + hot.count() == df.count()
+    assert {r.k for r in hot.select("k").distinct().collect()} == {k for (k,) in found}
 
 
 def test_spread_cuts_copies_of_one_row(spark):

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weft.operators.hotkeys import largest_group
-from weft.operators.ordering import GROUP_ROWS, explode_range, quantiles, running_totals
+from weft.operators.hotkeys import hot_keys, split_hot
+from weft.operators.ordering import GROUP_ROWS, explode_range, quantiles, totals_by_range
 from weft.sources.scratch import stored
 
 CHUNK_ROWS = 10_000
@@ -51,35 +51,44 @@ def group_chunks(
 ) -> DataFrame:
     """Sorted values per key: ``(keys, chunk, values)``, nulls first.
 
-    If every key is known to fit, it is one row with chunk 0. Otherwise a group
-    goes on in further rows of at most ``chunk_rows`` values; chunk by chunk they
-    are the whole sorted group. Equal values are counted before they are placed,
-    so neither a hot key nor a hot value gathers in one task.
+    A group of up to ``chunk_rows`` values is one row with chunk 0, a larger one
+    goes on in further rows; chunk by chunk they are the whole sorted group. Keys
+    of up to ``group_rows`` rows are numbered by a window. For larger ones equal
+    values are counted first and then placed range by range, so neither a hot key
+    nor a hot value gathers in one task.
     """
     pairs = df.select(*keys, F.col(value).alias("_v"))
-    largest = largest_group(pairs, keys)
-    if largest <= chunk_rows:
-        gathered = F.sort_array(F.collect_list(F.struct("_v")))
-        groups = pairs.groupBy(*keys).agg(gathered.alias("_g"))
-        return groups.select(
-            *keys, F.lit(0).cast("long").alias("chunk"), F.col("_g")["_v"].alias("values")
-        )
-    runs = pairs.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    if largest > group_rows:
-        # Placed in two passes; the counts are not computed again for each.
-        runs, largest = stored(runs, "runs"), None
-    placed = running_totals(
-        runs, keys, ["_v"], "_n", group_rows=group_rows, largest=largest
-    )
-    end = F.col("start") + F.col("_n")
-    low, high = F.expr(f"start div {chunk_rows}"), F.expr(f"(start + _n - 1) div {chunk_rows}")
+    hot = hot_keys(pairs, keys, group_rows)
+    if not hot:
+        return _window_chunks(pairs, keys, chunk_rows)
+    cold_rows, hot_rows = split_hot(pairs, keys, hot)
+    large = _range_chunks(hot_rows, keys, chunk_rows)
+    return _window_chunks(cold_rows, keys, chunk_rows).unionByName(large)
+
+
+def _window_chunks(pairs: DataFrame, keys: list[str], chunk_rows: int) -> DataFrame:
+    # The window and the group-by share one exchange on the keys.
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy("_v")) - 1
+    numbered = pairs.withColumn("_at", position)
+    chunk = F.expr(f"_at div {chunk_rows}").alias("chunk")
+    gathered = F.sort_array(F.collect_list(F.struct("_v")))
+    groups = numbered.select(*keys, "_v", chunk).groupBy(*keys, "chunk").agg(gathered.alias("_g"))
+    return groups.select(*keys, "chunk", F.col("_g")["_v"].alias("values"))
+
+
+def _range_chunks(pairs: DataFrame, keys: list[str], chunk_rows: int) -> DataFrame:
+    # Stored, as the ranges are sampled before they are cut.
+    runs = stored(pairs.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "runs")
+    placed = totals_by_range(runs, keys, ["_v"], "_n", "_at")
+    low, high = F.expr(f"_at div {chunk_rows}"), F.expr(f"(_at + _n - 1) div {chunk_rows}")
     pieces = explode_range(placed, low, high, "chunk")
     edge = F.col("chunk") * chunk_rows
-    copies = F.least(end, edge + chunk_rows) - F.greatest("start", edge)
-    pieces = pieces.select(*keys, "chunk", F.struct("_v", copies.cast("int").alias("_m")).alias("_p"))
-    chunks = pieces.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list("_p")).alias("_g"))
+    copies = F.least(F.col("_at") + F.col("_n"), edge + chunk_rows) - F.greatest("_at", edge)
+    piece = F.struct("_v", copies.cast("int").alias("_m")).alias("_p")
+    chunks = pieces.select(*keys, "chunk", piece).groupBy(*keys, "chunk")
+    runs_in_order = chunks.agg(F.sort_array(F.collect_list("_p")).alias("_g"))
     values = F.flatten(F.transform("_g", lambda p: F.array_repeat(p["_v"], p["_m"])))
-    return chunks.select(*keys, "chunk", values.alias("values"))
+    return runs_in_order.select(*keys, "chunk", values.alias("values"))
 
 
 def group_rows_by(

@@ -1,20 +1,15 @@
-"""Keys that hold too many rows for one task, and salts that spread them."""
+"""Keys that hold too many rows for one task, and ways to treat them apart."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 MAX_PIECES = 1_000
 SALT = "_salt"
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the most frequent key; counted map-side, one number returned."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+COPIED = "_copied"
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[tuple, int]:
@@ -22,7 +17,7 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[t
 
     With P shuffle partitions at most P keys can exceed an average partition, so
     only the P most frequent keys come back. That bounds what the driver holds
-    and what :func:`spread` broadcasts.
+    and what the functions below broadcast.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
@@ -33,30 +28,48 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[t
     }
 
 
+def _table(df: DataFrame, keys: list[str], rows: list[tuple], extra: list[str]) -> DataFrame:
+    """A frame of hot keys: at most one row per shuffle partition and side."""
+    fields = [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+    fields += [T.StructField(c, T.IntegerType()) for c in extra]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType(fields)))
+
+
+def _same_key(keys: list[str]) -> Column:
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return same
+
+
+def split_hot(df: DataFrame, keys: list[str], hot: dict[tuple, int]) -> tuple[DataFrame, DataFrame]:
+    """Rows of all other keys, and rows of the hot keys."""
+    table = _table(df, keys, list(hot), [])
+    same = _same_key(keys)
+    return df.join(table, same, "left_anti"), df.join(table, same, "left_semi")
+
+
 def spread(
     df: DataFrame, keys: list[str], *, cut: dict[tuple, int], copy: dict[tuple, int]
 ) -> DataFrame:
     """Adds a salt: a row of a ``cut`` key goes to one of the key's pieces, a row
-    of a ``copy`` key to every piece, any other row to piece 0.
+    of a ``copy`` key to every piece, any other row to piece 0. Copied rows are
+    marked. A key with a null is never copied, as it joins with nothing.
 
     The piece depends on the row and its partition, not on chance: a task that
     runs again places its rows alike, and equal rows still spread.
     """
+    copy = {k: n for k, n in copy.items() if None not in k}
     rows = [(*k, cut.get(k, 1), copy.get(k, 1)) for k in {**copy, **cut}]
     if not rows:
-        return df.withColumn(SALT, F.lit(0))
-    fields = [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-    fields += [T.StructField(c, T.IntegerType()) for c in ("_cut", "_copy")]
-    hot = df.sparkSession.createDataFrame(rows, T.StructType(fields))
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        return df.withColumns({SALT: F.lit(0), COPIED: F.lit(False)})
+    table = _table(df, keys, rows, ["_cut", "_copy"])
     mark = F.xxhash64(F.spark_partition_id(), *df.columns)
     pieces = (
         F.when(F.col("_cut") > 1, F.array(F.pmod(mark, "_cut").cast("int")))
         .when(F.col("_copy") > 1, F.sequence(F.lit(0), F.col("_copy") - 1))
         .otherwise(F.array(F.lit(0)))
     )
-    # At most one row per shuffle partition: see hot_keys.
-    joined = df.join(F.broadcast(hot), same, "left")
-    return joined.select(*df.columns, F.explode(pieces).alias(SALT))
+    copied = F.coalesce((F.col("_cut") == 1) & (F.col("_copy") > 1), F.lit(False))
+    joined = df.join(table, _same_key(keys), "left")
+    return joined.select(*df.columns, copied.alias(COPIED), F.explode(pieces).alias(SALT))

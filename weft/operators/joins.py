@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.operators.grouping import CHUNK_ROWS, group_chunks
-from weft.operators.hotkeys import HOT_ROWS, SALT, hot_keys, spread
+from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_keys, spread
 
 HOWS = ("inner", "left", "right", "full")
 
@@ -26,9 +26,9 @@ def equi_join(
 
     Without hot keys this is the plain join, and the optimizer picks broadcast
     or sort-merge by size. A hot key is cut into pieces on the side where it is
-    hot, and the other side's rows of that key go to every piece. Outer rows are
-    then the ones whose key is missing on the other side, found by an anti join,
-    as a copied row could look unmatched in one piece.
+    hot, and the other side's rows of that key go to every piece. Such a copied
+    row has a match, as its key has many rows on the other side, so a copy that
+    stays alone in its piece is dropped from an outer join.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}, not {how!r}")
@@ -42,22 +42,16 @@ def equi_join(
     if not hot_left and not hot_right:
         return left.join(right, on, how)
     only_right = {k: n for k, n in hot_right.items() if k not in hot_left}
-    result = spread(left, on, cut=hot_left, copy=only_right).join(
-        spread(right, on, cut=only_right, copy=hot_left), [*on, SALT]
+    pieces_left = spread(left, on, cut=hot_left, copy=only_right)
+    pieces_right = spread(right, on, cut=only_right, copy=hot_left)
+    joined = pieces_left.withColumnRenamed(COPIED, "_copied_left").join(
+        pieces_right.withColumnRenamed(COPIED, "_copied_right"), [*on, SALT], how
     )
-    result = result.drop(SALT)
-    if how in ("left", "full"):
-        lone = _unmatched(left, right, on, hot_left)
-        result = result.unionByName(lone, allowMissingColumns=True)
-    if how in ("right", "full"):
-        lone = _unmatched(right, left, on, hot_right)
-        result = result.unionByName(lone, allowMissingColumns=True)
-    return result
-
-
-def _unmatched(side: DataFrame, other: DataFrame, on: list[str], hot: dict) -> DataFrame:
-    known = spread(other.select(*on).distinct(), on, cut={}, copy=hot)
-    return spread(side, on, cut=hot, copy={}).join(known, [*on, SALT], "left_anti").drop(SALT)
+    # The mark of a side is null where that side has no row.
+    alone_left = F.col("_copied_right").isNull() & F.col("_copied_left")
+    alone_right = F.col("_copied_left").isNull() & F.col("_copied_right")
+    kept = joined.filter(~(alone_left | alone_right))
+    return kept.drop(SALT, "_copied_left", "_copied_right")
 
 
 def cogroup_chunks(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.operators.hotkeys import largest_group
+from weft.operators.hotkeys import hot_keys, split_hot
 from weft.sources.scratch import stored
 
 GROUP_ROWS = 1_000_000
@@ -45,21 +45,40 @@ def running_totals(
     *,
     name: str = "start",
     group_rows: int = GROUP_ROWS,
-    largest: int | None = None,
 ) -> DataFrame:
     """Sum of ``weight`` over the rows before this one, per key.
 
-    ``order`` must be unique per key; ``keys`` may be empty for one global order.
-    A plain window is used when no key has more than ``group_rows`` rows, which
-    is counted unless a bound is given as ``largest``. Otherwise rows are cut into
-    ranges of (key, order) and kept in scratch storage, and each range continues
-    from the totals of the key's earlier ranges.
+    ``order`` must be unique per key. Keys of up to ``group_rows`` rows are summed
+    by a window. Larger ones are cut into ranges of their order; see
+    totals_by_range. ``keys`` may be empty for one global order.
+    """
+    if not keys:
+        by = totals_by_range if df.count() > group_rows else totals_by_window
+        return by(df, keys, order, weight, name)
+    hot = hot_keys(df, keys, group_rows)
+    if not hot:
+        return totals_by_window(df, keys, order, weight, name)
+    cold_rows, hot_rows = split_hot(df, keys, hot)
+    cold = totals_by_window(cold_rows, keys, order, weight, name)
+    return cold.unionByName(totals_by_range(hot_rows, keys, order, weight, name))
+
+
+def totals_by_window(
+    df: DataFrame, keys: list[str], order: list[str], weight: str, name: str
+) -> DataFrame:
+    """Each key is summed by one task."""
+    before = _before(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(name, F.coalesce(F.sum(weight).over(before), F.lit(0)))
+
+
+def totals_by_range(
+    df: DataFrame, keys: list[str], order: list[str], weight: str, name: str
+) -> DataFrame:
+    """Each key is summed by as many tasks as it has ranges of rows.
+
+    Ranges of (key, order) are kept in scratch storage, so that both passes see
+    the same ones. A range continues from the totals of the key's earlier ranges.
     """
-    if largest is None:
-        largest = largest_group(df, keys)
-    if largest <= group_rows:
-        before = _before(Window.partitionBy(*keys).orderBy(*order))
-        return df.withColumn(name, F.coalesce(F.sum(weight).over(before), F.lit(0)))
     key = F.struct(*keys) if keys else F.lit(0)
     ranged = df.repartitionByRange(*keys, *order)
     # Equality of structs treats nulls inside them as equal, so null keys join.
@@ -71,8 +90,7 @@ def running_totals(
     starts = totals.select(
         "_range", "_key", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_first")
     )
-    inside = _before(Window.partitionBy("_range", "_key").orderBy(*order))
-    local = ranged.withColumn("_inner", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    local = totals_by_window(ranged, ["_range", "_key"], order, weight, "_inner")
     placed = local.join(starts, ["_range", "_key"])
     return placed.select(*df.columns, (F.col("_first") + F.col("_inner")).alias(name))
 
@@ -107,7 +125,8 @@ def quantiles(
     present = df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
     counts = stored(present.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")), "counts")
     distinct, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
-    placed = running_totals(counts, [], ["_v"], "_n", group_rows=group_rows, largest=distinct)
+    place = totals_by_range if distinct > group_rows else totals_by_window
+    placed = place(counts, [], ["_v"], "_n", "start")
     picks = []
     for name, share in shares.items():
         rank = max(1, _ceil_share(total, share))

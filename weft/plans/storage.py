@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from weft.operators.hotkeys import HOT_ROWS, SALT, hot_keys, spread
+from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_keys, spread
 from weft.plans.registry import labelled_documents, query
 from weft.sources.catalog import save_bucketed, save_table, scratch_database
 from weft.sources.files import (
@@ -133,8 +133,8 @@ def bucketed_join(t):
     database, run = scratch_database(t.spark), uuid.uuid4().hex[:8]
     keys = ["c_custkey", SALT]
     buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    customers = spread(customers, ["c_custkey"], cut={}, copy=hot)
-    orders = spread(orders, ["c_custkey"], cut=hot, copy={})
+    customers = spread(customers, ["c_custkey"], cut={}, copy=hot).drop(COPIED)
+    orders = spread(orders, ["c_custkey"], cut=hot, copy={}).drop(COPIED)
     left = save_bucketed(customers, f"{database}.customers_{run}", keys, buckets)
     right = save_bucketed(orders, f"{database}.orders_{run}", keys, buckets)
     return left.join(right.hint("merge"), keys).drop(SALT)
