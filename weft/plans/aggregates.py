@@ -125,6 +125,7 @@ def group_values_sorted(t):
     """,
 )
 def group_values_hot(t):
+    # A low limit, so that the range path runs on these tables too.
     groups = group_chunks(
         t.lineitem, ["l_returnflag"], "l_partkey", chunk_rows=1000, group_rows=1000
     )
@@ -149,9 +150,7 @@ def group_values_hot(t):
 )
 def group_by_expr(t):
     rows = t.orders.select("o_orderkey", "o_orderpriority")
-    groups = group_rows_by(
-        rows, F.substring("o_orderpriority", 1, 1), name="k", chunk_rows=500, group_rows=500
-    )
+    groups = group_rows_by(rows, F.substring("o_orderpriority", 1, 1), name="k", chunk_rows=500)
     texts = F.transform(
         "values", lambda r: F.concat(r["o_orderkey"].cast("string"), r["o_orderpriority"])
     )
