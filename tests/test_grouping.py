@@ -132,8 +132,10 @@ GROUPED = (
 )
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 8])
-@pytest.mark.parametrize("chunk_rows,group_rows", [(10_000, 10_000), (16, 10_000), (16, 4), (1, 1)])
+@pytest.mark.parametrize(
+    "partitions,chunk_rows,group_rows",
+    [(1, 10_000, 10_000), (8, 16, 10_000), (3, 16, 4), (8, 16, 100), (1, 1, 1)],
+)
 def test_group_chunks_hold_every_value_in_order(spark, partitions, chunk_rows, group_rows):
     df = spark.createDataFrame(GROUPED, "k string, v int").repartition(partitions)
     found = chunks_by_key(

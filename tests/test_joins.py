@@ -45,8 +45,7 @@ def skewed(spark, seed, name):
     return spark.createDataFrame(body, f"k string, j int, {name} int")
 
 
-@pytest.mark.parametrize("partitions", [1, 8])
-@pytest.mark.parametrize("on", [["k"], ["k", "j"]])
+@pytest.mark.parametrize("on,partitions", [(["k"], 1), (["k"], 8), (["k", "j"], 3)])
 @pytest.mark.parametrize("how", HOWS)
 def test_split_join_equals_plain_join(spark, how, on, partitions):
     left = skewed(spark, 0, "l").repartition(partitions)
@@ -68,6 +67,17 @@ def test_join_with_an_empty_side(spark, how):
         )
 
 
+def test_split_join_carries_maps_and_structs(spark):
+    left = spark.createDataFrame(
+        [("hot", {"a": i}, [i]) for i in range(40)], "k string, m map<string,int>, a array<int>"
+    ).withColumn("s", F.struct("m"))
+    right = spark.createDataFrame([("hot", 1), ("x", 2)], "k string, r int")
+    found = equi_join(left, right, ["k"], "full", hot_rows=5)
+    assert found.columns == ["k", "m", "a", "s", "r"]
+    assert sorted(r.a[0] for r in found.collect() if r.a) == list(range(40))
+    assert found.filter("a IS NULL").collect()[0].k == "x"
+
+
 def test_join_refuses_unclear_requests(pairs):
     left, right = pairs
     with pytest.raises(ValueError):

@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +39,23 @@ def test_words_rule(spark):
         assert row.found == row.expected, row.line
 
 
+def split_model(line):
+    if line == "":
+        return [""]
+    found = line.split(" ")
+    while found and found[-1] == "":
+        found.pop()
+    return found
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=" ab\t中", max_size=8), min_size=50, max_size=80))
+def test_words_against_a_model(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "line string")
+    for row in df.select("line", words("line").alias("w")).collect():
+        assert row.w == split_model(row.line)
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 8])
 def test_word_count_for_any_partitioning(spark, partitions):
     df = spark.createDataFrame([("a b a a",), ("c a a",)], "line string").repartition(partitions)

@@ -60,6 +60,19 @@ def test_several_keys_and_text_buffers(spark):
     assert found == {(1, "x"): ("b", 2), (1, None): ("c", 1), (2, None): ("z", 2)}
 
 
+def test_keys_of_other_types(spark):
+    df = spark.sql(
+        "SELECT d > 1 AS t, CAST('2024-01-0' || d AS DATE) AS day, "
+        "CAST(d AS DECIMAL(10,2)) AS dec, CAST('2024-01-0' || d AS TIMESTAMP_NTZ) AS at, d AS v "
+        "FROM VALUES (1L), (2L), (2L) AS rows(d)"
+    )
+    keys = ["t", "day", "dec", "at"]
+    found = aggregate_with(df, keys, "v", average(), name="a")
+    assert found.dtypes == [*df.select(keys).dtypes, ("a", "double")]
+    expected = df.groupBy(keys).agg(F.avg("v").alias("a"))
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in expected.collect()}
+
+
 def test_nan_keys_and_many_keys(spark):
     nan = float("nan")
     df = spark.createDataFrame([(nan, 1), (nan, 3), (1.0, 5)], "k double, v long").repartition(3)

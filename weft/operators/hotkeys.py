@@ -42,6 +42,15 @@ def _same_key(keys: list[str]) -> Column:
     return same
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Maps have no hash."""
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
 def split_hot(df: DataFrame, keys: list[str], hot: dict[tuple, int]) -> tuple[DataFrame, DataFrame]:
     """Rows of all other keys, and rows of the hot keys."""
     table = _table(df, keys, list(hot), [])
@@ -64,7 +73,8 @@ def spread(
     if not rows:
         return df.withColumns({SALT: F.lit(0), COPIED: F.lit(False)})
     table = _table(df, keys, rows, ["_cut", "_copy"])
-    mark = F.xxhash64(F.spark_partition_id(), *df.columns)
+    hashed = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
+    mark = F.xxhash64(F.spark_partition_id(), *hashed)
     pieces = (
         F.when(F.col("_cut") > 1, F.array(F.pmod(mark, "_cut").cast("int")))
         .when(F.col("_copy") > 1, F.sequence(F.lit(0), F.col("_copy") - 1))

@@ -13,6 +13,7 @@ from weft.operators.grouping import (
     group_chunks,
     group_rows_by,
     reduce_by_key as reduced,
+    summary,
 )
 from weft.operators.ordering import quantiles
 from weft.plans.registry import labelled_documents, query
@@ -195,8 +196,6 @@ def summary_quartiles(t):
     """,
 )
 def summary_table(t):
-    from weft.operators.grouping import summary
-
     table = summary(t.part, ["p_size", "p_partkey"], {"q50": 0.5})
     return table.select(
         "field", "n", *[F.col(c).cast("long").alias(c) for c in ("lowest", "highest", "q50")]

@@ -139,24 +139,6 @@ def parse_line(t):
     return parse_delimited(text, "line", person)
 
 
-@query(
-    "X04 S08",
-    "SELECT doc_id, split_part(line, ' ', 1) AS first, "
-    "TRY_CAST(CASE WHEN regexp_full_match(split_part(line, ' ', 2), '[0-9]{1,9}') "
-    "THEN split_part(line, ' ', 2) END AS BIGINT) AS number "
-    "FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)",
-)
-def parse_line_lenient(t):
-    from weft.functions.text import lines
-
-    cells = F.split("line", " ")
-    second = F.get(cells, 1)
-    number = F.when(second.rlike("^[0-9]{1,9}$"), second).try_cast("long")
-    return lines(t.documents, "text", "doc_id").select(
-        "doc_id", cells[0].alias("first"), number.alias("number")
-    )
-
-
 @query(
     "T06",
     "SELECT o_orderkey FROM orders WHERE "

@@ -19,7 +19,11 @@ from weft.sources.files import (
     write_range_layout,
 )
 from weft.sources.scratch import scratch_path
-from weft.sources.tables import query_global_view, sql_on_file as read_by_sql
+from weft.sources.tables import (
+    query_global_view,
+    register_tables,
+    sql_on_file as read_by_sql,
+)
 
 
 
@@ -154,7 +158,5 @@ def global_view_sql(t):
 
 @query("K10 K11", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def view_sql(t):
-    from weft.sources.tables import register_tables
-
     register_tables(t.spark, t.directory, ["orders"], prefix="weft_")
     return t.spark.sql("SELECT o_orderstatus, count(*) AS n FROM weft_orders GROUP BY 1")

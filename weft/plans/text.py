@@ -3,8 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-
-from weft.functions.text import characters, clipped, lines, word_rows, words
+from pyspark.sql import types as T
+
+from weft.functions.text import (
+    characters,
+    clipped,
+    lines,
+    parse_delimited,
+    word_rows,
+    words,
+)
+from weft.operators import rows
 from weft.operators.grouping import count_by_key
 from weft.operators.ordering import top
 from weft.plans.registry import query
@@ -101,9 +110,7 @@ def flatmap_chars(t):
     "FROM (SELECT * FROM pages ORDER BY page_id LIMIT 20)",
 )
 def preview(t):
-    from weft.operators.rows import preview as first_rows
-
-    return first_rows(t.pages, 20, order=["page_id"])
+    return rows.preview(t.pages, 20, order=["page_id"])
 
 
 @query(
@@ -118,10 +125,8 @@ def preview(t):
     """,
 )
 def preview_vertical(t):
-    from weft.operators.rows import preview as first_rows
-
     cells = t.part.select("p_partkey", "p_name", "p_size")
-    return first_rows(cells, 5, order=["p_partkey"], width=None, vertical=True)
+    return rows.preview(cells, 5, order=["p_partkey"], width=None, vertical=True)
 
 
 @query(
@@ -133,3 +138,18 @@ def text_lengths(t):
     return t.documents.select(
         "doc_id", F.length("text").cast("long").alias("n"), clipped("text", 40).alias("start")
     )
+
+
+@query(
+    "X04 S08",
+    f"""
+    SELECT trim(w[1]) AS name, CASE WHEN regexp_full_match(trim(w[2]), '[+-]?[0-9]{{1,18}}')
+           THEN CAST(trim(w[2]) AS BIGINT) END AS number
+    FROM (SELECT string_split(line, ' ') AS w FROM {LINES})
+    """,
+)
+def parse_line_lenient(t):
+    pair = T.StructType(
+        [T.StructField("name", T.StringType()), T.StructField("number", T.LongType())]
+    )
+    return parse_delimited(_lines(t), "line", pair, sep=" ", lenient=True)
