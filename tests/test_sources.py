@@ -174,7 +174,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     left = spark.range(1_000).select(F.col("id").alias("k"), F.lit(1).alias("l"))
     right = spark.range(3_000).select((F.col("id") % 1_000).alias("k"), F.col("id").alias("r"))
     a = catalog.save_bucketed(left, f"{database}.a", ["k"], 4, sort=["k"], mode="overwrite")
-    b = catalog.save_bucketed(right, f"{database}.b", ["k"], 4, mode="overwrite")
+    b = catalog.save_bucketed(right, f"{database}.b", ["k"], 4, sort=["r"], mode="overwrite")
     joined = a.join(b.hint("merge"), "k")
     assert "SortMergeJoin" in explain(joined)
     assert exchanges(joined) == 0

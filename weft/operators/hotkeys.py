@@ -12,14 +12,16 @@ SALT = "_salt"
 COPIED = "_copied"
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[tuple, int]:
+def hot_keys(
+    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, *, sides: int = 1
+) -> dict[tuple, int]:
     """Keys with more than ``hot_rows`` rows, and in how many pieces to cut them.
 
     With P shuffle partitions at most P keys can exceed an average partition, so
-    only the P most frequent keys come back. That bounds what the driver holds
-    and what the functions below broadcast.
+    only the P most frequent keys come back (for each of ``sides`` frames counted
+    together). That bounds what the driver holds and what is broadcast below.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = sides * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
     hottest = counts.orderBy(F.desc("_n")).limit(partitions).collect()
     return {

@@ -37,8 +37,7 @@ def equi_join(
         raise ValueError(f"rename {sorted(shared)}, they are columns of both sides")
     if hot_rows is None:
         return left.join(right, on, how)
-    hot_left = hot_keys(left, on, hot_rows)
-    hot_right = hot_keys(right, on, hot_rows)
+    hot_left, hot_right = _hot_sides(left, right, on, hot_rows)
     if not hot_left and not hot_right:
         return left.join(right, on, how)
     only_right = {k: n for k, n in hot_right.items() if k not in hot_left}
@@ -54,6 +53,15 @@ def equi_join(
     return kept.drop(SALT, "_copied_left", "_copied_right")
 
 
+def _hot_sides(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int) -> list[dict]:
+    """Hot keys of each side, counted in one job."""
+    keys = left.select(*on, F.lit(0).alias("_side")).unionByName(
+        right.select(*on, F.lit(1).alias("_side"))
+    )
+    found = hot_keys(keys, [*on, "_side"], hot_rows, sides=2)
+    return [{k[:-1]: n for k, n in found.items() if k[-1] == side} for side in (0, 1)]
+
+
 def cogroup_chunks(
     left: DataFrame,
     right: DataFrame,
@@ -74,9 +82,8 @@ def cogroup_chunks(
     a = a.withColumnRenamed("values", "left")
     b = b.withColumnRenamed("values", "right")
     both = a.unionByName(b, allowMissingColumns=True).groupBy(*keys, "chunk")
-    empty_left = F.array().cast(a.schema["left"].dataType)
-    empty_right = F.array().cast(b.schema["right"].dataType)
+    # A side has one chunk or none, and collecting skips the missing one.
     return both.agg(
-        F.coalesce(F.first("left", ignorenulls=True), empty_left).alias("left"),
-        F.coalesce(F.first("right", ignorenulls=True), empty_right).alias("right"),
+        F.flatten(F.collect_list("left")).alias("left"),
+        F.flatten(F.collect_list("right")).alias("right"),
     )
