@@ -82,6 +82,8 @@ def test_join_refuses_unclear_requests(pairs):
     left, right = pairs
     with pytest.raises(ValueError):
         equi_join(left, right, ["k"], "cross")
+    with pytest.raises(ValueError, match="two types"):
+        equi_join(left.withColumn("k", F.lit(1)), right, ["k"])
     with pytest.raises(ValueError, match="rename"):
         equi_join(left.withColumnRenamed("l", "r"), right, ["k"])
 

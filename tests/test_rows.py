@@ -18,7 +18,7 @@ from weft.operators.rows import (
 from weft.sources.files import key_between
 from weft.sources.schemas import record_schema
 
-PEOPLE = [("Michael", None), ("Andy", 30), ("Justin", 19), ("Think", 30), ("Think", 35)]
+PEOPLE = [("Michael", None), ("Andy", 30), ("Justin", 19), ("Tina", 30), ("Tina", 35)]
 
 
 @pytest.fixture

@@ -9,7 +9,7 @@ from tests.plans import exchanges, explain
 from weft.sources import catalog, files, jdbc, scratch, tables
 from weft.session import session_builder
 
-PEOPLE = [("Michael", None), ("Andy", 30), ("Justin", 19), ("Think", 30), ("Think", 35)]
+PEOPLE = [("Michael", None), ("Andy", 30), ("Justin", 19), ("Tina", 30), ("Tina", 35)]
 
 
 @pytest.fixture
@@ -122,6 +122,20 @@ def test_partitioned_write(spark, tmp_path, people):
     assert len(glob.glob(f"{path}/age=30/*.parquet")) == 1
 
 
+def test_a_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 3).alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("s")
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        files.write_partitioned(rows, path, "p")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(f"{path}/p=__HIVE_DEFAULT_PARTITION__/*.parquet")) > 3
+    assert spark.read.parquet(path).count() == 200_000
+
+
 def test_range_layout_gives_disjoint_files(spark, tmp_path):
     path = str(tmp_path / "ranges")
     df = spark.range(0, 40_000).select((F.col("id") * 7919 % 40_000).alias("k"), "id")
@@ -223,9 +237,18 @@ def test_schema_and_session(spark, people, capsys):
     assert people.schema == T.StructType(
         [T.StructField("name", T.StringType()), T.StructField("age", T.LongType())]
     )
-    builder = session_builder("x", max_partition_bytes=1024, shuffle_partitions=3, hive=False)
-    assert builder is not None
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    # The running session is kept and takes the settings that may still change.
+    again = session_builder(
+        "x", max_partition_bytes=4096, shuffle_partitions=3, settings={"spark.sql.ansi.enabled": "true"}
+    ).getOrCreate()
+    try:
+        assert again.sparkContext is spark.sparkContext
+        assert again.conf.get("spark.sql.files.maxPartitionBytes") == "4096"
+        assert again.conf.get("spark.sql.shuffle.partitions") == "3"
+    finally:
+        again.conf.set("spark.sql.shuffle.partitions", "8")
+        again.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_scratch_uses_the_session_folder(spark, people):
@@ -238,6 +261,32 @@ def test_scratch_uses_the_session_folder(spark, people):
     same(scratch.stored(people, "people"), people)
 
 
+class FakeContext:
+    """Stands for a session without a checkpoint folder, and for its context."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+        self.sparkContext = self.conf = self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_makes_a_folder_in_local_mode_only():
+    local = FakeContext("local[2]")
+    root = scratch.scratch_root(local)
+    assert os.path.isdir(root)
+    assert scratch.scratch_root(local) == root == local.folder
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_root(FakeContext("spark://host:7077"))
+
+
 class FakeSession:
     """Stands for a session and records what is asked of its reader."""
 

@@ -78,6 +78,8 @@ def test_nan_keys_and_many_keys(spark):
     df = spark.createDataFrame([(nan, 1), (nan, 3), (1.0, 5)], "k double, v long").repartition(3)
     found = [r.result for r in aggregate_with(df, ["k"], "v", average()).collect()]
     assert sorted(found) == [2.0, 5.0]
+    zeros = spark.createDataFrame([(0.0, 1), (-0.0, 3)], "k double, v long").repartition(2)
+    assert [r.result for r in aggregate_with(zeros, ["k"], "v", average()).collect()] == [2.0]
     many = spark.range(120_000).select((F.col("id") % 110_000).alias("k"), F.lit(2).alias("v"))
     out = aggregate_with(many.repartition(1), ["k"], "v", average())
     assert out.agg(F.count("k"), F.countDistinct("k"), F.max("result")).first()[:] == (

@@ -35,6 +35,10 @@ def equi_join(
     shared = (set(left.columns) & set(right.columns)) - set(on)
     if shared:
         raise ValueError(f"rename {sorted(shared)}, they are columns of both sides")
+    for k in on:
+        kinds = left.schema[k].dataType, right.schema[k].dataType
+        if kinds[0] != kinds[1]:
+            raise ValueError(f"key {k} has two types, {kinds[0]} and {kinds[1]}")
     if hot_rows is None:
         return left.join(right, on, how)
     hot_left, hot_right = _hot_sides(left, right, on, hot_rows)

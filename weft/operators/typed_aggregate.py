@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -83,7 +84,8 @@ def aggregate_with(
         if out:
             yield _batch(out, final_arrow)
 
-    buffers = df.select(*keys, value).mapInArrow(combine, partial)
+    columns = [_one_zero(k, df.schema[k].dataType) for k in keys]
+    buffers = df.select(*columns, value).mapInArrow(combine, partial)
     if keys:
         buffers = buffers.repartition(*keys).sortWithinPartitions(*keys)
     else:
@@ -91,6 +93,13 @@ def aggregate_with(
     return buffers.mapInArrow(merge, final)
 
 
+def _one_zero(key: str, kind: T.DataType) -> Column:
+    """The key column with -0.0 as 0.0, which are one group."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(F.col(key) == 0, F.lit(0.0)).otherwise(F.col(key)).cast(kind).alias(key)
+    return F.col(key)
+
+
 def _groups(batch: pa.RecordBatch, keys: list[str], value: str):
     if not keys:
         yield (), batch.column(value)
