@@ -1,5 +1,6 @@
+import datetime
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,6 +154,34 @@ def test_group_chunks_hold_every_value_in_order(spark, partitions, chunk_rows, g
         assert 0 < len(found[k][-1]) <= chunk_rows
 
 
+@pytest.mark.parametrize(
+    "kind,keys",
+    [
+        ("double", [float("nan"), 0.0, -0.0, None]),
+        ("array<int>", [[1], [], None]),
+        ("timestamp", [datetime.datetime(2024, 1, 1), None]),
+    ],
+)
+def test_group_chunks_for_key_types(spark, kind, keys):
+    rows = [(k, i) for k in keys for i in range(25)]
+    df = spark.createDataFrame(rows, f"k {kind}, v int").repartition(4)
+    large = group_chunks(df, ["k"], "v", chunk_rows=10, group_rows=5)
+    plain = group_chunks(df, ["k"], "v", chunk_rows=10)
+    assert Counter(map(repr, large.collect())) == Counter(map(repr, plain.collect()))
+    assert large.agg(F.sum(F.size("values"))).first()[0] == len(rows)
+
+
+def test_group_chunks_of_values_of_many_kinds(spark):
+    df = spark.range(30).select(
+        F.lit("k").alias("k"),
+        F.struct((F.col("id") % 7).alias("a"), F.array("id").alias("b")).alias("v"),
+    )
+    found = group_chunks(df, ["k"], "v", chunk_rows=8, group_rows=5).orderBy("chunk").collect()
+    values = [v for r in found for v in r["values"]]
+    assert [len(r["values"]) for r in found] == [8, 8, 8, 6]
+    assert values == sorted(values, key=lambda v: (v.a, v.b))
+
+
 def test_group_chunks_of_nothing(spark):
     df = spark.createDataFrame([], "k string, v int")
     assert group_chunks(df, ["k"], "v").count() == 0

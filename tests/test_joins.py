@@ -1,5 +1,7 @@
+import datetime
 import random
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +80,29 @@ def test_split_join_carries_maps_and_structs(spark):
     assert found.filter("a IS NULL").collect()[0].k == "x"
 
 
+@pytest.mark.parametrize(
+    "kind,hot,cold",
+    [
+        ("double", float("nan"), 0.0),
+        ("double", 0.0, 1.5),
+        ("array<int>", [1, 2], []),
+        ("binary", bytearray(b"a"), bytearray(b"")),
+        ("date", datetime.date(2024, 1, 1), datetime.date(2024, 1, 2)),
+        ("decimal(10,2)", Decimal("1.50"), Decimal("2.00")),
+        ("boolean", True, False),
+    ],
+)
+def test_split_join_for_key_types(spark, kind, hot, cold):
+    left = spark.createDataFrame(
+        [(hot, i) for i in range(30)] + [(cold, 99)], f"k {kind}, l int"
+    ).repartition(3)
+    right = spark.createDataFrame([(hot, i) for i in range(20)], f"k {kind}, r int")
+    found = equi_join(left, right, ["k"], "full", hot_rows=5)
+    assert found.count() == 601
+    assert found.filter("r IS NULL").count() == 1
+    assert found.select("l", "r").distinct().count() == 601
+
+
 def test_join_refuses_unclear_requests(pairs):
     left, right = pairs
     with pytest.raises(ValueError):

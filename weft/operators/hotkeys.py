@@ -25,11 +25,23 @@ def hot_keys(
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
     hottest = counts.orderBy(F.desc("_n")).limit(partitions).collect()
     return {
-        tuple(row[k] for k in keys): max(2, min(MAX_PIECES, row["_n"] // max(hot_rows, 1)))
+        tuple(_frozen(row[k]) for k in keys): max(2, min(MAX_PIECES, row["_n"] // max(hot_rows, 1)))
         for row in hottest
     }
 
 
+NAN = float("nan")
+
+
+def _frozen(value):
+    """A key value that can be looked up; NaN is one value, as in a grouping."""
+    if isinstance(value, list):
+        return tuple(_frozen(v) for v in value)
+    if isinstance(value, bytearray):
+        return bytes(value)
+    return NAN if value != value else value
+
+
 def _table(df: DataFrame, keys: list[str], rows: list[tuple], extra: list[str]) -> DataFrame:
     """A frame of hot keys: at most one row per shuffle partition and side."""
     fields = [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
