@@ -4,8 +4,6 @@ import contextlib
 import io
 import re
 
-from weft.session import session_builder  # noqa: F401  (sets up the import path)
-
 
 def explain(df, mode="formatted"):
     text = io.StringIO()

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 
 from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_keys, spread
 from weft.plans.registry import labelled_documents, query
-from weft.sources.catalog import save_bucketed, save_table, scratch_database
+from weft.sources.catalog import (
+    create_table,
+    insert,
+    save_bucketed,
+    save_table,
+    scratch_database,
+)
 from weft.sources.files import (
     key_between,
     merged_schema_read,
@@ -150,6 +156,18 @@ def saved_table(t):
     return save_table(t.supplier, f"{database}.supplier_{run}")
 
 
+@query(
+    "K01 K05 K06 K07",
+    "SELECT c_name AS name, c_nationkey AS nation FROM customer "
+    "UNION ALL SELECT s_name, s_nationkey FROM supplier",
+)
+def table_inserts(t):
+    database, run = scratch_database(t.spark), uuid.uuid4().hex[:8]
+    table = create_table(t.spark, f"{database}.people_{run}", "name VARCHAR(64), nation INT")
+    insert(t.customer.selectExpr("c_name AS name", "c_nationkey AS nation"), table)
+    return insert(t.supplier.selectExpr("s_nationkey AS nation", "s_name AS name"), table)
+
+
 @query("K10 K11", "SELECT p_partkey, p_size + 1 AS p FROM part")
 def global_view_sql(t):
     sql = "SELECT p_partkey, p_size + 1 AS p FROM global_temp.weft_part"

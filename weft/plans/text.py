@@ -17,6 +17,8 @@ from weft.operators import rows
 from weft.operators.grouping import count_by_key
 from weft.operators.ordering import top
 from weft.plans.registry import query
+from weft.sources.files import pair_lines, read_lines
+from weft.sources.scratch import scratch_path
 from weft.sources.tables import widened
 
 LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
@@ -36,6 +38,22 @@ def word_count(t):
     return count_by_key(word_rows(_lines(t), "line"), "word")
 
 
+@query(
+    "S01 S02 S03 S17 A15",
+    f"SELECT '(' || word || ',' || n || ')' AS value FROM "
+    f"(SELECT word, count(*) AS n FROM {WORDS} GROUP BY word)",
+)
+def text_file_word_count(t):
+    """From text files to text files, as a job without tables would run."""
+    source, result = scratch_path(t.spark, "lines"), scratch_path(t.spark, "counts")
+    lines(t.documents, "text", name="value").write.option("lineSep", "\n").text(source)
+    cores = t.spark.sparkContext.defaultParallelism
+    text = read_lines(t.spark, source, line_sep="\n", min_partitions=cores)
+    counts = count_by_key(word_rows(text, "value"), "word")
+    pair_lines(counts, "word", "n").write.option("lineSep", "\n").text(result)
+    return read_lines(t.spark, result, line_sep="\n")
+
+
 @query(
     "A15 O02 O03",
     f"SELECT word, count(*) AS n FROM {WORDS} GROUP BY word ORDER BY n DESC, word LIMIT 20",

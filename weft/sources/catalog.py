@@ -15,6 +15,19 @@ def scratch_database(spark: SparkSession, name: str = "weft_scratch") -> str:
     return name
 
 
+def create_table(spark: SparkSession, table: str, columns: str) -> str:
+    """Empty managed table from a column list in SQL; kept if it exists."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet")
+    return table
+
+
+def insert(df: DataFrame, table: str) -> DataFrame:
+    """Append rows, columns by name."""
+    target = df.sparkSession.table(table)
+    df.select(*target.columns).write.insertInto(table)
+    return df.sparkSession.table(table)
+
+
 def save_table(df: DataFrame, table: str, *, mode: str = "error") -> DataFrame:
     df.write.mode(mode).saveAsTable(table)
     return df.sparkSession.table(table)
