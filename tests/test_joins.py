@@ -161,7 +161,9 @@ def test_only_bounded_sides_are_broadcast(spark):
 
 def test_cogroup(spark):
     left = spark.createDataFrame([("a", "1"), ("b", "2"), (None, "0")], "k string, l string")
-    right = spark.createDataFrame([("a", "x"), ("c", "2"), ("a", "y"), (None, "z")], "k string, r string")
+    right = spark.createDataFrame(
+        [("a", "x"), ("c", "2"), ("a", "y"), (None, "z")], "k string, r string"
+    )
     found = {r.k: (r.left, r.right) for r in cogroup_chunks(left, right, ["k"], "l", "r").collect()}
     assert found == {
         "a": (["1"], ["x", "y"]), "b": (["2"], []), "c": ([], ["2"]), None: (["0"], ["z"]),

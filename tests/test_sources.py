@@ -96,8 +96,9 @@ def test_sql_on_file(spark, tmp_path, people):
 
 
 def test_merged_schema(spark, tmp_path):
-    squares = spark.range(1, 5).select(F.col("id").cast("int").alias("a"), (F.col("id") ** 2).cast("int").alias("b"))
-    cubes = spark.range(6, 10).select(F.col("id").cast("int").alias("a"), (F.col("id") ** 3).cast("int").alias("c"))
+    number = F.col("id").cast("int").alias("a")
+    squares = spark.range(1, 5).select(number, (F.col("id") ** 2).cast("int").alias("b"))
+    cubes = spark.range(6, 10).select(number, (F.col("id") ** 3).cast("int").alias("c"))
     root = str(tmp_path / "data")
     files.write_keyed({1: squares, 2: cubes}, root)
     merged = files.merged_schema_read(spark, root)
@@ -125,7 +126,8 @@ def test_partitioned_write(spark, tmp_path, people):
 def test_a_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
     path = str(tmp_path / "hot")
     rows = spark.range(0, 200_000, 1, 8).select(
-        F.when(F.col("id") % 10 == 0, F.col("id") % 3).alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("s")
+        F.when(F.col("id") % 10 == 0, F.col("id") % 3).alias("p"),
+        F.sha2(F.col("id").cast("string"), 256).alias("s"),
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
@@ -145,7 +147,8 @@ def test_range_layout_gives_disjoint_files(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     read = spark.read.parquet(path)
-    spans = read.groupBy(F.input_file_name().alias("f")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    files_read = read.groupBy(F.input_file_name().alias("f"))
+    spans = files_read.agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
     spans = [(r.lo, r.hi) for r in spans.orderBy("lo").collect()]
     assert len(spans) == 8
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
@@ -207,7 +210,8 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
 def test_views(spark, people):
     people.createOrReplaceTempView("people_v")
     assert spark.sql("SELECT name, age AS a FROM people_v WHERE age BETWEEN 13 AND 19").count() == 1
-    other = tables.query_global_view(people, "people_g", "SELECT count(*) AS n FROM global_temp.people_g")
+    sql = "SELECT count(*) AS n FROM global_temp.people_g"
+    other = tables.query_global_view(people, "people_g", sql)
     assert other.first().n == 5
     with pytest.raises(Exception, match="TEMP_TABLE_OR_VIEW_ALREADY_EXISTS"):
         people.createGlobalTempView("people_g")

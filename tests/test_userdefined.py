@@ -54,9 +54,8 @@ def test_average_of_the_whole_frame(spark):
 def test_several_keys_and_text_buffers(spark):
     rows = [(1, "x", "b"), (1, "x", "a"), (1, None, "c"), (2, None, None), (2, None, "z")]
     df = spark.createDataFrame(rows, "i int, k string, v string").repartition(3)
-    found = {
-        (r.i, r.k): tuple(r.result) for r in aggregate_with(df, ["i", "k"], "v", largest_text()).collect()
-    }
+    rows = aggregate_with(df, ["i", "k"], "v", largest_text()).collect()
+    found = {(r.i, r.k): tuple(r.result) for r in rows}
     assert found == {(1, "x"): ("b", 2), (1, None): ("c", 1), (2, None): ("z", 2)}
 
 

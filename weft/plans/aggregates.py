@@ -231,7 +231,11 @@ def udaf_sum0(t):
     f"FROM {LABELLED} GROUP BY 1, 2",
 )
 def udaf_average(t):
-    groups = labelled_documents(t).groupBy("lang", "source").agg(own.average_or_nan("quality").alias("a"))
+    groups = (
+        labelled_documents(t)
+        .groupBy("lang", "source")
+        .agg(own.average_or_nan("quality").alias("a"))
+    )
     millionths = F.round(F.col("a") * 1000000).cast("long")
     return groups.select("lang", "source", F.when(F.isnan("a"), -1).otherwise(millionths).alias("v"))
 

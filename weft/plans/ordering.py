@@ -37,9 +37,12 @@ def head_n(t):
 
 @query(
     "A13 O05",
-    "SELECT o_custkey, o_orderkey, CAST(coalesce(sum(CAST(o_totalprice AS BIGINT)) OVER "
-    "(PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
-    "AS BIGINT) AS start FROM (SELECT o_custkey, o_orderkey, floor(o_totalprice) AS o_totalprice FROM orders)",
+    """
+    SELECT o_custkey, o_orderkey, CAST(coalesce(sum(w) OVER (
+               PARTITION BY o_custkey ORDER BY o_orderkey
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+    FROM (SELECT o_custkey, o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS w FROM orders)
+    """,
 )
 def running_totals(t):
     rows = t.orders.select(
