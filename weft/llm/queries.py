@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm.bpe import decode_bpe, encode_bpe
+from weft.llm.common import id_remainder
+from weft.llm.langid import identify_language, train_langid
 from weft.llm.packing import pack_tokens
+from weft.llm.quality import score_quality, train_quality
+from weft.llm.secrets import KINDS, learn_formats, scan_secrets
 from weft.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +22,7 @@ ORACLES: dict[str, str] = {}
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
+QUALITY_BOUND = 0.3
 
 
 def query(oracle: str | None = None):
@@ -63,3 +68,54 @@ def packed(documents: DataFrame) -> DataFrame:
 def op9_packing(spark: SparkSession, directory: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
     return packed(load_table(spark, directory, "documents"))
+
+
+def trained_quality(spark: SparkSession, directory: str):
+    """Trees learned from labels outside the held-out fifth."""
+    documents, labels = (load_table(spark, directory, t) for t in ("documents", "labels"))
+    return train_quality(documents, labels.filter(id_remainder("doc_id", 5) != 0))
+
+
+@query()
+def op1_quality(spark: SparkSession, directory: str) -> DataFrame:
+    """Quality score of every document."""
+    documents = load_table(spark, directory, "documents")
+    scored = score_quality(documents, trained_quality(spark, directory), keep=["doc_id"])
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
+    predicted = (F.col("score") >= QUALITY_BOUND).cast("int")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
+@query()
+def op5_secrets(spark: SparkSession, directory: str) -> DataFrame:
+    """Secrets in every document: by patterns, and by formats learned from those."""
+    documents = load_table(spark, directory, "documents")
+    scanned = scan_secrets(documents, learn_formats(documents), keep=["doc_id"])
+
+    def joined(spans):
+        marks = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(marks, ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*KINDS))
+    counts = [
+        F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in KINDS
+    ]
+    return scanned.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op8_language(spark: SparkSession, directory: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    documents = load_table(spark, directory, "documents")
+    network = train_langid(documents, id_remainder("doc_id", 3) != 1)
+    found = identify_language(documents, network, keep=["doc_id"])
+    held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
