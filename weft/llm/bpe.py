@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 
 from weft.llm.common import Memo, held, map_rows
 
-WORDS_KEPT = 400_000
-PIECES_KEPT = 50_000
+WORDS_KEPT = 250_000
+PIECES_KEPT = 30_000
 LONGEST_KEPT = 64
-FITS_KEPT = 1_000_000
+FITS_KEPT = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -7,6 +7,7 @@ import types
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from pyspark.sql import types as T
 
 from weft.sources.scratch import scratch_path
 
+#: Rows worked on at once in Python, whatever size of Arrow batch the session sets.
+BATCH_ROWS = 1000
+
 #: White space of the text rules, as characters and as a regular expression.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -73,9 +77,11 @@ def map_rows(
     width = len(stay)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = function(*batch.columns[width:])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], schema.names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                columns = function(*batch.columns[width:])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], schema.names)
 
     picked = [F.col(f"`{c}`") for c in stay]
     given = [F.col(f"`{c}`").alias(f"_input{i}") for i, c in enumerate(inputs)]
@@ -85,9 +91,11 @@ def map_rows(
 def utf8(column: pa.Array) -> tuple[bytes, list[int]]:
     """All texts of a batch as one buffer with their bounds; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
-    bounds = memoryview(column.buffers()[1]).cast("q")[column.offset : column.offset + len(column) + 1]
+    first = column.offset
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[first : first + len(column) + 1]
     data = column.buffers()[2]
-    return (data.to_pybytes() if data else b""), bounds.tolist()
+    low, high = int(bounds[0]), int(bounds[-1])
+    return (data[low:high].to_pybytes() if data else b""), (bounds - low).tolist()
 
 
 def id_remainder(column: str, divisor: int) -> Column:

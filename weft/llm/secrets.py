@@ -44,7 +44,7 @@ DIGIT = re.compile(rb"[0-9]")
 EXAMPLES = 400  # of each kind, sampled by hash
 EXAMPLE_LONGEST = 128
 MERGE_ERROR = 0.05  # ALERGIA's confidence parameter
-LOW_SHARE = 0.02  # of the examples may score below the bound
+LOW_SHARE, SLACK = 0.02, 0.1  # this share of the examples may score below the bound
 MARGIN = 10.0  # nats by which a format must beat other tokens
 
 SYMBOLS = len(LETTERS) + 3  # ``.``, ``=`` and any other
@@ -114,7 +114,7 @@ class Automaton:
             self.ends[at] += 1
         self._merge_states()
         self._flatten()
-        self.low = float(np.quantile(self.mean_scores(examples), LOW_SHARE)) if examples else 0.0
+        self.low = float(np.quantile(self.scores(examples)[1], LOW_SHARE)) - SLACK
 
     def _apart(self, a: int, n: int, b: int, m: int) -> bool:
         """Whether two shares differ by more than chance (Hoeffding's bound)."""
@@ -185,7 +185,8 @@ class Automaton:
         del self.visits, self.ends, self.edges, self.settled
 
     def scores(self, tokens: list[bytes]) -> np.ndarray:
-        """Log-likelihood of each token, all of them advanced together."""
+        """Log-likelihood of each token, and its mean over the symbols without the
+        end. All tokens are advanced together."""
         order = sorted(range(len(tokens)), key=lambda i: -len(tokens[i]))
         lengths = np.array([len(tokens[i]) for i in order], np.int64)
         symbols = SYMBOL[np.frombuffer(b"".join(tokens[i] for i in order), np.uint8)]
@@ -199,14 +200,11 @@ class Automaton:
             now = state[:active]
             total[:active] += self.log[now, symbol]
             state[:active] = self.next[now, symbol]
-        total += self.log[state, SYMBOLS]
-        result = np.empty(len(order))
-        result[order] = total
+        result = np.empty((2, len(order)))
+        result[0, order] = total + self.log[state, SYMBOLS]
+        result[1, order] = total / np.maximum(lengths, 1)
         return result
 
-    def mean_scores(self, tokens: list[bytes]) -> np.ndarray:
-        return self.scores(tokens) / (np.array([len(t) for t in tokens]) + 1)
-
 
 def learn_formats(df: DataFrame, *, text: str = "text", examples: int = EXAMPLES) -> dict[str, Automaton]:
     """Automata by kind, and of other tokens, from credentials in ``df``.
@@ -245,13 +243,12 @@ def _likely(tokens: list[bytes], formats: dict[str, Automaton], margin: float):
     """For each token the format it fits and by how much, or None."""
     if not tokens or OTHER not in formats:
         return [None] * len(tokens)
-    other = formats[OTHER].scores(tokens)
-    length = np.array([len(t) for t in tokens]) + 1
+    other = formats[OTHER].scores(tokens)[0]
     best, which = np.full(len(tokens), -np.inf), np.zeros(len(tokens), int)
     for i, kind in enumerate(KINDS):
         if kind in formats:
-            score = formats[kind].scores(tokens)
-            gain = np.where(score / length >= formats[kind].low, score - other, -np.inf)
+            score, mean = formats[kind].scores(tokens)
+            gain = np.where(mean >= formats[kind].low, score - other, -np.inf)
             better = gain > best
             best[better], which[better] = gain[better], i
     return [(LIKE[k], float(b)) if b >= margin else None for k, b in zip(which, best)]
