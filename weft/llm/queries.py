@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from weft.llm.bpe import decode_bpe, encode_bpe
 from weft.llm.common import id_remainder
+from weft.llm.exact import exact_groups
 from weft.llm.langid import identify_language, train_langid
 from weft.llm.packing import pack_tokens
 from weft.llm.quality import score_quality, train_quality
 from weft.llm.secrets import KINDS, learn_formats, scan_secrets
+from weft.llm.simhash import near_components
 from weft.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +121,31 @@ def op8_language(spark: SparkSession, directory: str) -> DataFrame:
     found = identify_language(documents, network, keep=["doc_id"])
     held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op4_simhash(spark: SparkSession, directory: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    components = near_components(load_table(spark, directory, "documents"))
+    bits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return components.select("doc_id", bits.alias("fingerprint"), "component_id")
+
+
+@query(
+    oracle=r"""
+    WITH texts AS (
+        SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
+        FROM documents
+    )
+    SELECT
+        doc_id,
+        min(doc_id) OVER (PARTITION BY body) AS keep_id,
+        count(*) OVER (PARTITION BY body) AS group_size,
+        doc_id = min(doc_id) OVER (PARTITION BY body) AS kept,
+        sha256(body) AS text_sha256
+    FROM texts
+    """
+)
+def op7_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """For every document the one that stays of its group of equal texts."""
+    return exact_groups(load_table(spark, directory, "documents"))
