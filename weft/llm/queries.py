@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.llm.ann import nearest_neighbours
 from weft.llm.bpe import decode_bpe, encode_bpe
 from weft.llm.common import id_remainder
 from weft.llm.exact import exact_groups
@@ -16,6 +17,8 @@ from weft.llm.packing import pack_tokens
 from weft.llm.quality import score_quality, train_quality
 from weft.llm.secrets import KINDS, learn_formats, scan_secrets
 from weft.llm.simhash import near_components
+from weft.llm.warc import read_warc, write_warc
+from weft.sources.scratch import scratch_path
 from weft.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +152,49 @@ def op4_simhash(spark: SparkSession, directory: str) -> DataFrame:
 def op7_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """For every document the one that stays of its group of equal texts."""
     return exact_groups(load_table(spark, directory, "documents"))
+
+
+@query()
+def op6_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    embeddings = load_table(spark, directory, "embeddings")
+    return nearest_neighbours(embeddings, F.col("vec_id") % 50 == 0)
+
+
+@query(
+    oracle=r"""
+    WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    digests AS (
+        SELECT
+            page_id,
+            strlen(body)::BIGINT AS payload_bytes,
+            unhex(sha1(body)) AS raw,
+            min(page_id) OVER (PARTITION BY body) AS lowest
+        FROM bodies
+    ),
+    letters AS (
+        SELECT page_id, string_agg(
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', bits::INT + 1, 1), '' ORDER BY spot
+        ) AS payload_digest
+        FROM (
+            SELECT page_id, spot, ('0b' || substr(digits, 5 * spot + 1, 5))::INT AS bits
+            FROM (SELECT page_id, raw::BIT::VARCHAR AS digits FROM digests), range(32) AS places(spot)
+        )
+        GROUP BY page_id
+    )
+    SELECT
+        page_id,
+        payload_bytes,
+        payload_digest,
+        CASE WHEN page_id = lowest THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> lowest THEN lowest END AS refers_to
+    FROM digests JOIN letters USING (page_id)
+    """
+)
+def op10_warc(spark: SparkSession, directory: str) -> DataFrame:
+    """Every page as a WARC record, read back from the archives."""
+    folder = scratch_path(spark, "warc")
+    index = write_warc(load_table(spark, directory, "pages"), folder)
+    return read_warc(index, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
