@@ -127,6 +127,18 @@ class Merges:
                 last, rank = ids[-1] if ids else -1, shorter[rank]
 
 
+def evenly_spaced(text: str) -> bool:
+    """Whether single blanks and line ends are the only white space, none of them at
+    an end of the text, and no word is very long.
+
+    Then a piece begins at each blank and line end, whatever stands around it.
+    """
+    words = text.split()
+    gaps = text.count(" ") + text.count("\n")
+    single = len(words) == gaps + 1 and len("".join(words)) + gaps == len(text)
+    return single and max(map(len, words)) <= LONGEST_KEPT
+
+
 def ids_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -157,13 +169,10 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
-        If single blanks and line ends are the only white space, and none is at an
-        end of the text, a piece begins at each of them, whatever stands around:
-        then words are looked up. Other texts are cut by the pattern as a whole.
+        Words of evenly spaced texts are looked up; other texts are cut by the
+        pattern as a whole.
         """
-        gaps = text.count(" ") + text.count("\n")
-        words = text.split()
-        if len(words) != gaps + 1 or max(map(len, words)) > LONGEST_KEPT:
+        if not evenly_spaced(text):
             return self._split(text)
         first, spaced, parts = self.first, self.spaced.__getitem__, []
         for line in text.split("\n"):

@@ -17,6 +17,7 @@ from weft.llm.packing import pack_tokens
 from weft.llm.quality import score_quality, train_quality
 from weft.llm.secrets import KINDS, learn_formats, scan_secrets
 from weft.llm.simhash import near_components
+from weft.llm.token_counts import count_tokens, recount_tokens
 from weft.llm.warc import read_warc, write_warc
 from weft.sources.scratch import scratch_path
 from weft.sources.tables import load_table
@@ -28,6 +29,7 @@ BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 QUALITY_BOUND = 0.3
+NUMBER, NUMBER_MASK = r"[0-9]+", "0"
 
 
 def query(oracle: str | None = None):
@@ -198,3 +200,20 @@ def op10_warc(spark: SparkSession, directory: str) -> DataFrame:
     return read_warc(index, folder, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query()
+def op3_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    """Tokens of every document before and after an edit of each of its numbers."""
+    documents = load_table(spark, directory, "documents")
+    rules = BYTE_RANKS, public_tokenizers.PATTERN
+    counted = count_tokens(documents, *rules, keep=["doc_id", "text"])
+    again = recount_tokens(counted, *rules, (NUMBER, NUMBER_MASK), keep=["doc_id", "n_tokens"])
+    return again.select(
+        "doc_id",
+        "n_tokens",
+        "n_edits",
+        "edited_tokens",
+        "n_encoded",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+    )
