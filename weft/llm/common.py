@@ -84,7 +84,8 @@ def map_rows(
                 yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], schema.names)
 
     picked = [F.col(f"`{c}`") for c in stay]
-    given = [F.col(f"`{c}`").alias(f"_input{i}") for i, c in enumerate(inputs)]
+    mark = "_" * (1 + max(map(len, stay), default=0))  # longer than any name that stays
+    given = [F.col(f"`{c}`").alias(f"{mark}{i}") for i, c in enumerate(inputs)]
     return df.select(*picked, *given).mapInArrow(run, schema)
 
 
