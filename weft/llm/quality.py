@@ -175,7 +175,7 @@ def train_quality(
 
     rows = map_rows(matched, ["_text"], "x array<double>", run, keep=["_id", "_y"])
     table = rows.toArrow().sort_by("_id")  # so that the order of tasks has no effect
-    x = np.array(table.column("x").to_pylist(), float).reshape(len(table), -1)
+    x = np.array(table.column("x").to_pylist(), float)
     return fit_trees(x, table.column("_y").to_numpy())
 
 
