@@ -26,10 +26,27 @@ def test_stages_are_the_named_ones():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_copies", "near_copies", "secrets", "packing"]
 
 
-def test_pipeline_equals_plain_python(spark):
+@pytest.fixture(scope="module")
+def planted(spark, tmp_path_factory):
+    """The small tables with a near copy of the longest texts and some secrets."""
+    folder = str(tmp_path_factory.mktemp("planted"))
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = documents.collect()
+    longest = sorted(rows, key=lambda r: -r["n_chars"])[:5]
+    extra = [(10_000 + k, r["text"] + " end", r["lang"], r["source"], r["n_chars"] + 4) for k, r in enumerate(longest)]
+    for k, r in enumerate(rows[:8]):
+        text = f"{r['text']}\ntoken = {k}abcdef é AKIA{'Q2W3' * 4} {'0f' * 14}"
+        extra.append((20_000 + k, text, r["lang"], r["source"], len(text)))
+    both = documents.union(spark.createDataFrame(extra, documents.schema)).repartition(3)
+    both.write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{SMALL}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_pipeline_equals_plain_python(spark, planted):
+    documents = spark.read.parquet(f"{planted}/documents.parquet")
     docs = {r["doc_id"]: r for r in documents.collect()}
-    model = trained_quality(spark, SMALL)
+    model = trained_quality(spark, planted)
     good = {
         i for i, r in docs.items() if model.scores(statistics(pa.array([r["text"]], pa.string())))[0] >= 0.3
     }
@@ -45,7 +62,7 @@ def test_pipeline_equals_plain_python(spark):
     for i, p in zip(single, prints):
         lowest.setdefault(root[p], i)
     left = sorted(lowest.values())
-    assert len(left) <= len(single) < len(good)
+    assert len(left) < len(single) < len(good)
     frame = documents.filter(documents.doc_id.isin(left))
     texts = {}
     for r in scan_secrets(frame, learn_formats(frame)).collect():
@@ -57,7 +74,7 @@ def test_pipeline_equals_plain_python(spark):
     assert any("[secret]" in t for t in texts.values())
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in texts.items()}
-    pieces = corpus_pipeline.run(spark, SMALL).collect()
+    pieces = corpus_pipeline.run(spark, planted).collect()
     met = {}
     for p in sorted(pieces, key=lambda p: (p["doc_id"], p["start"])):
         assert p["start"] == met.get(p["doc_id"], 0)
