@@ -1,4 +1,3 @@
-import datetime
 import math
 from collections import Counter, defaultdict
 
@@ -134,14 +133,11 @@ GROUPED = (
 
 
 @pytest.mark.parametrize(
-    "partitions,chunk_rows,group_rows",
-    [(1, 10_000, 10_000), (8, 16, 10_000), (3, 16, 4), (8, 16, 100), (1, 1, 1)],
+    "partitions,chunk_rows", [(1, 10_000), (8, 16), (3, 5), (1, 1)]
 )
-def test_group_chunks_hold_every_value_in_order(spark, partitions, chunk_rows, group_rows):
+def test_group_chunks_hold_every_value_in_order(spark, partitions, chunk_rows):
     df = spark.createDataFrame(GROUPED, "k string, v int").repartition(partitions)
-    found = chunks_by_key(
-        group_chunks(df, ["k"], "v", chunk_rows=chunk_rows, group_rows=group_rows)
-    )
+    found = chunks_by_key(group_chunks(df, ["k"], "v", chunk_rows=chunk_rows))
     expected = defaultdict(list)
     for k, v in GROUPED:
         expected[k].append(v)
@@ -157,18 +153,49 @@ def test_group_chunks_hold_every_value_in_order(spark, partitions, chunk_rows, g
 @pytest.mark.parametrize(
     "kind,keys",
     [
-        ("double", [float("nan"), 0.0, -0.0, None]),
-        ("array<int>", [[1], [], None]),
-        ("timestamp", [datetime.datetime(2024, 1, 1), None]),
+        ("double", ["double('nan')", "0.0D", "-0.0D", "null"]),
+        ("array<int>", ["array(1)", "array()", "null"]),
+        ("struct<a:array<int>>", ["named_struct('a', array(1))", "named_struct('a', array(2))"]),
+        ("timestamp_ntz", ["timestamp_ntz'+12000-01-01 00:00:00'", "null"]),
+        ("decimal(20,2)", ["1.50", "2.00"]),
+        ("string collate UTF8_LCASE", ["'x'", "'y'"]),
     ],
 )
 def test_group_chunks_for_key_types(spark, kind, keys):
-    rows = [(k, i) for k in keys for i in range(25)]
-    df = spark.createDataFrame(rows, f"k {kind}, v int").repartition(4)
-    large = group_chunks(df, ["k"], "v", chunk_rows=10, group_rows=5)
-    plain = group_chunks(df, ["k"], "v", chunk_rows=10)
-    assert Counter(map(repr, large.collect())) == Counter(map(repr, plain.collect()))
-    assert large.agg(F.sum(F.size("values"))).first()[0] == len(rows)
+    """Small chunks hold the same values as whole groups, and types stay."""
+    cases = " ".join(f"WHEN {i} THEN CAST({k} AS {kind})" for i, k in enumerate(keys))
+    rows = spark.range(25 * len(keys)).repartition(4)
+    df = rows.selectExpr(f"CASE id % {len(keys)} {cases} END AS k", "id AS v")
+    large = group_chunks(df, ["k"], "v", chunk_rows=10)
+    assert large.schema["k"].dataType == df.schema["k"].dataType
+    text = F.to_json(F.struct("k")).alias("t")
+    found = defaultdict(list)
+    for r in large.select(text, "chunk", "values").orderBy("chunk").collect():
+        assert len(r["values"]) <= 10
+        found[r.t] += r["values"]
+    expected = defaultdict(list)
+    for r in df.groupBy("k").agg(F.sort_array(F.collect_list("v")).alias("v")).select(text, "v").collect():
+        expected[r.t] = r.v
+    assert found == expected
+
+
+def test_group_chunks_keep_values_as_they_are(spark):
+    df = spark.sql(
+        "SELECT 'k' AS k, v, CAST(t AS STRING COLLATE UTF8_LCASE) AS t "
+        "FROM VALUES (1.0D, 'a'), (-0.0D, 'A'), (0.0D, 'a'), (double('nan'), 'B') AS rows(v, t)"
+    )
+    values = group_chunks(df, ["k"], "v", chunk_rows=2).orderBy("chunk").collect()
+    assert sorted(str(v) for r in values for v in r["values"]) == ["-0.0", "0.0", "1.0", "nan"]
+    texts = group_chunks(df, ["k"], "t").first()["values"]
+    assert Counter(texts) == Counter(["a", "A", "a", "B"]) and texts[3] == "B"
+
+
+def test_group_chunks_are_bounded_in_bytes(spark):
+    df = spark.range(40).select(F.lit("k").alias("k"), F.repeat(F.lit("x"), F.col("id").cast("int") * 10).alias("v"))
+    chunks = group_chunks(df, ["k"], "v", chunk_rows=10, chunk_bytes=1000).orderBy("chunk").collect()
+    assert [v for r in chunks for v in r["values"]] == ["x" * 10 * i for i in range(40)]
+    assert max(sum(map(len, r["values"])) for r in chunks) <= 1400
+    assert max(len(r["values"]) for r in chunks) <= 10
 
 
 def test_group_chunks_of_values_of_many_kinds(spark):
@@ -176,7 +203,7 @@ def test_group_chunks_of_values_of_many_kinds(spark):
         F.lit("k").alias("k"),
         F.struct((F.col("id") % 7).alias("a"), F.array("id").alias("b")).alias("v"),
     )
-    found = group_chunks(df, ["k"], "v", chunk_rows=8, group_rows=5).orderBy("chunk").collect()
+    found = group_chunks(df, ["k"], "v", chunk_rows=8).orderBy("chunk").collect()
     values = [v for r in found for v in r["values"]]
     assert [len(r["values"]) for r in found] == [8, 8, 8, 6]
     assert values == sorted(values, key=lambda v: (v.a, v.b))

@@ -55,10 +55,12 @@ def test_range_path_equals_window(spark, keys, partitions):
     ]
     df = spark.createDataFrame(rows, "k string, j int, id int, w long").repartition(partitions)
     window = Window.partitionBy(*keys).orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    expected = df.withColumn("start", F.coalesce(F.sum("w").over(window), F.lit(0)))
-    for limit in (0, 10_000):
-        found = ordering.running_totals(df, keys, ["id"], "w", group_rows=limit)
+    for kind in ("long", "decimal(10,2)", "double"):
+        rows = df.withColumn("w", F.col("w").cast(kind))
+        expected = rows.withColumn("start", F.coalesce(F.sum("w").over(window), F.lit(0)))
+        found = ordering.running_totals(rows, keys, ["id"], "w")
         assert found.columns == expected.columns
+        assert found.schema["start"].dataType == rows.select(F.sum("w")).schema[0].dataType
         assert {tuple(r) for r in found.collect()} == {tuple(r) for r in expected.collect()}
         assert found.count() == 500
 
@@ -71,12 +73,53 @@ def test_explode_range(spark, low, high):
     assert found.columns == ["k", "a", "b", "i"]
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_quantiles(spark, limit):
+def test_running_totals_go_on_over_batches_and_ranges(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(2_000).select((F.col("id") > 1_700).alias("k"), (F.col("id") % 3).alias("o"))
+        found = ordering.running_totals(df.withColumn("w", F.lit(1)), ["k"], ["o"], "w")
+        starts = {k: sorted(r.start for r in found.filter(F.col("k") == k).collect()) for k in (True, False)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert starts == {True: list(range(299)), False: list(range(1_701))}
+    wide = spark.range(9).select(F.lit(2**62).alias("w"), "id")
+    with pytest.raises(Exception, match="range of long"):
+        ordering.running_totals(wide, [], ["id"], "w").collect()
+
+
+def test_running_totals_exchange_rows_once(spark):
+    from weft.sources import scratch
+
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_custkey", "o_orderkey")
+    plans = []
+    plain = scratch.stored
+    try:
+        ordering.stored = lambda frame, label: plans.append(explain(frame)) or plain(frame, label)
+        placed = ordering.running_totals(df, ["o_custkey"], ["o_orderkey"], "o_orderkey")
+    finally:
+        ordering.stored = plain
+    assert plans[0].split("\n\n\n")[0].count("Exchange") == 1
+    assert "SortMergeJoin" not in explain(placed)
+
+
+def test_quantiles_of_many_columns_scan_three_times(spark):
+    folder = "/root/testdata/sf0.001/lineitem.parquet"
+    df = spark.read.parquet(folder)
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"]
+    table = ordering.quantile_table(df, columns, {"q1": 0.25, "q9": 0.9})
+    assert table.count() == 5
+    for r in table.collect():
+        values = sorted(x[0] for x in df.select(r.field).collect())
+        for share, struct in ((0.25, r.q1), (0.9, r.q9)):
+            found = [v for v in struct if v is not None]
+            assert found == [values[max(1, ordering._ceil_share(len(values), share)) - 1]]
+
+
+def test_quantiles(spark):
     values = [5] * 60 + list(range(40)) + [None] * 9
     df = spark.createDataFrame([(v,) for v in values], "v int").repartition(4)
     shares = {"lo": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "hi": 1.0}
-    found = ordering.quantiles(df, "v", shares, group_rows=limit).first()
+    found = ordering.quantiles(df, "v", shares).first()
     present = sorted(v for v in values if v is not None)
     expected = [present[0], present[24], present[49], present[74], present[-1]]
     assert list(found) == expected

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weft.operators.hotkeys import hot_keys, split_hot
-from weft.operators.ordering import GROUP_ROWS, explode_range, quantiles, totals_by_range
-from weft.sources.scratch import stored
+from weft.operators.ordering import quantile_table, running_totals
 
 CHUNK_ROWS = 10_000
+CHUNK_BYTES = 64 << 20
 
 
 def aggregate(
@@ -47,48 +46,38 @@ def group_chunks(
     value: str,
     *,
     chunk_rows: int = CHUNK_ROWS,
-    group_rows: int = GROUP_ROWS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Sorted values per key: ``(keys, chunk, values)``, nulls first.
 
-    A group of up to ``chunk_rows`` values is one row with chunk 0, a larger one
-    goes on in further rows; chunk by chunk they are the whole sorted group. Keys
-    of up to ``group_rows`` rows are numbered by a window. For larger ones equal
-    values are counted first and then placed range by range, so neither a hot key
-    nor a hot value gathers in one task.
+    A group of up to ``chunk_rows`` values is one row with chunk 0, a larger one goes
+    on in further rows; chunk by chunk they are the whole sorted group. Values of more
+    than ``chunk_bytes / chunk_rows`` bytes count as several, so a chunk has at most
+    about ``chunk_bytes``; chunk numbers can then leave some out.
+
+    Every value is placed in its group by running totals over ranges of all keys and
+    values, so groups of all sizes take the same way and none gathers in one task.
     """
     pairs = df.select(*keys, F.col(value).alias("_v"))
-    hot = hot_keys(pairs, keys, group_rows)
-    if not hot:
-        return _window_chunks(pairs, keys, chunk_rows)
-    cold_rows, hot_rows = split_hot(pairs, keys, hot)
-    large = _range_chunks(hot_rows, keys, chunk_rows)
-    return _window_chunks(cold_rows, keys, chunk_rows).unionByName(large)
-
-
-def _window_chunks(pairs: DataFrame, keys: list[str], chunk_rows: int) -> DataFrame:
-    # The window and the group-by share one exchange on the keys.
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy("_v")) - 1
-    numbered = pairs.withColumn("_at", position)
+    cost = _cost(pairs.schema["_v"].dataType, chunk_rows, chunk_bytes)
+    placed = running_totals(pairs.withColumn("_cost", cost), keys, ["_v"], "_cost", name="_at")
     chunk = F.expr(f"_at div {chunk_rows}").alias("chunk")
-    gathered = F.sort_array(F.collect_list(F.struct("_v")))
-    groups = numbered.select(*keys, "_v", chunk).groupBy(*keys, "chunk").agg(gathered.alias("_g"))
-    return groups.select(*keys, "chunk", F.col("_g")["_v"].alias("values"))
-
-
-def _range_chunks(pairs: DataFrame, keys: list[str], chunk_rows: int) -> DataFrame:
-    # Stored, as the ranges are sampled before they are cut.
-    runs = stored(pairs.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "runs")
-    placed = totals_by_range(runs, keys, ["_v"], "_n", "_at")
-    low, high = F.expr(f"_at div {chunk_rows}"), F.expr(f"(_at + _n - 1) div {chunk_rows}")
-    pieces = explode_range(placed, low, high, "chunk")
-    edge = F.col("chunk") * chunk_rows
-    copies = F.least(F.col("_at") + F.col("_n"), edge + chunk_rows) - F.greatest("_at", edge)
-    piece = F.struct("_v", copies.cast("int").alias("_m")).alias("_p")
-    chunks = pieces.select(*keys, "chunk", piece).groupBy(*keys, "chunk")
-    runs_in_order = chunks.agg(F.sort_array(F.collect_list("_p")).alias("_g"))
-    values = F.flatten(F.transform("_g", lambda p: F.array_repeat(p["_v"], p["_m"])))
-    return runs_in_order.select(*keys, "chunk", values.alias("values"))
+    groups = placed.select(*keys, chunk, F.struct("_at", "_v").alias("_p")).groupBy(*keys, "chunk")
+    # Places differ, so sorting by them never compares values.
+    gathered = groups.agg(F.sort_array(F.collect_list("_p")).alias("_g"))
+    return gathered.select(*keys, "chunk", F.col("_g")["_v"].alias("values"))
+
+
+def _cost(kind: T.DataType, chunk_rows: int, chunk_bytes: int) -> Column:
+    """How many ordinary values a value counts for by its size."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length("_v")
+    elif isinstance(kind, (T.StructType, T.ArrayType)):
+        size = F.octet_length(F.to_json(F.struct("_v")))
+    else:
+        return F.lit(1)
+    wide = F.ceil(size.cast("double") * chunk_rows / chunk_bytes).cast("long")
+    return F.greatest(F.lit(1).cast("long"), F.coalesce(wide, F.lit(1)))
 
 
 def group_rows_by(
@@ -97,11 +86,11 @@ def group_rows_by(
     *,
     name: str = "key",
     chunk_rows: int = CHUNK_ROWS,
-    group_rows: int = GROUP_ROWS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Whole rows, as structs, grouped by a computed key; see group_chunks."""
     rows = df.select(key.alias(name), F.struct(*df.columns).alias("_row"))
-    return group_chunks(rows, [name], "_row", chunk_rows=chunk_rows, group_rows=group_rows)
+    return group_chunks(rows, [name], "_row", chunk_rows=chunk_rows, chunk_bytes=chunk_bytes)
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -128,22 +117,40 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def summary(
-    df: DataFrame, columns: list[str], shares: dict[str, float] | None = None
+    df: DataFrame,
+    columns: list[str],
+    shares: dict[str, float] | None = None,
+    *,
+    exact: bool = True,
 ) -> DataFrame:
-    """:func:`describe` with exact quantiles, as text; one row per column.
+    """:func:`describe` with quantiles, as text; one row per column.
 
-    Strings have no quantiles.
+    Strings have no quantiles. The number of scans does not depend on the number of
+    columns: exact quantiles take three more (see quantile_table), approximate ones
+    (``exact=False``, Spark's ``percentile_approx``) one.
     """
     shares = shares or {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    table = None
-    for c in columns:
-        if isinstance(df.schema[c].dataType, T.NumericType):
-            one = quantiles(df, c, shares)
-        else:
-            one = df.sparkSession.range(1).select(*[F.lit(None).alias(q) for q in shares])
-        one = one.select(
-            F.lit(c).alias("field"), *[F.col(q).cast("string").alias(q) for q in shares]
-        )
-        table = one if table is None else table.unionByName(one)
+    numbers = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    described = describe(df, columns)
+    if not numbers:
+        return described.select("*", *[F.lit(None).cast("string").alias(q) for q in shares])
+    if exact:
+        table = quantile_table(df, numbers, shares)
+        texts = [
+            F.coalesce(*[c.cast("string") for c in _fields(table, q)]).alias(q) for q in shares
+        ]
+        table = table.select("field", *texts)
+    else:
+        at = F.array(*[F.lit(float(s)) for s in shares.values()])
+        cells = [
+            F.struct(F.lit(c).alias("field"), F.percentile_approx(c, at).cast("array<string>").alias("_q")).alias(f"_{i}")
+            for i, c in enumerate(numbers)
+        ]
+        rows = df.agg(*cells).select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(cells))])))
+        table = rows.select("field", *[F.col("_q")[j].alias(q) for j, q in enumerate(shares)])
     # One row per column on both sides.
-    return describe(df, columns).join(F.broadcast(table), "field")
+    return described.join(F.broadcast(table), "field", "left")
+
+
+def _fields(table: DataFrame, column: str) -> list[Column]:
+    return [F.col(f"{column}.{f.name}") for f in table.schema[column].dataType.fields]

@@ -1,15 +1,20 @@
-"""Sorts, top-k and positions in a sort order."""
+"""Sorts, top-k, positions in a sort order and exact quantiles."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weft.operators.hotkeys import hot_keys, split_hot
 from weft.sources.scratch import stored
 
-GROUP_ROWS = 1_000_000
-BLOCK = 4096
+ACCURACY = 10_000  # of the approximate quantiles that bracket the exact ones
 
 
 def sort_by(df: DataFrame, *order: str | Column, ties: list[str] | None = None) -> DataFrame:
@@ -38,65 +43,124 @@ def sorted_within_keys(df: DataFrame, keys: list[str], values: list[str]) -> Dat
 
 
 def running_totals(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    weight: str,
-    *,
-    name: str = "start",
-    group_rows: int = GROUP_ROWS,
+    df: DataFrame, keys: list[str], order: list[str], weight: str, *, name: str = "start"
 ) -> DataFrame:
     """Sum of ``weight`` over the rows before this one, per key.
 
-    ``order`` must be unique per key. Keys of up to ``group_rows`` rows are summed
-    by a window. Larger ones are cut into ranges of their order; see
-    totals_by_range. ``keys`` may be empty for one global order.
-    """
-    if not keys:
-        by = totals_by_range if df.count() > group_rows else totals_by_window
-        return by(df, keys, order, weight, name)
-    hot = hot_keys(df, keys, group_rows)
-    if not hot:
-        return totals_by_window(df, keys, order, weight, name)
-    cold_rows, hot_rows = split_hot(df, keys, hot)
-    cold = totals_by_window(cold_rows, keys, order, weight, name)
-    return cold.unionByName(totals_by_range(hot_rows, keys, order, weight, name))
-
-
-def totals_by_window(
-    df: DataFrame, keys: list[str], order: list[str], weight: str, name: str
-) -> DataFrame:
-    """Each key is summed by one task."""
-    before = _before(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(name, F.coalesce(F.sum(weight).over(before), F.lit(0)))
-
-
-def totals_by_range(
-    df: DataFrame, keys: list[str], order: list[str], weight: str, name: str
-) -> DataFrame:
-    """Each key is summed by as many tasks as it has ranges of rows.
-
-    Ranges of (key, order) are kept in scratch storage, so that both passes see
-    the same ones. A range continues from the totals of the key's earlier ranges.
+    Null weights count as nothing; the sum has the type that ``sum`` gives. Rows that
+    are equal in ``order`` come in any order. ``keys`` may be empty for one order of
+    all rows.
+
+    Rows are exchanged once, by ranges of keys and order, whatever the sizes of the
+    keys, so a hot key lies in several ranges and equal values can be parted too. In
+    a range they are sorted and summed up batch by batch. Only the key that a range
+    begins with can have rows in earlier ranges: its total there, one row per range,
+    is added afterwards. The ranges are kept in scratch storage, so that both passes
+    see the same ones. Where one key ends and the next begins is told by 96 bits of
+    hashes.
     """
-    key = F.struct(*keys) if keys else F.lit(0)
-    ranged = df.repartitionByRange(*keys, *order)
-    # Equality of structs treats nulls inside them as equal, so null keys join.
-    ranged = ranged.select("*", key.alias("_key"), F.spark_partition_id().alias("_range"))
-    ranged = stored(ranged, "ranges")
-    totals = ranged.groupBy("_range", "_key").agg(F.sum(weight).alias("_total"))
-    # One row per range that holds the key.
-    earlier = _before(Window.partitionBy("_key").orderBy("_range"))
-    starts = totals.select(
-        "_range", "_key", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_first")
+    kind = df.select(F.sum(weight)).schema[0].dataType
+    mark = [F.xxhash64(*keys), F.hash(*keys)] if keys else [F.lit(0).cast("long"), F.lit(0)]
+    zero = F.lit(0).cast(kind)
+    given = df.select(
+        "*",
+        F.coalesce(F.col(weight).cast(kind), zero).alias("_w"),
+        mark[0].alias("_m1"),
+        mark[1].alias("_m2"),
+        F.monotonically_increasing_id().alias("_tie"),
+    )
+    by = [*keys, *order, "_tie"]
+    ranged = given.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
+    width = len(df.columns)
+    fields = T.StructType.fromDDL("_m1 long, _m2 int, _range int, _at long, _whole boolean").fields
+    schema = T.StructType(
+        [*df.schema.fields, T.StructField("_before", kind), T.StructField("_end", kind), *fields]
     )
-    local = totals_by_window(ranged, ["_range", "_key"], order, weight, "_inner")
-    placed = local.join(starts, ["_range", "_key"])
-    return placed.select(*df.columns, (F.col("_first") + F.col("_inner")).alias(name))
-
 
-def _before(window):
-    return window.rowsBetween(Window.unboundedPreceding, -1)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at, first, last, held = TaskContext.get().partitionId(), 0, None, None, None
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            w, m1, m2 = batch.columns[width:]
+            a, b = m1.to_numpy(), m2.to_numpy()
+            new = np.ones(n, bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            first = first or (a[0], b[0])
+            new[0] = last != (a[0], b[0])
+            end, before = _sums(w, np.flatnonzero(new), held)
+            last, held = (a[-1], b[-1]), end[n - 1]
+            whole = (a == first[0]) & (b == first[1])
+            columns = [
+                *batch.columns[:width],
+                before,
+                end,
+                m1,
+                m2,
+                pa.array(np.full(n, part, np.int32)),
+                pa.array(np.arange(at, at + n)),
+                pa.array(whole),
+            ]
+            at += n
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    placed = stored(ranged.mapInArrow(add, schema), "ranges")
+    key = F.struct("_m1", "_m2")
+    per_range = placed.groupBy("_range").agg(
+        F.struct(
+            F.min_by(key, "_at").alias("_key"),
+            F.max_by(F.when(F.col("_whole"), F.col("_end")), F.when(F.col("_whole"), F.col("_at"))).alias("_sum"),
+            F.lit(True).alias("_leads"),
+        ).alias("_head"),
+        F.struct(
+            F.max_by(key, "_at").alias("_key"),
+            F.max_by("_end", "_at").alias("_sum"),
+            F.lit(False).alias("_leads"),
+        ).alias("_tail"),
+    )
+    one_key = F.col("_head._key") == F.col("_tail._key")
+    entries = F.when(one_key, F.array("_head")).otherwise(F.array("_head", "_tail"))
+    runs = per_range.select("_range", F.inline(entries))
+    earlier = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = runs.select("_range", "_leads", F.sum("_sum").over(earlier).alias("_base"))
+    bases = bases.filter(F.col("_leads") & F.col("_base").isNotNull()).select("_range", "_base")
+    # At most one row per shuffle partition.
+    joined = placed.join(F.broadcast(bases), "_range", "left")
+    base = F.when(F.col("_whole"), F.coalesce("_base", zero)).otherwise(zero)
+    kept = [c for c in df.columns if c != name]
+    return joined.select(*kept, (F.col("_before") + base).cast(kind).alias(name))
+
+
+def _sums(w: pa.Array, starts: np.ndarray, held) -> tuple[pa.Array, pa.Array]:
+    """Running sums with and without the row itself; each run of rows begins at one
+    of ``starts``, but a first run without a start goes on from ``held``."""
+    n = len(w)
+    if pa.types.is_integer(w.type):
+        values = w.to_numpy()
+        carry = 0 if held is None or (len(starts) and starts[0] == 0) else held.as_py()
+        if abs(float(carry)) + np.abs(values.astype(float)).sum() >= 2**63:
+            raise OverflowError("a running total leaves the range of long")
+        before = np.cumsum(values) - values
+        bases = np.zeros(n, np.int64)
+        if len(starts):
+            lengths = np.diff(np.r_[starts, n])
+            bases[starts[0] :] = np.repeat(before[starts], lengths)
+            bases[: starts[0]] = -carry
+        else:
+            bases[:] = -carry
+        before = before - bases
+        return pa.array(before + values), pa.array(before)
+    values = w.to_pylist()
+    end, before = [], []
+    for low, high in zip([0, *starts], [*starts, n]):
+        if low < high:
+            carry = held.as_py() if low == 0 and not (len(starts) and starts[0] == 0) else None
+            start = type(values[low])(0) if carry is None else carry
+            sums = list(accumulate(values[low:high], initial=start))
+            before += sums[:-1]
+            end += sums[1:]
+    return pa.array(end, w.type), pa.array(before, w.type)
 
 
 def explode_range(df: DataFrame, low: Column, high: Column, name: str) -> DataFrame:
@@ -104,35 +168,82 @@ def explode_range(df: DataFrame, low: Column, high: Column, name: str) -> DataFr
 
     Done in blocks, so that no row ever carries a long array.
     """
+    block = 4096
     kept = df.withColumns({"_low": low, "_high": high})
-    block = F.sequence(F.expr(f"_low div {BLOCK}"), F.expr(f"_high div {BLOCK}"))
-    blocks = kept.withColumn("_block", F.explode(block))
-    first = F.greatest("_low", F.col("_block") * BLOCK)
-    last = F.least("_high", F.col("_block") * BLOCK + BLOCK - 1)
-    return blocks.withColumn(name, F.explode(F.sequence(first, last))).drop(
-        "_low", "_high", "_block"
-    )
+    blocks = F.sequence(F.expr(f"_low div {block}"), F.expr(f"_high div {block}"))
+    kept = kept.withColumn("_block", F.explode(blocks))
+    first = F.greatest("_low", F.col("_block") * block)
+    last = F.least("_high", F.col("_block") * block + block - 1)
+    return kept.withColumn(name, F.explode(F.sequence(first, last))).drop("_low", "_high", "_block")
 
 
-def quantiles(
-    df: DataFrame, column: str, shares: dict[str, float], *, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Exact quantiles: the smallest value that covers each share of the rows.
+def quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """Exact quantiles of a number: the smallest value that covers each share of the
+    rows. Nulls are left out. One row, one column per share; see quantile_table."""
+    table = quantile_table(df, [column], shares)
+    return table.select(*[F.col(f"{q}.v0").alias(q) for q in shares])
+
+
+def quantile_table(df: DataFrame, columns: list[str], shares: dict[str, float]) -> DataFrame:
+    """Exact quantiles of several numeric columns: ``(field, ...)`` with a struct per
+    share, in which ``v0``, ``v1``, ... stand for the different column types.
 
-    Values are counted first, then placed by running totals, so no task holds
-    all values. Nulls are left out. One row, one column per share.
+    Three scans, whatever the number of columns. The first brackets each rank by
+    approximate quantiles, the second counts what lies below a bracket and in it, and
+    the third settles the rank among the values inside. Nothing else is moved. A
+    bracket that misses its rank is replaced by the whole column. Without rows the
+    quantiles are null.
     """
-    present = df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
-    counts = stored(present.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")), "counts")
-    distinct, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
-    place = totals_by_range if distinct > group_rows else totals_by_window
-    placed = place(counts, [], ["_v"], "_n", "start")
-    picks = []
-    for name, share in shares.items():
-        rank = max(1, _ceil_share(total, share))
-        hit = (F.col("start") < rank) & (F.col("start") + F.col("_n") >= rank)
-        picks.append(F.max(F.when(hit, F.col("_v"))).alias(name))
-    return placed.agg(*picks)
+    kinds = list(dict.fromkeys(df.schema[c].dataType for c in columns))
+    slack = 4 / ACCURACY
+    points = [p for s in shares.values() for p in (max(0.0, s - slack), min(1.0, s + slack))]
+    at = F.array(*[F.lit(float(p)) for p in points])
+    measures = [
+        m for c in columns for m in (F.count(c), F.percentile_approx(c, at, ACCURACY))
+    ]
+    row = df.agg(*[m.alias(f"_{i}") for i, m in enumerate(measures)]).first()
+    bounds, counts, ranks = {}, [], {}
+    for i, c in enumerate(columns):
+        n, found = row[2 * i], row[2 * i + 1]
+        for j, share in enumerate(shares.values()):
+            low, high = (found[2 * j], found[2 * j + 1]) if n else (None, None)
+            bounds[i, j] = None
+            if n:
+                ranks[i, j] = max(1, _ceil_share(n, share))
+                value, kind = F.col(c), df.schema[c].dataType
+                bounds[i, j] = (F.lit(low).cast(kind), F.lit(high).cast(kind))
+                counts.append(F.count_if(value < bounds[i, j][0]).alias(f"_l{i}_{j}"))
+                counts.append(F.count_if(value <= bounds[i, j][1]).alias(f"_h{i}_{j}"))
+    totals = df.agg(*counts).first() if counts else None
+    cells = []
+    for (i, j), rank in ranks.items():
+        value = F.col(columns[i])
+        below, upto = totals[f"_l{i}_{j}"], totals[f"_h{i}_{j}"]
+        inside = value.isNotNull()
+        if below < rank <= upto:
+            inside = value.between(*bounds[i, j])
+            ranks[i, j] = rank - below
+        own = [
+            (value if df.schema[columns[i]].dataType == k else F.lit(None).cast(k)).alias(f"v{t}")
+            for t, k in enumerate(kinds)
+        ]
+        cell = F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.struct(*own).alias("_v"))
+        cells.append(F.when(inside, cell))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "_i int, field string")
+    empty = F.lit(None).cast(T.StructType([T.StructField(f"v{t}", k) for t, k in enumerate(kinds)]))
+    if not cells:
+        return names.select("field", *[empty.alias(q) for q in shares])
+    settled = df.select(F.inline(F.array_compact(F.array(*cells))))
+    counted = settled.groupBy("_i", "_j", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_totals(counted, ["_i", "_j"], ["_v"], "_n", name="_start")
+    wanted = F.lit(None)
+    for (i, j), rank in ranks.items():
+        wanted = F.when((F.col("_i") == i) & (F.col("_j") == j), rank).otherwise(wanted)
+    hit = (F.col("_start") < wanted) & (F.col("_start") + F.col("_n") >= wanted)
+    picks = [F.max(F.when(F.col("_j") == j, F.col("_v"))).alias(q) for j, q in enumerate(shares)]
+    found = placed.filter(hit).groupBy("_i").agg(*picks)
+    # One row per column on both sides.
+    return names.join(F.broadcast(found), "_i", "left").select("field", *shares)
 
 
 def _ceil_share(total: int, share: float) -> int:

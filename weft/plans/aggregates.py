@@ -126,10 +126,7 @@ def group_values_sorted(t):
     """,
 )
 def group_values_hot(t):
-    # A low limit, so that the range path runs on these tables too.
-    groups = group_chunks(
-        t.lineitem, ["l_returnflag"], "l_partkey", chunk_rows=1000, group_rows=1000
-    )
+    groups = group_chunks(t.lineitem, ["l_returnflag"], "l_partkey", chunk_rows=1000)
     return groups.select(
         "l_returnflag",
         "chunk",

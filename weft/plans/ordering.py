@@ -48,8 +48,7 @@ def running_totals(t):
     rows = t.orders.select(
         "o_custkey", "o_orderkey", F.floor("o_totalprice").cast("long").alias("w")
     )
-    # A low limit, so that the range path runs on these tables too.
-    placed = order.running_totals(rows, ["o_custkey"], ["o_orderkey"], "w", group_rows=1)
+    placed = order.running_totals(rows, ["o_custkey"], ["o_orderkey"], "w")
     return placed.select("o_custkey", "o_orderkey", "start")
 
 
