@@ -59,6 +59,8 @@ def update_state(arrivals: str, state: str, df: DataFrame) -> DataFrame:
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         session.conf.set(key, spark.conf.get(key))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    # Else each store, one for each partition, takes megabytes ahead of use.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     stream = session.readStream.schema(df.schema).parquet(arrivals)
     # Null ids come last; the place settles which of several rows of one id it is.
     first = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_place"))
