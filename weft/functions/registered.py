@@ -1,7 +1,7 @@
 """Functions registered by name for SQL.
 
 SQL functions stay inside Catalyst and are the ones to prefer. The Python
-variants work on Arrow batches and show the user-defined surface.
+variants get and give Arrow batches and show the user-defined surface.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ def py_length(text: pa.Array) -> pa.Array:
 
 @arrow_udf(T.StringType())
 def py_upper(text: pa.Array) -> pa.Array:
-    return pc.utf8_upper(text)
+    """Upper case with letters that become several, as in SQL's ``upper``."""
+    return pa.array([None if t is None else t.upper() for t in text.to_pylist()], pa.string())
 
 
 TOKEN = T.StructType(
@@ -37,13 +38,19 @@ TOKEN = T.StructType(
 )
 
 
-@udtf(returnType=TOKEN)
+@udtf(returnType=TOKEN, useArrow=True)
 class Tokens:
-    """``LATERAL tokens(text)``: the position and text of every word."""
+    """``LATERAL tokens(text)``: the position and text of every word.
+
+    Words are those of ``weft.functions.text.words``. Rows travel in Arrow batches;
+    a function on whole batches (``arrow_udtf``) cannot be used laterally.
+    """
 
     def eval(self, text: str):
         if text is not None:
-            yield from enumerate(text.split(" "))
+            kept = text.rstrip(" ")
+            if kept or not text:
+                yield from enumerate(kept.split(" "))
 
 
 def register_python_functions(spark: SparkSession) -> None:

@@ -22,12 +22,16 @@ def aggregate(
     return df.groupBy(*keys).agg(*[getattr(F, fn)(c).alias(name) for c, fn, name in measures])
 
 
-def reduce_by_key(df: DataFrame, keys: list[str], value: str, how: str, name: str) -> DataFrame:
+def reduce_by_key(
+    df: DataFrame, keys: list[str], value: str, how: str, name: str, *, partitions: int | None = None
+) -> DataFrame:
     """Reduce with a function that may be applied in any order; combined before
-    the shuffle. No keys reduce the whole frame to one row."""
+    the shuffle. No keys reduce the whole frame to one row. ``partitions`` bounds the
+    number of reduce tasks."""
     if how not in ("sum", "min", "max", "bit_and", "bit_or", "bit_xor", "bool_and", "bool_or"):
         raise ValueError(f"{how!r} is not a known order-free reduction")
-    return aggregate(df, keys, [(value, how, name)])
+    reduced = aggregate(df, keys, [(value, how, name)])
+    return reduced.coalesce(partitions) if partitions else reduced
 
 
 def count_by_key(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:

@@ -7,53 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
-MAX_PIECES = 1_000
+PARTS = 8  # of an average partition; a key with fewer rows than one is never hot
 SALT = "_salt"
 COPIED = "_copied"
 
 
-def hot_keys(
-    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, *, sides: int = 1
-) -> dict[tuple, int]:
-    """Keys with more than ``hot_rows`` rows, and in how many pieces to cut them.
+def hot_bound(total: int, partitions: int, hot_rows: int = HOT_ROWS) -> int:
+    """Rows above which a key is hot: ``hot_rows``, or a part of an average shuffle
+    partition if that is more. So at most PARTS keys per partition are hot."""
+    return max(hot_rows, -(-total // (PARTS * partitions)))
 
-    With P shuffle partitions at most P keys can exceed an average partition, so
-    only the P most frequent keys come back (for each of ``sides`` frames counted
-    together). That bounds what the driver holds and what is broadcast below.
-    """
-    partitions = sides * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hottest = counts.orderBy(F.desc("_n")).limit(partitions).collect()
-    return {
-        tuple(_frozen(row[k]) for k in keys): max(2, min(MAX_PIECES, row["_n"] // max(hot_rows, 1)))
-        for row in hottest
-    }
-
-
-NAN = float("nan")
-
-
-def _frozen(value):
-    """A key value that can be looked up; NaN is one value, as in a grouping."""
-    if isinstance(value, list):
-        return tuple(_frozen(v) for v in value)
-    if isinstance(value, bytearray):
-        return bytes(value)
-    return NAN if value != value else value
 
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key, as columns ``_k0``, ``_k1``, ... and ``_n``."""
+    named = df.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
+    return named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_n"))
 
-def _table(df: DataFrame, keys: list[str], rows: list[tuple], extra: list[str]) -> DataFrame:
-    """A frame of hot keys: at most one row per shuffle partition and side."""
-    fields = [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-    fields += [T.StructField(c, T.IntegerType()) for c in extra]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType(fields)))
 
-
-def _same_key(keys: list[str]) -> Column:
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return same
+def pieces(count: Column, bound: int) -> Column:
+    """How many pieces to cut a key into; no piece has more than about ``bound`` rows."""
+    wanted = F.ceil(count / F.lit(max(1, bound))).cast("int")
+    return F.when(count > bound, F.greatest(wanted, F.lit(2))).otherwise(1)
 
 
 def _holds_map(kind: T.DataType) -> bool:
@@ -65,35 +39,29 @@ def _holds_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType)
 
 
-def split_hot(df: DataFrame, keys: list[str], hot: dict[tuple, int]) -> tuple[DataFrame, DataFrame]:
-    """Rows of all other keys, and rows of the hot keys."""
-    table = _table(df, keys, list(hot), [])
-    same = _same_key(keys)
-    return df.join(table, same, "left_anti"), df.join(table, same, "left_semi")
-
+def spread(df: DataFrame, keys: list[str], hot: DataFrame, cut: str, copy: str) -> DataFrame:
+    """Adds a salt: of a key in ``hot`` a row goes to one of ``cut`` pieces on its own
+    side, and to each of the ``copy`` pieces of the other side. Copied rows are marked.
+    A row with a null in its key is never copied, as it joins with nothing.
 
-def spread(
-    df: DataFrame, keys: list[str], *, cut: dict[tuple, int], copy: dict[tuple, int]
-) -> DataFrame:
-    """Adds a salt: a row of a ``cut`` key goes to one of the key's pieces, a row
-    of a ``copy`` key to every piece, any other row to piece 0. Copied rows are
-    marked. A key with a null is never copied, as it joins with nothing.
-
-    The piece depends on the row and its partition, not on chance: a task that
-    runs again places its rows alike, and equal rows still spread.
+    ``hot`` has ``_k0``, ... and the columns ``cut`` and ``copy``, at most PARTS rows
+    per shuffle partition (see hot_bound), so it may be broadcast. The salt is a pair
+    (piece of the first side, piece of the second). The piece depends on the row and
+    its partition, not on chance: a task that runs again places its rows alike, and
+    equal rows still spread.
     """
-    copy = {k: n for k, n in copy.items() if None not in k}
-    rows = [(*k, cut.get(k, 1), copy.get(k, 1)) for k in {**copy, **cut}]
-    if not rows:
-        return df.withColumns({SALT: F.lit(0), COPIED: F.lit(False)})
-    table = _table(df, keys, rows, ["_cut", "_copy"])
-    hashed = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
+    same, null = F.lit(True), F.lit(False)
+    for i, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
+        null = null | F.col(f"`{k}`").isNull()
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType)]
     mark = F.xxhash64(F.spark_partition_id(), *hashed)
-    pieces = (
-        F.when(F.col("_cut") > 1, F.array(F.pmod(mark, "_cut").cast("int")))
-        .when(F.col("_copy") > 1, F.sequence(F.lit(0), F.col("_copy") - 1))
-        .otherwise(F.array(F.lit(0)))
+    own = F.pmod(mark, F.coalesce(F.col(cut), F.lit(1))).cast("int")
+    copies = F.when(null, F.lit(1)).otherwise(F.coalesce(F.col(copy), F.lit(1)))
+    joined = df.join(F.broadcast(hot.select(*[f"_k{i}" for i in range(len(keys))], cut, copy)), same, "left")
+    return joined.select(
+        *df.columns,
+        (copies > 1).alias(COPIED),
+        own.alias(cut + SALT),
+        F.explode(F.sequence(F.lit(0), copies - 1)).alias(copy + SALT),
     )
-    copied = F.coalesce((F.col("_cut") == 1) & (F.col("_copy") > 1), F.lit(False))
-    joined = df.join(table, _same_key(keys), "left")
-    return joined.select(*df.columns, copied.alias(COPIED), F.explode(pieces).alias(SALT))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.operators.grouping import CHUNK_ROWS, group_chunks
-from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_keys, spread
+from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_bound, key_counts, pieces, spread
+from weft.sources.scratch import stored
 
 HOWS = ("inner", "left", "right", "full")
 
@@ -21,14 +22,17 @@ def equi_join(
 ) -> DataFrame:
     """Join on equal key columns; a null key matches nothing.
 
-    The key columns of both sides are counted first to find keys with more than
-    ``hot_rows`` rows; ``None`` skips that, for sides known to be even.
+    The optimizer picks broadcast or sort-merge by size, and adaptive execution
+    splits a key with very many rows in inner joins and on the preserved side of outer
+    ones, so those are plain joins. What it cannot split is treated here: the other
+    side of an outer join, and both sides of a full one. Their key columns are
+    counted, and a key with more rows than ``hot_bound(...)`` is cut into pieces on
+    its side and copied to each piece from the other; one that is hot on both sides is
+    cut on both, and each pair of pieces meets once. Rows with null keys match nothing
+    and are only cut. A copied row has a match somewhere, as its key has rows on the
+    other side, so a copy that stays alone in its piece is dropped.
 
-    Without hot keys this is the plain join, and the optimizer picks broadcast
-    or sort-merge by size. A hot key is cut into pieces on the side where it is
-    hot, and the other side's rows of that key go to every piece. Such a copied
-    row has a match, as its key has many rows on the other side, so a copy that
-    stays alone in its piece is dropped from an outer join.
+    ``hot_rows=None`` never counts.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}, not {how!r}")
@@ -39,31 +43,47 @@ def equi_join(
         kinds = left.schema[k].dataType, right.schema[k].dataType
         if kinds[0] != kinds[1]:
             raise ValueError(f"key {k} has two types, {kinds[0]} and {kinds[1]}")
-    if hot_rows is None:
+    sides = {"left": ["right"], "right": ["left"], "full": ["left", "right"]}.get(how, [])
+    if hot_rows is None or not sides:
         return left.join(right, on, how)
-    hot_left, hot_right = _hot_sides(left, right, on, hot_rows)
-    if not hot_left and not hot_right:
+    hot = _hot_keys(left, right, on, sides, hot_rows)
+    if hot is None:
         return left.join(right, on, how)
-    only_right = {k: n for k, n in hot_right.items() if k not in hot_left}
-    pieces_left = spread(left, on, cut=hot_left, copy=only_right)
-    pieces_right = spread(right, on, cut=only_right, copy=hot_left)
-    joined = pieces_left.withColumnRenamed(COPIED, "_copied_left").join(
-        pieces_right.withColumnRenamed(COPIED, "_copied_right"), [*on, SALT], how
-    )
+    pieces_left = spread(left, on, hot, "_l", "_r").withColumnRenamed(COPIED, "_copied_left")
+    pieces_right = spread(right, on, hot, "_r", "_l").withColumnRenamed(COPIED, "_copied_right")
+    joined = pieces_left.join(pieces_right, [*on, "_l" + SALT, "_r" + SALT], how)
     # The mark of a side is null where that side has no row.
     alone_left = F.col("_copied_right").isNull() & F.col("_copied_left")
     alone_right = F.col("_copied_left").isNull() & F.col("_copied_right")
-    kept = joined.filter(~(alone_left | alone_right))
-    return kept.drop(SALT, "_copied_left", "_copied_right")
+    kept = joined.filter(~F.coalesce(alone_left | alone_right, F.lit(False)))
+    return kept.drop("_l" + SALT, "_r" + SALT, "_copied_left", "_copied_right")
+
 
+def _hot_keys(
+    left: DataFrame, right: DataFrame, on: list[str], sides: list[str], hot_rows: int
+) -> DataFrame | None:
+    """Hot keys with their pieces on both sides (``_l``, ``_r``), or None.
 
-def _hot_sides(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int) -> list[dict]:
-    """Hot keys of each side, counted in one job."""
-    keys = left.select(*on, F.lit(0).alias("_side")).unionByName(
-        right.select(*on, F.lit(1).alias("_side"))
+    Kept in scratch storage, as both sides must be cut alike.
+    """
+    spark = left.sparkSession
+    counted = [
+        key_counts(f, on).withColumn("_side", F.lit(name))
+        for name, f in (("left", left), ("right", right))
+        if name in sides
+    ]
+    both = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
+    names = [f"_k{i}" for i in range(len(on))]
+    counts = stored(both, "key-counts")
+    total = counts.groupBy("_side").agg(F.sum("_n").alias("t")).agg(F.max("t")).first()[0] or 0
+    bound = hot_bound(total, int(spark.conf.get("spark.sql.shuffle.partitions")), hot_rows)
+    hot = counts.filter(F.col("_n") > bound)
+    if hot.isEmpty():
+        return None
+    side = {n: F.coalesce(F.max(F.when(F.col("_side") == n, F.col("_n"))), F.lit(0)) for n in ("left", "right")}
+    return hot.groupBy(*names).agg(
+        pieces(side["left"], bound).alias("_l"), pieces(side["right"], bound).alias("_r")
     )
-    found = hot_keys(keys, [*on, "_side"], hot_rows, sides=2)
-    return [{k[:-1]: n for k, n in found.items() if k[-1] == side} for side in (0, 1)]
 
 
 def cogroup_chunks(

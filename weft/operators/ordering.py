@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weft.operators.keymarks import with_marks
 from weft.sources.scratch import stored
 
 ACCURACY = 10_000  # of the approximate quantiles that bracket the exact ones
@@ -56,19 +57,12 @@ def running_totals(
     a range they are sorted and summed up batch by batch. Only the key that a range
     begins with can have rows in earlier ranges: its total there, one row per range,
     is added afterwards. The ranges are kept in scratch storage, so that both passes
-    see the same ones. Where one key ends and the next begins is told by 96 bits of
-    hashes.
+    see the same ones. Where one key ends is told by marks (see with_marks).
     """
     kind = df.select(F.sum(weight)).schema[0].dataType
-    mark = [F.xxhash64(*keys), F.hash(*keys)] if keys else [F.lit(0).cast("long"), F.lit(0)]
     zero = F.lit(0).cast(kind)
-    given = df.select(
-        "*",
-        F.coalesce(F.col(weight).cast(kind), zero).alias("_w"),
-        mark[0].alias("_m1"),
-        mark[1].alias("_m2"),
-        F.monotonically_increasing_id().alias("_tie"),
-    )
+    weighted = df.withColumn("_w", F.coalesce(F.col(weight).cast(kind), zero))
+    given = with_marks(weighted, keys).withColumn("_tie", F.monotonically_increasing_id())
     by = [*keys, *order, "_tie"]
     ranged = given.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
     width = len(df.columns)
@@ -132,6 +126,12 @@ def running_totals(
     return joined.select(*kept, (F.col("_before") + base).cast(kind).alias(name))
 
 
+def with_position(df: DataFrame, keys: list[str] | None = None, *, name: str = "position") -> DataFrame:
+    """Numbers rows from 0 as they lie in the frame's partitions, per key if given."""
+    laid = df.withColumns({"_laid": F.monotonically_increasing_id(), "_one": F.lit(1)})
+    return running_totals(laid, keys or [], ["_laid"], "_one", name=name).drop("_laid", "_one")
+
+
 def _sums(w: pa.Array, starts: np.ndarray, held) -> tuple[pa.Array, pa.Array]:
     """Running sums with and without the row itself; each run of rows begins at one
     of ``starts``, but a first run without a start goes on from ``held``."""

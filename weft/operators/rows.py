@@ -58,8 +58,11 @@ def random_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Sample that keeps the same keys for any partitioning or run."""
-    digest = F.md5(F.col(key).cast("string"))
+    """Sample that keeps the same keys for any partitioning or run.
+
+    A null key is drawn like any other; at a fraction of 1 every row stays.
+    """
+    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("\u0000")))
     draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
     return df.filter(draw < int(fraction * 2**32))
 

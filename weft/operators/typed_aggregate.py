@@ -6,14 +6,18 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-HELD_KEYS = 100_000
-OUT_ROWS = 10_000
+from weft.operators.keymarks import MARKS, with_marks
+
+HELD_ROWS = 100_000
+LEVEL = 1024  # buffers of a whole frame are merged by so many tasks, then by one
+VALUE = "_value"
 
 
 @dataclass(frozen=True)
@@ -23,6 +27,12 @@ class Aggregator:
     ``reduce`` adds an Arrow array of one key's values to a buffer, ``merge``
     joins two buffers in any order, ``finish`` turns one into the result.
     Buffers are tuples that fit the ``buffer`` schema.
+
+    The three optional functions do the same for all keys of a batch at once, on
+    Arrow columns, which matters when keys are many: ``reduce_groups(values, groups,
+    n)`` and ``merge_groups(columns, groups, n)`` give the buffer columns of ``n``
+    groups, where ``groups`` has the group number of each row, and
+    ``finish_groups(columns)`` gives the result column.
     """
 
     buffer: str
@@ -31,6 +41,31 @@ class Aggregator:
     reduce: Callable[[tuple, pa.Array], tuple]
     merge: Callable[[tuple, tuple], tuple]
     finish: Callable[[tuple], Any]
+    reduce_groups: Callable[[pa.Array, np.ndarray, int], list[pa.Array]] | None = None
+    merge_groups: Callable[[list[pa.Array], np.ndarray, int], list[pa.Array]] | None = None
+    finish_groups: Callable[[list[pa.Array]], pa.Array] | None = None
+
+    def reduced(self, values: pa.Array, groups: np.ndarray, n: int, kinds: list) -> list[pa.Array]:
+        if self.reduce_groups:
+            return self.reduce_groups(values, groups, n)
+        order = np.argsort(groups, kind="stable")
+        values = values.take(pa.array(order))
+        bounds = np.searchsorted(groups[order], np.arange(n + 1))
+        rows = [self.reduce(self.zero(), values.slice(a, b - a)) for a, b in zip(bounds, bounds[1:])]
+        return [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+
+    def merged(self, columns: list[pa.Array], groups: np.ndarray, n: int, kinds: list) -> list[pa.Array]:
+        if self.merge_groups:
+            return self.merge_groups(columns, groups, n)
+        rows: list = [None] * n
+        for group, part in zip(groups.tolist(), zip(*[c.to_pylist() for c in columns])):
+            rows[group] = part if rows[group] is None else self.merge(rows[group], part)
+        return [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+
+    def finished(self, columns: list[pa.Array], kind) -> pa.Array:
+        if self.finish_groups:
+            return self.finish_groups(columns)
+        return pa.array([self.finish(b) for b in zip(*[c.to_pylist() for c in columns])], kind)
 
 
 def aggregate_with(
@@ -38,98 +73,133 @@ def aggregate_with(
 ) -> DataFrame:
     """Aggregate ``value`` per key; with no keys, one row for the whole frame.
 
-    Each task reduces its batches to one buffer per key. The buffers are shuffled
-    and sorted by key and merged in a stream, so no task holds a whole group. A
-    hot key costs one buffer per task that saw it.
+    Each task reduces its batches to one buffer per key, which is merged with those
+    of earlier batches while there are not too many. The buffers are shuffled and
+    sorted by key and merged in a stream, so no task holds a whole group; a hot key
+    costs one buffer per task that saw it. Buffers of a whole frame are merged in two
+    levels. Keys of any type that Spark groups by are allowed; they are told apart by
+    marks (see with_marks), and key columns are passed through as they are.
     """
+    spark = df.sparkSession
+    buffer = T.StructType.fromDDL(aggregator.buffer).fields
+    result = T.StructType.fromDDL(f"r {aggregator.result}").fields[0].dataType
+    marks = T.StructType.fromDDL("_m1 long, _m2 int").fields
     key_fields = [df.schema[k] for k in keys]
-    buffer_type = T._parse_datatype_string(aggregator.buffer)
-    partial = T.StructType([*key_fields, *buffer_type.fields])
-    result_type = T._parse_datatype_string(aggregator.result)
-    final = T.StructType([*key_fields, T.StructField(name, result_type)])
-    partial_arrow = to_arrow_schema(partial)
-    final_arrow = to_arrow_schema(final)
+    partial = T.StructType([*key_fields, *marks, *[T.StructField(f"_b{i}", f.dataType) for i, f in enumerate(buffer)]])
+    final = T.StructType([*key_fields, T.StructField(name, result)])
     width = len(keys)
+    # Arrow's names of the types, from an empty frame.
+    types = T.StructType([*[T.StructField(f"b{i}", f.dataType) for i, f in enumerate(buffer)], T.StructField("r", result)])
+    *kinds, result_kind = spark.createDataFrame([], types).toArrow().schema.types
+
+    def batch_of(head: list, columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*head, *columns], partial.names)
+
+    def collapsed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """One row for each key of a batch of buffers."""
+        groups, firsts = _groups(batch.column(width), batch.column(width + 1))
+        head = [c.take(firsts) for c in batch.columns[: width + 2]]
+        return batch_of(head, aggregator.merged(batch.columns[width + 2 :], groups, len(firsts), kinds))
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, tuple] = {}
-        if not width:
-            held[()] = aggregator.zero()
+        held, rows, fresh = [], 0, 0
         for batch in batches:
-            for key, values in _groups(batch, keys, value):
-                held[key] = aggregator.reduce(held.get(key) or aggregator.zero(), values)
-            if len(held) >= HELD_KEYS:
-                yield _batch([(*k, *b) for k, b in held.items()], partial_arrow)
-                held = {}
+            if not batch.num_rows:
+                continue
+            groups, firsts = _groups(batch.column(width), batch.column(width + 1))
+            head = [c.take(firsts) for c in batch.columns[: width + 2]]
+            values = batch.column(width + 2)
+            held.append(batch_of(head, aggregator.reduced(values, groups, len(firsts), kinds)))
+            rows += len(firsts)
+            fresh += 1
+            if rows >= HELD_ROWS or fresh >= 64:
+                held, fresh = [collapsed(_one(held))], 0
+                rows = held[0].num_rows
+                if rows >= HELD_ROWS // 2:
+                    yield held[0]
+                    held, rows = [], 0
         if held:
-            yield _batch([(*k, *b) for k, b in held.items()], partial_arrow)
+            yield collapsed(_one(held))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
-        current, buffer = (None, None) if width else ((), aggregator.zero())
+        """Buffers in the order of their keys; the last key waits for the next batch."""
+        held = None
         for batch in batches:
-            for row in zip(*[column.to_pylist() for column in batch.columns]):
-                key, part = row[:width], row[width:]
-                if buffer is not None and _same(key, current):
-                    buffer = aggregator.merge(buffer, part)
-                    continue
-                if buffer is not None:
-                    out.append((*current, aggregator.finish(buffer)))
-                current, buffer = key, part
-            if len(out) >= OUT_ROWS:
-                yield _batch(out, final_arrow)
-                out = []
-        if buffer is not None:
-            out.append((*current, aggregator.finish(buffer)))
-        if out:
-            yield _batch(out, final_arrow)
-
-    columns = [_one_zero(k, df.schema[k].dataType) for k in keys]
-    buffers = df.select(*columns, value).mapInArrow(combine, partial)
+            if batch.num_rows:
+                whole = collapsed(batch if held is None else _one([held, batch]))
+                held = whole.slice(whole.num_rows - 1)
+                yield whole.slice(0, whole.num_rows - 1)
+        if held is not None:
+            yield held
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in merge(batches):
+            seen += batch.num_rows
+            column = aggregator.finished(batch.columns[width + 2 :], result_kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], column], final.names)
+        if not keys and not seen:
+            yield pa.RecordBatch.from_arrays([pa.array([aggregator.finish(aggregator.zero())], result_kind)], final.names)
+
+    columns = [F.col(f"`{k}`") for k in keys]
+    given = with_marks(df.select(*columns, F.col(f"`{value}`").alias(VALUE)), keys)
+    given = given.select(*columns, *MARKS, VALUE)
+    buffers = given.mapInArrow(combine, partial)
     if keys:
-        buffers = buffers.repartition(*keys).sortWithinPartitions(*keys)
+        buffers = buffers.repartition(*MARKS).sortWithinPartitions(*MARKS)
     else:
-        buffers = buffers.repartition(1)
-    return buffers.mapInArrow(merge, final)
+        level = F.pmod(F.spark_partition_id(), F.lit(LEVEL))
+        buffers = buffers.withColumn("_level", level).repartition("_level").drop("_level")
+        buffers = buffers.mapInArrow(merge, partial).repartition(1)
+    return buffers.mapInArrow(finish, final)
+
 
+def _groups(m1: pa.Array, m2: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Group number of each row, in the order of first rows, and the first rows."""
+    a, b = m1.to_numpy(), m2.to_numpy()
+    order = np.lexsort((b, a))
+    new = np.ones(len(a), bool)
+    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    firsts = order[new]  # the sort is stable
+    rank = np.empty(len(firsts), np.int64)
+    by_row = np.argsort(firsts)
+    rank[by_row] = np.arange(len(firsts))
+    groups = np.empty(len(a), np.int64)
+    groups[order] = rank[np.cumsum(new) - 1]
+    return groups, pa.array(firsts[by_row])
 
-def _one_zero(key: str, kind: T.DataType) -> Column:
-    """The key column with -0.0 as 0.0, which are one group."""
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.when(F.col(key) == 0, F.lit(0.0)).otherwise(F.col(key)).cast(kind).alias(key)
-    return F.col(key)
 
+def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
-def _groups(batch: pa.RecordBatch, keys: list[str], value: str):
-    if not keys:
-        yield (), batch.column(value)
-        return
-    table = pa.Table.from_batches([batch])
-    grouped = table.group_by(keys, use_threads=False).aggregate([(value, "list")])
-    lists = grouped.column(f"{value}_list").combine_chunks()
-    names = zip(*[grouped.column(k).to_pylist() for k in keys])
-    for i, key in enumerate(names):
-        yield key, lists[i].values
 
+def average() -> Aggregator:
+    """Double average over a (sum, count) buffer; NaN without values.
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    arrays = [pa.array(c, type=f.type) for c, f in zip(columns, schema)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+    Values are summed as doubles, so a sum of longs cannot wrap.
+    """
 
+    def floats(values: pa.Array) -> np.ndarray:
+        return pc.cast(values, pa.float64(), safe=False).to_numpy(zero_copy_only=False)
 
-def _same(a: tuple, b: tuple) -> bool:
-    """Equal keys; NaN is equal to NaN, as in a Spark grouping."""
-    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
+    def reduce(buffer, values):
+        present = floats(values.drop_null())
+        return buffer[0] + float(present.sum()), buffer[1] + len(present)
 
+    def reduce_groups(values, groups, n):
+        present = values.is_valid().to_numpy(zero_copy_only=False)
+        groups, kept = groups[present], floats(values.drop_null())
+        return [pa.array(np.bincount(groups, kept, n)), pa.array(np.bincount(groups, minlength=n))]
 
-def average() -> Aggregator:
-    """Double average over a (sum, count) buffer; NaN without values."""
-    import pyarrow.compute as pc
+    def merge_groups(columns, groups, n):
+        total = np.bincount(groups, columns[0].to_numpy(), n)
+        # Counts below 2^53 are exact as doubles.
+        count = np.bincount(groups, columns[1].to_numpy().astype(float), n)
+        return [pa.array(total), pa.array(count.astype(np.int64))]
 
-    def reduce(buffer, values):
-        total = pc.sum(values).as_py()
-        return buffer[0] + float(total or 0), buffer[1] + len(values) - values.null_count
+    def finish_groups(columns):
+        total, count = columns[0].to_numpy(), columns[1].to_numpy()
+        return pa.array(np.where(count > 0, total / np.maximum(count, 1), np.nan))
 
     return Aggregator(
         buffer="total double, n long",
@@ -138,4 +208,7 @@ def average() -> Aggregator:
         reduce=reduce,
         merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
         finish=lambda b: b[0] / b[1] if b[1] else float("nan"),
+        reduce_groups=reduce_groups,
+        merge_groups=merge_groups,
+        finish_groups=finish_groups,
     )

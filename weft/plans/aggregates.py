@@ -17,6 +17,7 @@ from weft.operators.grouping import (
 )
 from weft.operators.ordering import quantiles
 from weft.plans.registry import labelled_documents, query
+from weft.sources.scratch import stored
 
 LABELLED = "documents LEFT JOIN labels USING (doc_id)"
 
@@ -82,6 +83,31 @@ def reduce_by_key(t):
     return reduced(pairs, ["l_suppkey"], "v", "sum", "q")
 
 
+@query(
+    "A08 Z02",
+    "SELECT l_partkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS q FROM lineitem GROUP BY 1",
+)
+def reduce_in_two_tasks(t):
+    pairs = t.lineitem.select("l_partkey", F.col("l_quantity").cast("long").alias("v"))
+    return reduced(pairs, ["l_partkey"], "v", "sum", "q", partitions=2)
+
+
+@query(
+    "Z01 A02",
+    "SELECT 'event' AS field, event_type AS v, count(*) AS n FROM events GROUP BY 2 "
+    "UNION ALL SELECT 'user', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY 2",
+)
+def counts_of_a_cached_scan(t):
+    """Both counts read the cached columns; the result is stored before they go."""
+    rows = t.events.select("event_type", "user_id").persist()
+    try:
+        events = keyed_counts(rows, F.lit("event").alias("field"), F.col("event_type").alias("v"))
+        users = keyed_counts(rows, F.lit("user").alias("field"), F.col("user_id").cast("string").alias("v"))
+        return stored(events.unionByName(users), "counts")
+    finally:
+        rows.unpersist()
+
+
 @query("A09", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
 def count_by_key(t):
     return keyed_counts(t.lineitem, "l_returnflag")
@@ -199,6 +225,25 @@ def summary_table(t):
     )
 
 
+@query(
+    "A20 A21",
+    """
+    WITH c AS (
+        SELECT 'l_quantity' AS field, l_quantity AS v FROM lineitem
+        UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM lineitem
+        UNION ALL SELECT 'l_discount', l_discount FROM lineitem
+        UNION ALL SELECT 'l_tax', l_tax FROM lineitem
+    )
+    SELECT field, count(v) AS n, min(v) AS lowest, max(v) AS highest, quantile_disc(v, 0.25) AS q25,
+           quantile_disc(v, 0.5) AS q50, quantile_disc(v, 0.75) AS q75 FROM c GROUP BY 1
+    """,
+)
+def summary_of_four(t):
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    numbers = [F.col(c).cast("double").alias(c) for c in ("lowest", "highest", "q25", "q50", "q75")]
+    return summary(t.lineitem, columns).select("field", "n", *numbers)
+
+
 @query("U04", f"SELECT lang, count(quality) AS n FROM {LABELLED} GROUP BY 1")
 def udaf_count(t):
     return labelled_documents(t).groupBy("lang").agg(own.count_values("quality").alias("n"))

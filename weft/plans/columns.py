@@ -78,7 +78,7 @@ def drop_nulls(t):
 
 
 @query(
-    "P12",
+    "P11 P12",
     "SELECT doc_id, CAST(quality AS BIGINT) AS quality, "
     "CASE WHEN quality IS NULL THEN 'rejected' ELSE 'ok' END AS status "
     "FROM documents LEFT JOIN labels USING (doc_id)",

@@ -14,17 +14,49 @@ def sort_by_key(t):
     return order.sort_by(t.customer, "c_mktsegment", ties=["c_custkey"])
 
 
+@query(
+    "O01 O06",
+    "SELECT c_custkey, row_number() OVER (ORDER BY length(c_name), c_acctbal DESC, c_custkey) - 1 "
+    "AS position FROM customer",
+)
+def sort_by_expression(t):
+    rows = t.customer.select("c_custkey", "c_name", "c_acctbal")
+    laid = order.sort_by(rows, F.length("c_name"), F.desc("c_acctbal"), ties=["c_custkey"])
+    return order.with_position(laid).select("c_custkey", "position")
+
+
 @query("O05", "SELECT o_custkey, o_totalprice, o_orderkey FROM orders")
 def sorted_within_keys(t):
     rows = t.orders.select("o_custkey", "o_totalprice", "o_orderkey")
     return order.sorted_within_keys(rows, ["o_custkey"], ["o_totalprice", "o_orderkey"])
 
 
+@query(
+    "O05",
+    "SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey "
+    "ORDER BY o_totalprice, o_orderkey) - 1 AS position FROM orders",
+)
+def positions_within_keys(t):
+    rows = t.orders.select("o_custkey", "o_totalprice", "o_orderkey")
+    laid = order.sorted_within_keys(rows, ["o_custkey"], ["o_totalprice", "o_orderkey"])
+    return order.with_position(laid, ["o_custkey"]).select("o_custkey", "o_orderkey", "position")
+
+
 @query("O03", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def top_n(t):
     return order.top(t.orders, 10, "o_totalprice", ties=["o_orderkey"])
 
 
+@query(
+    "O03 O04",
+    "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS position "
+    "FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25",
+)
+def top_positions(t):
+    best = order.top(t.orders, 25, "o_totalprice", ties=["o_orderkey"])
+    return order.with_position(best).select("o_orderkey", "position")
+
+
 @query("O04", "SELECT * FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 10")
 def take_ordered(t):
     return order.take_ordered(t.orders, 10, "o_totalprice", "o_orderkey")

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_keys, spread
+from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_bound, key_counts, pieces, spread
 from weft.plans.registry import labelled_documents, query
 from weft.sources.catalog import (
+    bucket_count,
     create_table,
     insert,
     save_bucketed,
     save_table,
-    scratch_database,
+    scratch_tables,
+    truncate,
 )
 from weft.sources.files import (
     key_between,
@@ -24,13 +24,14 @@ from weft.sources.files import (
     write_partitioned,
     write_range_layout,
 )
-from weft.sources.scratch import scratch_path
+from weft.sources.scratch import scratch_path, stored
 from weft.sources.tables import (
     query_global_view,
     register_tables,
     sql_on_file as read_by_sql,
 )
 
+BYTES_A_ROW = 64
 
 
 @query(
@@ -49,6 +50,42 @@ def json_roundtrip(t):
     return round_trip(labelled_documents(t).drop("toxic"), "json")
 
 
+@query(
+    "S04",
+    "SELECT doc_id, lang, n_chars, quality FROM documents LEFT JOIN labels USING (doc_id)",
+)
+def json_inferred(t):
+    """Whole numbers come back as long, columns by name, a missing key as null."""
+    rows = labelled_documents(t).select("doc_id", "lang", F.col("quality").cast("long").alias("q"))
+    path = scratch_path(t.spark, "json")
+    rows.join(t.documents.select("doc_id", "n_chars"), "doc_id").write.json(path)
+    read = t.spark.read.json(path)
+    return read.select(*read.columns[:3], F.col("q").cast("int").alias("quality"))
+
+
+@query("S05", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def csv_inferred(t):
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    path = scratch_path(t.spark, "csv")
+    rows.write.csv(path, sep=";", header=True)
+    read = t.spark.read.csv(path, sep=";", header=True, inferSchema=True)
+    return read.withColumns({c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")})
+
+
+@query(
+    "S05",
+    "SELECT doc_id, text, lang, source, CAST(quality AS VARCHAR) AS label, "
+    "CASE WHEN quality = 1 THEN '' ELSE source END AS note "
+    "FROM documents LEFT JOIN labels USING (doc_id)",
+)
+def csv_text_roundtrip(t):
+    """Line ends, quotes and blanks of the texts, nulls and empty texts stay."""
+    note = F.when(F.col("quality") == 1, "").otherwise(F.col("source")).alias("note")
+    label = F.col("quality").cast("string").alias("label")
+    rows = t.documents.join(t.labels, "doc_id", "left")
+    return round_trip(rows.select("doc_id", "text", "lang", "source", label, note), "csv")
+
+
 @query("S05", "SELECT * FROM customer")
 def csv_roundtrip(t):
     return round_trip(t.customer, "csv", sep=";", header=True)
@@ -138,34 +175,51 @@ def range_layout_filter(t):
 def bucketed_join(t):
     customers = t.customer.select("c_custkey", "c_name")
     orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    # A bucket is read by one task, so a hot customer is cut over several.
-    hot = hot_keys(orders, ["c_custkey"], HOT_ROWS)
-    database, run = scratch_database(t.spark), uuid.uuid4().hex[:8]
-    keys = ["c_custkey", SALT]
-    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    customers = spread(customers, ["c_custkey"], cut={}, copy=hot).drop(COPIED)
-    orders = spread(orders, ["c_custkey"], cut=hot, copy={}).drop(COPIED)
-    left = save_bucketed(customers, f"{database}.customers_{run}", keys, buckets)
-    right = save_bucketed(orders, f"{database}.orders_{run}", keys, buckets)
-    return left.join(right.hint("merge"), keys).drop(SALT)
+    # A bucket is read by one task, so a key far above a bucket's share is cut.
+    counts = stored(key_counts(orders, ["c_custkey"]), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    buckets = bucket_count(total * BYTES_A_ROW)
+    bound = hot_bound(total, buckets, HOT_ROWS)
+    hot = counts.filter(F.col("_n") > bound)
+    hot = hot.select("_k0", pieces(F.col("_n"), bound).alias("_r"), F.lit(1).alias("_l"))
+    keys = ["c_custkey", "_l" + SALT, "_r" + SALT]
+    with scratch_tables(t.spark) as tables:
+        left = spread(customers, ["c_custkey"], hot, "_l", "_r").drop(COPIED)
+        right = spread(orders, ["c_custkey"], hot, "_r", "_l").drop(COPIED)
+        left = save_bucketed(left, tables.name("customers"), keys, buckets)
+        right = save_bucketed(right, tables.name("orders"), keys, buckets)
+        return tables.result(left.join(right.hint("merge"), keys).drop(*keys[1:]))
 
 
 @query("S14", "SELECT * FROM supplier")
 def saved_table(t):
-    database, run = scratch_database(t.spark), uuid.uuid4().hex[:8]
-    return save_table(t.supplier, f"{database}.supplier_{run}")
+    with scratch_tables(t.spark) as tables:
+        return tables.result(save_table(t.supplier, tables.name("supplier")))
+
+
+PEOPLE = "name VARCHAR(64), nation INT"
 
 
 @query(
-    "K01 K05 K06 K07",
+    "K01 K05 K06 K07 K09",
     "SELECT c_name AS name, c_nationkey AS nation FROM customer "
     "UNION ALL SELECT s_name, s_nationkey FROM supplier",
 )
 def table_inserts(t):
-    database, run = scratch_database(t.spark), uuid.uuid4().hex[:8]
-    table = create_table(t.spark, f"{database}.people_{run}", "name VARCHAR(64), nation INT")
-    insert(t.customer.selectExpr("c_name AS name", "c_nationkey AS nation"), table)
-    return insert(t.supplier.selectExpr("s_nationkey AS nation", "s_name AS name"), table)
+    with scratch_tables(t.spark) as tables:
+        table = create_table(t.spark, tables.name("people"), PEOPLE)
+        insert(t.customer.selectExpr("c_name AS name", "c_nationkey AS nation"), table)
+        people = insert(t.supplier.selectExpr("s_nationkey AS nation", "s_name AS name"), table)
+        return tables.result(people)
+
+
+@query("K08 K09", "SELECT c_name AS name, c_nationkey AS nation FROM customer")
+def truncated_table(t):
+    with scratch_tables(t.spark) as tables:
+        table = create_table(t.spark, tables.name("people"), PEOPLE)
+        insert(t.supplier.selectExpr("s_name AS name", "s_nationkey AS nation"), table)
+        truncate(t.spark, table)
+        return tables.result(insert(t.customer.selectExpr("c_name AS name", "c_nationkey AS nation"), table))
 
 
 @query("K10 K11", "SELECT p_partkey, p_size + 1 AS p FROM part")

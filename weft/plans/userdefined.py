@@ -41,6 +41,12 @@ def udaf_two_phase_avg(t):
     return groups.select("l_returnflag", F.round("v", 6).alias("v"))
 
 
+@query("U07 U10", "SELECT l_orderkey, round(avg(l_quantity), 6) AS v FROM lineitem GROUP BY 1")
+def udaf_two_phase_by_order(t):
+    groups = aggregate_with(t.lineitem, ["l_orderkey"], "l_quantity", average(), name="v")
+    return groups.select("l_orderkey", F.round("v", 6).alias("v"))
+
+
 @query("U10", "SELECT round(avg(l_quantity), 6) AS v FROM lineitem")
 def udaf_two_phase_global(t):
     return aggregate_with(t.lineitem, [], "l_quantity", average(), name="v").select(

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
-from weft.sources.scratch import scratch_path
+from weft.sources.scratch import scratch_path, stored
+
+BUCKET_BYTES = 256 << 20
+MOST_BUCKETS = 100_000  # of spark.sql.sources.bucketing.maxBuckets
 
 
 def scratch_database(spark: SparkSession, name: str = "weft_scratch") -> str:
@@ -15,6 +22,49 @@ def scratch_database(spark: SparkSession, name: str = "weft_scratch") -> str:
     return name
 
 
+class ScratchTables:
+    """Owner of tables for one result: they are dropped when the result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.database, self.names = spark, scratch_database(spark), []
+
+    def name(self, label: str) -> str:
+        """A fresh table name that this owner drops."""
+        self.names.append(f"{self.database}.{label}_{uuid.uuid4().hex[:12]}")
+        return self.names[-1]
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """``df`` written to scratch storage, so that it outlives the tables."""
+        return stored(df, "result")
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names = []
+
+
+@contextlib.contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[ScratchTables]:
+    tables = ScratchTables(spark)
+    try:
+        yield tables
+    finally:
+        tables.drop()
+
+
+def truncate(spark: SparkSession, table: str) -> None:
+    """Removes all rows; the table stays."""
+    spark.sql(f"TRUNCATE TABLE {table}")
+
+
+def bucket_count(data_bytes: int, *, bucket_bytes: int = BUCKET_BYTES, most: int = MOST_BUCKETS) -> int:
+    """Buckets of about ``bucket_bytes``, within what Spark takes.
+
+    Not the number of shuffle partitions, which can be above Spark's limit.
+    """
+    return max(1, min(most, -(-data_bytes // bucket_bytes)))
+
+
 def create_table(spark: SparkSession, table: str, columns: str) -> str:
     """Empty managed table from a column list in SQL; kept if it exists."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet")

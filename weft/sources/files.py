@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weft.sources.scratch import scratch_path
 
@@ -32,9 +33,19 @@ def read_lines(
 
 
 def pair_lines(df: DataFrame, key: str, value: str) -> DataFrame:
-    """``(key,value)`` text lines, the layout of a saved pair list."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (key, value)]
-    line = F.concat(F.lit("("), parts[0], F.lit(","), parts[1], F.lit(")"))
+    """``(key,value)`` text lines, the layout of a saved pair list. Null is ``null``.
+
+    A line break would make two lines of one and a text ``null`` could not be told
+    from null, so such a row fails.
+    """
+
+    def part(column: str) -> Column:
+        text = F.col(column).cast("string")
+        unclear = text.rlike("[\r\n]") | (text == "null")
+        checked = F.when(unclear, F.raise_error(F.lit(f"{column} has no place on a line"))).otherwise(text)
+        return F.coalesce(checked, F.lit("null"))
+
+    line = F.concat(F.lit("("), part(key), F.lit(","), part(value), F.lit(")"))
     return df.select(line.alias("value"))
 
 
@@ -75,16 +86,59 @@ def write_keyed(parts: dict[int, DataFrame], root: str, key: str = "key") -> Non
         df.write.parquet(f"{root}/{key}={number}")
 
 
+#: Quotes, blanks at the ends, nulls and empty texts survive with these.
+CSV_WHOLE = {
+    "quote": '"',
+    "escape": '"',
+    "quoteAll": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\\N",
+    "emptyValue": "",
+}
+#: What stands for what in a CSV text. Each backslash begins one of these, so a record
+#: is one line, files can be split, and no text looks like the mark of a null.
+CSV_ESCAPES = {"\\": "\\b", "\n": "\\n", "\r": "\\r"}
+
+
 def round_trip(df: DataFrame, fmt: str | None = None, **options) -> DataFrame:
     """Write ``df`` to scratch and read it back with the same options and schema.
 
     Without ``fmt`` the session's default source is used, as by a plain
-    ``save``/``load``.
+    ``save``/``load``. CSV is written and read with CSV_WHOLE beneath ``options``, and
+    texts are escaped (see ``csv_escaped``), so that the same rows come back; nested
+    columns, which CSV cannot hold, are refused.
     """
     spark = df.sparkSession
     path = scratch_path(spark, fmt or "default")
-    writer, reader = df.write, spark.read.schema(df.schema)
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if fmt == "csv":
+        nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
+        if nested:
+            raise ValueError(f"CSV cannot hold the columns {nested}")
+        options = {**CSV_WHOLE, **options}
+        written = df.withColumns({c: csv_escaped(c) for c in texts})
+    else:
+        written = df
+    writer, reader = written.write, spark.read.schema(df.schema)
     if fmt:
         writer, reader = writer.format(fmt), reader.format(fmt)
     writer.options(**options).save(path)
-    return reader.options(**options).load(path)
+    read = reader.options(**options).load(path)
+    return read.withColumns({c: csv_plain(c) for c in texts}) if fmt == "csv" else read
+
+
+def csv_escaped(column: str) -> Column:
+    """The text with CSV_ESCAPES."""
+    text = F.col(f"`{column}`")
+    for plain, mark in CSV_ESCAPES.items():
+        text = F.replace(text, F.lit(plain), F.lit(mark))
+    return text
+
+
+def csv_plain(column: str) -> Column:
+    """Undoes :func:`csv_escaped`; the backslash comes last, as it begins the others."""
+    text = F.col(f"`{column}`")
+    for plain, mark in reversed(CSV_ESCAPES.items()):
+        text = F.replace(text, F.lit(mark), F.lit(plain))
+    return text

@@ -7,6 +7,7 @@ Only a local-mode session without that setting gets a temporary folder.
 from __future__ import annotations
 
 import atexit
+import functools
 import shutil
 import tempfile
 import uuid
@@ -21,9 +22,15 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    """A temporary folder for local mode, deleted at exit. The session's own
+    checkpoint folder is left as it is."""
     folder = tempfile.mkdtemp(prefix="weft-scratch-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    context.setCheckpointDir(folder)
     return folder
 
 
