@@ -14,13 +14,14 @@ from weft.llm.common import kept
 from weft.llm.exact import drop_exact_copies
 from weft.llm.quality import score_quality
 from weft.llm.queries import QUALITY_BOUND, packed, trained_quality
-from weft.llm.secrets import learn_formats, redact, scan_secrets
+from weft.llm.secrets import learn_formats, mask_secrets
 from weft.llm.simhash import drop_near_copies
+from weft.sources.tables import widened
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    scored = score_quality(docs, trained_quality(spark, sf_dir))
+    scored = score_quality(widened(docs), trained_quality(spark, sf_dir))
     return scored.filter(F.col("score") >= QUALITY_BOUND).select(docs.columns)
 
 
@@ -36,7 +37,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with found secrets masked and lengths counted anew."""
-    masked = redact(scan_secrets(docs, learn_formats(docs)))
+    masked = mask_secrets(docs, learn_formats(docs))
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

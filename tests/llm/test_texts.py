@@ -18,7 +18,7 @@ from weft.llm.secrets import (  # noqa: E402
     KINDS,
     Automaton,
     learn_formats,
-    redact,
+    mask_secrets,
     scan_secrets,
 )
 
@@ -193,7 +193,7 @@ def test_formats_find_unannounced_credentials(spark):
     assert all(kinds[i] == ["assign"] for i in range(200))
     assert sum(bool(kinds[i]) for i in range(200, 400)) == 0
     assert kinds[400] == ["like_assign"] and kinds[401] == kinds[402] == kinds[403] == []
-    masked = {r["doc_id"]: r["text"] for r in redact(found).collect()}
+    masked = {r["doc_id"]: r["text"] for r in mask_secrets(rows, formats).collect()}
     assert masked[0] == "words [secret] words" and masked[400] == "bare [secret] here"
     assert masked[401] == lines[401] and masked[402] is None
 

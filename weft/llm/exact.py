@@ -105,13 +105,12 @@ def _decided(df, id, text, digest) -> DataFrame:
     marks.write.parquet(path)
     arrivals = spark.read.schema(marks.schema).parquet(path)
     state = kept(update_state(path, scratch_path(spark, "state"), arrivals), "state")
-    hits = state.filter("_size > 1").select("_digest")
-    # Full bytes of the hits; the extremes combine before they move, so that no
-    # group of copies gathers in a task. Different texts of one digest are told apart
-    # by their bytes; with SHA-256 there are none.
-    extremes = rows.join(hits, "_digest").groupBy("_digest").agg(
-        F.min("_text").alias("_low"), F.max("_text").alias("_high")
-    )
+    # Full bytes of the hits, which are met by their places, so that no group of copies
+    # gathers in a task: the extremes of a group combine before they move. Different
+    # texts of one digest are told apart by their bytes; with SHA-256 there are none.
+    hits = arrivals.join(state.filter("_size > 1"), "_digest").select("_place", "_digest")
+    texts = rows.select("_place", "_text").join(hits, "_place")
+    extremes = texts.groupBy("_digest").agg(F.min("_text").alias("_low"), F.max("_text").alias("_high"))
     mixed = kept(extremes.filter("_low <> _high").select("_digest"), "mixed")
     sha = F.lower(F.hex("_digest")) if digest is sha256 else F.col("_sha")
     fields = [

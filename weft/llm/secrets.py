@@ -257,6 +257,29 @@ def _likely(tokens: list[bytes], formats: dict[str, Automaton], margin: float):
 SPANS = "spans array<struct<kind string, start int, end int, score double>>"
 
 
+def _found(texts: pa.Array, formats: dict[str, Automaton], margin: float) -> list[list[tuple]]:
+    """Spans (kind, start, end, score) of each text, in code points."""
+    rows, spans, tokens, owners = {}, [[] for _ in range(len(texts))], [], []
+    for i, row, runs in _rows(texts):
+        bases = _bases(row, runs)
+        spans[i] = [(k, s, e, None) for k, s, e, _ in bases]
+        for s, e in _candidates(row, runs, bases):
+            tokens.append(row[s:e])
+            owners.append((i, s, e))
+        if bases or (owners and owners[-1][0] == i):
+            rows[i] = row
+    for (i, s, e), hit in zip(owners, _likely(tokens, formats, margin)):
+        if hit:
+            spans[i].append((hit[0], s, e, hit[1]))
+    for i, found in enumerate(spans):
+        if found:
+            begins = (np.frombuffer(rows[i], np.uint8) & 0xC0) != 0x80
+            place = np.concatenate([[0], np.cumsum(begins)]).tolist()
+            found = [(k, place[s], place[e], x) for k, s, e, x in found]
+            spans[i] = sorted(found, key=lambda x: (x[1], ORDER[x[0]], x[2]))
+    return spans
+
+
 def scan_secrets(
     df: DataFrame,
     formats: dict[str, Automaton],
@@ -278,55 +301,39 @@ def scan_secrets(
     """
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        rows, spans, tokens, owners = {}, [[] for _ in range(len(texts))], [], []
-        for i, row, runs in _rows(texts):
-            bases = _bases(row, runs)
-            spans[i] = [(k, s, e, None) for k, s, e, _ in bases]
-            for s, e in _candidates(row, runs, bases):
-                tokens.append(row[s:e])
-                owners.append((i, s, e))
-            if bases or (owners and owners[-1][0] == i):
-                rows[i] = row
-        for (i, s, e), hit in zip(owners, _likely(tokens, formats, margin)):
-            if hit:
-                spans[i].append((hit[0], s, e, hit[1]))
-        result = []
-        for i, found in enumerate(spans):
-            if found:
-                begins = (np.frombuffer(rows[i], np.uint8) & 0xC0) != 0x80
-                place = np.concatenate([[0], np.cumsum(begins)]).tolist()
-                found.sort(key=lambda x: (x[1], ORDER[x[0]], x[2]))
-            result.append(
-                [{"kind": k, "start": place[s], "end": place[e], "score": x} for k, s, e, x in found]
-            )
         fields = [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]
-        return [pa.array(result, pa.list_(pa.struct(fields)))]
+        names = [f[0] for f in fields]
+        found = [[dict(zip(names, s)) for s in spans] for spans in _found(texts, formats, margin)]
+        return [pa.array(found, pa.list_(pa.struct(fields)))]
 
     return map_rows(df, [text], SPANS, run, keep=keep)
 
 
-def redact(df: DataFrame, *, text: str = "text", mask: str = "[secret]") -> DataFrame:
-    """The text with a mask for each span; overlapping spans share one.
+def mask_secrets(
+    df: DataFrame,
+    formats: dict[str, Automaton],
+    *,
+    text: str = "text",
+    mask: str = "[secret]",
+    margin: float = MARGIN,
+) -> DataFrame:
+    """``df`` with a mask in place of each span that :func:`scan_secrets` finds.
 
-    Takes the result of :func:`scan_secrets` and drops ``spans``. Texts without
-    spans, null ones among them, stay as they are.
+    Overlapping spans share one mask. Texts without spans, null ones among them, and
+    all other columns stay as they are.
     """
 
-    def run(texts: pa.Array, spans: pa.Array) -> list[pa.Array]:
-        out = []
-        for value, found in zip(texts.to_pylist(), spans.to_pylist()):
-            if value is not None and found:
+    def run(texts: pa.Array) -> list[pa.Array]:
+        out = texts.to_pylist()
+        for i, found in enumerate(_found(texts, formats, margin)):
+            if found:
                 pieces, at = [], 0
-                for span in found:
-                    if span["start"] >= at:
-                        pieces += [value[at : span["start"]], mask]
-                    at = max(at, span["end"])
-                value = "".join([*pieces, value[at:]])
-            out.append(value)
+                for _, start, end, _ in found:
+                    if start >= at:
+                        pieces += [out[i][at:start], mask]
+                    at = max(at, end)
+                out[i] = "".join([*pieces, out[i][at:]])
         return [pa.array(out, pa.string())]
 
-    columns = [c for c in df.columns if c != "spans"]
-    masked = map_rows(df, [text, "spans"], "_masked string", run, keep=columns)
-    return masked.select(
-        *[F.col("_masked").alias(c) if c == text else F.col(f"`{c}`") for c in columns]
-    )
+    others = [c for c in df.columns if c != text]
+    return map_rows(df, [text], f"`{text}` string", run, keep=others).select(*[F.col(f"`{c}`") for c in df.columns])
