@@ -146,10 +146,10 @@ def summary(
         table = table.select("field", *texts)
     else:
         at = F.array(*[F.lit(float(s)) for s in shares.values()])
-        cells = [
-            F.struct(F.lit(c).alias("field"), F.percentile_approx(c, at).cast("array<string>").alias("_q")).alias(f"_{i}")
-            for i, c in enumerate(numbers)
-        ]
+        cells = []
+        for i, c in enumerate(numbers):
+            found = F.percentile_approx(c, at).cast("array<string>").alias("_q")
+            cells.append(F.struct(F.lit(c).alias("field"), found).alias(f"_{i}"))
         rows = df.agg(*cells).select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(cells))])))
         table = rows.select("field", *[F.col("_q")[j].alias(q) for j, q in enumerate(shares)])
     # One row per column on both sides.

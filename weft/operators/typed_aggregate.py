@@ -85,11 +85,12 @@ def aggregate_with(
     result = T.StructType.fromDDL(f"r {aggregator.result}").fields[0].dataType
     marks = T.StructType.fromDDL("_m1 long, _m2 int").fields
     key_fields = [df.schema[k] for k in keys]
-    partial = T.StructType([*key_fields, *marks, *[T.StructField(f"_b{i}", f.dataType) for i, f in enumerate(buffer)]])
+    held_fields = [T.StructField(f"_b{i}", f.dataType) for i, f in enumerate(buffer)]
+    partial = T.StructType([*key_fields, *marks, *held_fields])
     final = T.StructType([*key_fields, T.StructField(name, result)])
     width = len(keys)
     # Arrow's names of the types, from an empty frame.
-    types = T.StructType([*[T.StructField(f"b{i}", f.dataType) for i, f in enumerate(buffer)], T.StructField("r", result)])
+    types = T.StructType([*held_fields, T.StructField("r", result)])
     *kinds, result_kind = spark.createDataFrame([], types).toArrow().schema.types
 
     def batch_of(head: list, columns: list) -> pa.RecordBatch:
@@ -139,7 +140,8 @@ def aggregate_with(
             column = aggregator.finished(batch.columns[width + 2 :], result_kind)
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], column], final.names)
         if not keys and not seen:
-            yield pa.RecordBatch.from_arrays([pa.array([aggregator.finish(aggregator.zero())], result_kind)], final.names)
+            empty = pa.array([aggregator.finish(aggregator.zero())], result_kind)
+            yield pa.RecordBatch.from_arrays([empty], final.names)
 
     columns = [F.col(f"`{k}`") for k in keys]
     given = with_marks(df.select(*columns, F.col(f"`{value}`").alias(VALUE)), keys)
