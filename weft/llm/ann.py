@@ -86,7 +86,8 @@ def fit_lists(vectors: DataFrame, dimension: int, neighbours: int, seed: int = 5
     number = int(min(MOST_LISTS, max(1, count**0.5), max(1, len(np.unique(sample, axis=0)))))
     centroids = sample[rng.choice(len(sample), number, replace=False)]
     for _ in range(ROUNDS):
-        owner = np.concatenate([(sample[i : i + 1024] @ centroids.T).argmax(axis=1) for i in range(0, len(sample), 1024)])
+        blocks = [sample[i : i + 1024] for i in range(0, len(sample), 1024)]
+        owner = np.concatenate([(block @ centroids.T).argmax(axis=1) for block in blocks])
         sums = np.zeros_like(centroids)
         np.add.at(sums, owner, sample)
         length = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -204,8 +205,8 @@ def nearest_neighbours(
                 held = np.cumsum(size[near], axis=1)
                 enough = np.maximum(probed, (held < k + 1).sum(axis=1) + 1)
                 row, rank = np.nonzero(np.arange(number)[None] < enough[:, None])
-                taken = pa.array(row)
-                columns = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(near[row, rank].astype(np.int32))]
+                taken, number_of = pa.array(row), pa.array(near[row, rank].astype(np.int32))
+                columns = [batch.column(0).take(taken), batch.column(1).take(taken), number_of]
                 yield pa.RecordBatch.from_arrays(columns, ["_id", "_v", "_list"])
 
     asked = index.withColumnRenamed("_id", id).filter(is_query).withColumnRenamed(id, "_id")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -110,10 +109,6 @@ def uniform(*columns: str, seed: int = 0) -> Column:
     return F.pmod(mixed, F.lit(1 << 40)) / float(1 << 40)
 
 
-def crc32(data: bytes) -> int:
-    return zlib.crc32(data)
-
-
 def kept(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared scratch folder, and a scan of the files.
 

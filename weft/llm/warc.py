@@ -98,12 +98,11 @@ def write_warc(
     names only those of the attempt that counts.
     """
     body = F.coalesce(F.col(payload), F.lit(""))
-    rows = pages.select(
-        F.col(id).alias("_id"), F.col(url).alias("_url"), body.alias("_body"), place_of(pages).alias("_place")
-    )
-    rows = rows.withColumn("_key", F.sha2(F.col("_body").cast("binary"), 256))
+    named = [F.col(id).alias("_id"), F.col(url).alias("_url"), body.alias("_body")]
+    rows = pages.select(*named, place_of(pages).alias("_place"))
     # A short payload is always a response: its key is its own place.
-    rows = rows.withColumn("_key", F.when(F.octet_length("_body") >= least_revisit, F.col("_key")).otherwise(F.col("_place")))
+    digest, long = F.sha2(F.col("_body").cast("binary"), 256), F.octet_length("_body") >= least_revisit
+    rows = rows.withColumn("_key", F.when(long, digest).otherwise(F.col("_place")))
     first = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_place")).alias("_first")
     decided = rows.join(rows.groupBy("_key").agg(first), "_key")
     again = F.col("_first._place") != F.col("_place")
