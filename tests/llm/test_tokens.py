@@ -139,6 +139,10 @@ def test_counts_of_documents_and_edge_rows(spark, bpe):
         PATTERN,
         "edits",
     )
+    at_once = recount_tokens(rows.drop("tree"), RANKS, PATTERN, (r"[0-9]+", "#"))
+    columns = sorted(at_once.columns)
+    found, want = at_once.select(columns).collect(), again.select(columns).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, want))
     for row in again.collect():
         assert row["n_tokens"] == len(bpe.encode_ordinary(row["text"] or ""))
         assert row["edited_tokens"] == len(bpe.encode_ordinary(row["edited_text"]))

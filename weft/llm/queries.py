@@ -17,10 +17,10 @@ from weft.llm.packing import pack_tokens
 from weft.llm.quality import score_quality, train_quality
 from weft.llm.secrets import KINDS, learn_formats, scan_secrets
 from weft.llm.simhash import near_components
-from weft.llm.token_counts import count_tokens, recount_tokens
+from weft.llm.token_counts import recount_tokens
 from weft.llm.warc import read_warc, write_warc
 from weft.sources.scratch import scratch_path
-from weft.sources.tables import load_table
+from weft.sources.tables import load_table, widened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,11 @@ QUALITY_BOUND = 0.3
 NUMBER, NUMBER_MASK = r"[0-9]+", "0"
 
 
+def all_documents(spark: SparkSession, directory: str) -> DataFrame:
+    """The table; spread over the cores where it comes as one or a few small files."""
+    return widened(load_table(spark, directory, "documents"))
+
+
 def query(oracle: str | None = None):
     """Register the function under its own name."""
 
@@ -47,7 +52,7 @@ def query(oracle: str | None = None):
 @query()
 def op2_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
-    documents = load_table(spark, directory, "documents")
+    documents = all_documents(spark, directory)
     encoded = encode_bpe(documents, BYTE_RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
     both = decode_bpe(encoded, BYTE_RANKS)
     return both.select(
@@ -74,7 +79,7 @@ def packed(documents: DataFrame) -> DataFrame:
 @query()
 def op9_packing(spark: SparkSession, directory: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
-    return packed(load_table(spark, directory, "documents"))
+    return packed(all_documents(spark, directory))
 
 
 def trained_quality(spark: SparkSession, directory: str):
@@ -86,7 +91,7 @@ def trained_quality(spark: SparkSession, directory: str):
 @query()
 def op1_quality(spark: SparkSession, directory: str) -> DataFrame:
     """Quality score of every document."""
-    documents = load_table(spark, directory, "documents")
+    documents = all_documents(spark, directory)
     scored = score_quality(documents, trained_quality(spark, directory), keep=["doc_id"])
     held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
     predicted = (F.col("score") >= QUALITY_BOUND).cast("int")
@@ -98,7 +103,7 @@ def op1_quality(spark: SparkSession, directory: str) -> DataFrame:
 @query()
 def op5_secrets(spark: SparkSession, directory: str) -> DataFrame:
     """Secrets in every document: by patterns, and by formats learned from those."""
-    documents = load_table(spark, directory, "documents")
+    documents = all_documents(spark, directory)
     scanned = scan_secrets(documents, learn_formats(documents), keep=["doc_id"])
 
     def joined(spans):
@@ -121,7 +126,7 @@ def op5_secrets(spark: SparkSession, directory: str) -> DataFrame:
 @query()
 def op8_language(spark: SparkSession, directory: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
-    documents = load_table(spark, directory, "documents")
+    documents = all_documents(spark, directory)
     network = train_langid(documents, id_remainder("doc_id", 3) != 1)
     found = identify_language(documents, network, keep=["doc_id"])
     held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
@@ -131,7 +136,7 @@ def op8_language(spark: SparkSession, directory: str) -> DataFrame:
 @query()
 def op4_simhash(spark: SparkSession, directory: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
-    components = near_components(load_table(spark, directory, "documents"))
+    components = near_components(all_documents(spark, directory))
     bits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return components.select("doc_id", bits.alias("fingerprint"), "component_id")
 
@@ -205,10 +210,9 @@ def op10_warc(spark: SparkSession, directory: str) -> DataFrame:
 @query()
 def op3_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     """Tokens of every document before and after an edit of each of its numbers."""
-    documents = load_table(spark, directory, "documents")
+    documents = all_documents(spark, directory)
     rules = BYTE_RANKS, public_tokenizers.PATTERN
-    counted = count_tokens(documents, *rules, keep=["doc_id", "text"])
-    again = recount_tokens(counted, *rules, (NUMBER, NUMBER_MASK), keep=["doc_id", "n_tokens"])
+    again = recount_tokens(documents, *rules, (NUMBER, NUMBER_MASK), keep=["doc_id"])
     return again.select(
         "doc_id",
         "n_tokens",

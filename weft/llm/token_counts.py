@@ -11,6 +11,7 @@ above those blocks are updated.
 
 from __future__ import annotations
 
+import re
 import struct
 
 import numpy as np
@@ -54,6 +55,9 @@ class Counter:
             return struct.pack("<2i", len(piece), len(self.merges.encode(piece.encode())))
         return self._split(blank + word)
 
+    def tree(self, text: str) -> Tree:
+        return Tree(self.leaves(text) if text else np.zeros((0, 2), np.int32))
+
     def leaves(self, text: str) -> np.ndarray:
         """One row (characters, tokens) per pre-token."""
         if not evenly_spaced(text):
@@ -69,21 +73,36 @@ class Counter:
         return np.frombuffer(data, np.int32).reshape(-1, 2)
 
 
+def _sums(leaves: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the blocks that begin at ``starts`` and of all nodes above: node 1 is
+    the root, and those below node i are 2 i and 2 i + 1."""
+    width = 1 << (len(starts) - 1).bit_length()
+    sums = np.zeros((2 * width, 2), np.int64)
+    if len(leaves):
+        sums[width : width + len(starts)] = np.add.reduceat(leaves, starts, axis=0)
+    while width > 1:
+        width //= 2
+        sums[width : 2 * width] = sums[2 * width : 4 * width : 2] + sums[2 * width + 1 : 4 * width : 2]
+    return sums
+
+
 class Tree:
     """Blocks of pre-tokens below a complete binary tree of sums."""
 
     def __init__(self, leaves: np.ndarray, sizes: np.ndarray | None = None, sums: np.ndarray | None = None):
         if sizes is None:
-            sizes = np.diff(np.r_[np.arange(0, max(1, len(leaves)), BLOCK), len(leaves)])
-        self.blocks = np.split(leaves, np.cumsum(sizes)[:-1])
-        self.width = 1 << (len(self.blocks) - 1).bit_length()
-        if sums is None:
-            levels = [np.zeros((self.width, 2), np.int64)]
-            levels[0][: len(self.blocks)] = [b.sum(axis=0) for b in self.blocks]
-            while len(levels[0]) > 1:
-                levels.insert(0, levels[0].reshape(-1, 2, 2).sum(axis=1))
-            sums = np.concatenate([np.zeros((1, 2), np.int64), *levels])  # node 1 is the root
-        self.sums = sums
+            starts = np.arange(0, max(1, len(leaves)), BLOCK)
+            sizes = np.append(starts[1:], len(leaves)) - starts
+            sums = _sums(leaves, starts)
+        self.leaves, self.sizes, self.sums = leaves, sizes, sums
+        self.width = len(sums) // 2
+        self._blocks: list[np.ndarray] | None = None
+
+    @property
+    def blocks(self) -> list[np.ndarray]:
+        if self._blocks is None:
+            self._blocks = np.split(self.leaves, np.cumsum(self.sizes)[:-1])
+        return self._blocks
 
     @property
     def tokens(self) -> int:
@@ -130,9 +149,11 @@ class Tree:
         return Tree(np.concatenate(self.blocks))
 
     def dump(self) -> bytes:
-        sizes = np.array(list(map(len, self.blocks)), np.int32)
-        head = np.array([sizes.sum(), len(sizes)], np.int32)
-        return b"".join([head.tobytes(), np.concatenate(self.blocks).tobytes(), sizes.tobytes(), self.sums.tobytes()])
+        leaves, sizes = self.leaves, self.sizes
+        if self._blocks is not None:
+            leaves, sizes = np.concatenate(self._blocks), np.array(list(map(len, self._blocks)))
+        head = struct.pack("<2i", len(leaves), len(sizes))
+        return b"".join([head, leaves.tobytes(), sizes.astype(np.int32).tobytes(), self.sums.tobytes()])
 
     @classmethod
     def load(cls, data: bytes) -> Tree:
@@ -204,8 +225,7 @@ def count_tokens(
 
     def run(texts: pa.Array) -> list[pa.Array]:
         counter = _counter(path, pattern)
-        empty = np.zeros((0, 2), np.int32)
-        trees = [Tree(counter.leaves(t) if t else empty) for t in texts.to_pylist()]
+        trees = [counter.tree(t or "") for t in texts.to_pylist()]
         return [pa.array([t.tokens for t in trees], pa.int64()), pa.array([t.dump() for t in trees], pa.binary())]
 
     return map_rows(df, [text], "n_tokens long, tree binary", run, keep=keep)
@@ -220,7 +240,8 @@ def recount_tokens(
     text: str = "text",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Applies edits to texts with a ``tree`` and counts anew.
+    """Applies edits to texts with a ``tree`` and counts anew. Without that column the
+    trees are made in the same pass, and ``n_tokens`` is added.
 
     ``edits`` names a column of the type EDITS (see :func:`edited`), or is a regular
     expression and what replaces each of its matches. Adds ``edited_text``,
@@ -229,30 +250,32 @@ def recount_tokens(
     none, and a null replacement is empty. Rows are independent; columns already
     named like the new ones are replaced.
     """
-    named = isinstance(edits, str)
-
-    def run(texts: pa.Array, trees: pa.Array, *changes: pa.Array) -> list[pa.Array]:
-        import regex
+    named, kept_trees = isinstance(edits, str), "tree" in df.columns
 
+    def run(texts: pa.Array, *more: pa.Array) -> list[pa.Array]:
         counter, rows = _counter(path, pattern), []
+        trees = [c.as_py() for c in more[0]] if kept_trees else [None] * len(texts)
         if named:
             wanted = [
-                [(e["start"], e["end"], e["text"] or "") for e in es or []] for es in changes[0].to_pylist()
+                [(e["start"], e["end"], e["text"] or "") for e in es or []] for es in more[-1].to_pylist()
             ]
         else:
-            find = regex.compile(edits[0]).finditer
+            find = re.compile(edits[0]).finditer
             wanted = [[(m.start(), m.end(), edits[1]) for m in find(t or "")] for t in texts.to_pylist()]
-        for body, data, triples in zip(texts.to_pylist(), trees.to_pylist(), wanted):
-            new, total, encoded = body or "", None, 0
+        for body, data, triples in zip(texts.to_pylist(), trees, wanted):
+            new, encoded = body or "", 0
+            tree = counter.tree(new) if data is None else Tree.load(data)
+            before = tree.tokens
             if triples:
-                new, tree, encoded = edited(new, Tree.load(data), triples, counter)
-                data, total = tree.dump(), tree.tokens
-            else:
-                total = Tree.load(data).tokens
-            rows.append((new, total, data, len(triples), encoded))
-        kinds = [pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-        columns = zip(*rows) if rows else [[]] * 5
-        return [pa.array(c, k) for c, k in zip(columns, kinds)]
+                new, tree, encoded = edited(new, tree, triples, counter)
+            if triples or data is None:
+                data = tree.dump()
+            rows.append((new, tree.tokens, data, len(triples), encoded, before))
+        kinds = [pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        columns = zip(*rows) if rows else [[]] * 6
+        made = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        return made[:-1] if kept_trees else made
 
     made = "edited_text string, edited_tokens long, edited_tree binary, n_edits long, n_encoded long"
-    return map_rows(df, [text, "tree", *([edits] if named else [])], made, run, keep=keep)
+    inputs = [text, *(["tree"] if kept_trees else []), *([edits] if named else [])]
+    return map_rows(df, inputs, made + ", n_tokens long" * (not kept_trees), run, keep=keep)
