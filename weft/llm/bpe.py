@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from weft.llm.common import Memo, held, map_rows
 
-WORDS_KEPT = 250_000
+WORDS_KEPT = 150_000
 PIECES_KEPT = 30_000
 LONGEST_KEPT = 64
 FITS_KEPT = 150_000
