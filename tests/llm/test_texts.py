@@ -198,6 +198,24 @@ def test_formats_find_unannounced_credentials(spark):
     assert masked[401] == lines[401] and masked[402] is None
 
 
+def found_in(spark, lines):
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = scan_secrets(rows, learn_formats(rows)).collect()
+    return {r["doc_id"]: [r["text"][s["start"] : s["end"]] for s in r["spans"]] for r in found}
+
+
+@pytest.mark.parametrize("others", [0, 60])
+def test_leaked_keys_do_not_hide_each_other(spark, others):
+    rng = random.Random(9)
+    keys = [hexes(rng, 18) for _ in range(300)]
+    lines = [f"words password={hexes(rng, 18)} words" for _ in range(100)]
+    lines += [f"bare {key} here" for key in keys]
+    lines += [f"card 4{rng.randrange(10**14, 10**15)} and order-number-{rng.randrange(10**6)}" for _ in range(others)]
+    found = found_in(spark, lines)
+    assert sum(found[100 + i] == [key] for i, key in enumerate(keys)) >= 285
+    assert not any(found[i] for i in range(400, 400 + others))
+
+
 def test_secrets_of_edge_rows(spark, edge):
     formats = learn_formats(edge.limit(0))
     assert formats == {}

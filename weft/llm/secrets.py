@@ -3,10 +3,10 @@
 The patterns find credentials that announce themselves. Their matches are labelled
 examples: for each kind a prefix tree of sampled values is built and its states are
 merged as long as their statistics agree, which leaves a probabilistic automaton of
-the format. One more automaton is learned from long tokens with digits that no
-pattern matches. Every such token of every text is then scored: it is reported if
-an automaton of credentials finds it as likely as its own examples and far likelier
-than the automaton of other tokens does.
+the format. More automata, the background, are learned from tokens that no pattern
+matches and that fit none of these formats. Every token of every text is then scored:
+it is reported if an automaton of credentials finds it as likely as its own examples
+and far likelier than the background does.
 """
 
 from __future__ import annotations
@@ -14,13 +14,14 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import kept, map_rows, uniform, utf8
+from weft.llm.common import BATCH_ROWS, kept, map_rows, uniform, utf8
 
 KINDS = ("assign", "access", "hex")
 OTHER = "other"
@@ -36,22 +37,33 @@ ASSIGN_LEAST = 6
 ACCESS = re.compile(rb"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 
-#: A candidate: a maximal run of these, long enough and with a digit.
 LETTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+RUN_LEAST = 16  # of LETTERS; ``access`` and ``hex`` need more
+#: A candidate: a maximal run of LETTERS, long enough and with a digit.
 CANDIDATE_LEAST = 16
-DIGIT = re.compile(rb"[0-9]")
 
 EXAMPLES = 400  # of each kind, sampled by hash
 EXAMPLE_LONGEST = 128
 MERGE_ERROR = 0.05  # ALERGIA's confidence parameter
 LOW_SHARE, SLACK = 0.02, 0.1  # this share of the examples may score below the bound
 MARGIN = 10.0  # nats by which a format must beat other tokens
+CLEAR = 2.0  # nats by which a word must be likelier as a word to teach what words are
+PART_BYTES = 4 << 20  # of texts scored at once
+#: Teach the background in any corpus, so that it is never empty.
+PLAIN = b"""about people because through between should children another government different important
+example information company however without against something business thought nothing together
+Monday January European American However Although Contents.  version.  system.  2019-10-27 12:30:45
+www.example.com index.html file_name.txt user-name first/second""".split()
 
 SYMBOLS = len(LETTERS) + 3  # ``.``, ``=`` and any other
 SYMBOL = np.full(256, SYMBOLS - 1, np.uint8)
 SYMBOL[np.frombuffer(LETTERS + b".=", np.uint8)] = np.arange(len(LETTERS) + 2)
 IN_TOKEN = np.zeros(256, bool)
 IN_TOKEN[np.frombuffer(LETTERS, np.uint8)] = True
+IN_WIDE = IN_TOKEN
+DIGITS, LOWER, UPPER = 1, 2, 4
+CLASS = np.zeros(256, np.uint8)
+CLASS[48:58], CLASS[97:123], CLASS[65:91] = DIGITS, LOWER, UPPER
 
 
 def _bases(row: bytes, tokens: list[tuple[int, int]]) -> list[tuple[str, int, int, int]]:
@@ -68,29 +80,127 @@ def _bases(row: bytes, tokens: list[tuple[int, int]]) -> list[tuple[str, int, in
     return found
 
 
-def _rows(column: pa.Array) -> Iterable[tuple[int, bytes, list[tuple[int, int]]]]:
-    """Number, bytes and long tokens of each text of a batch."""
-    data, bounds = utf8(column)
-    flags = IN_TOKEN[np.frombuffer(data, np.uint8)]
-    edges = np.flatnonzero(flags[1:] != flags[:-1]) + 1
-    del flags
-    cuts = np.union1d(edges, np.asarray(bounds, np.int64))
-    long = np.flatnonzero(np.diff(cuts) >= CANDIDATE_LEAST)
-    starts, ends = cuts[long], cuts[long + 1]
+def _edges(data: np.ndarray, member: np.ndarray, bounds: list[int], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of members in each text."""
+    flags = member[data]
+    change = np.zeros(len(data) + 1, bool)
+    change[1:-1] = flags[1:] != flags[:-1]
+    change[bounds] = True
+    cuts = np.flatnonzero(change)
+    long = np.flatnonzero((np.diff(cuts) >= least) & flags[cuts[:-1]])
+    return cuts[long], cuts[long + 1]
+
+
+def _parts(texts: pa.Array) -> Iterable[tuple[int, bytes, list[int]]]:
+    """The batch in parts of bounded size (or one text): first row, bytes, bounds."""
+    data, bounds = utf8(texts)
+    first = 0
+    for i in range(1, len(bounds)):
+        if i + 1 == len(bounds) or bounds[i + 1] - bounds[first] > PART_BYTES:
+            low = bounds[first]
+            yield first, data[low : bounds[i]], [b - low for b in bounds[first : i + 1]]
+            first = i
+
+
+def _rows(data: bytes, bounds: list[int]) -> Iterable[tuple[int, int, bytes, list[tuple]]]:
+    """Number, begin and bytes of each text of a part, and the matches of the patterns."""
+    starts, ends = _edges(np.frombuffer(data, np.uint8), IN_TOKEN, bounds, RUN_LEAST) if data else ([], [])
     first = np.searchsorted(starts, bounds)
     for i, (begin, end) in enumerate(zip(bounds, bounds[1:])):
-        part = range(first[i], first[i + 1])
-        tokens = [(int(starts[k]) - begin, int(ends[k]) - begin) for k in part if IN_TOKEN[data[starts[k]]]]
-        yield i, data[begin:end], tokens
+        row = data[begin:end]
+        tokens = [(int(starts[k]) - begin, int(ends[k]) - begin) for k in range(first[i], first[i + 1])]
+        yield i, begin, row, _bases(row, tokens)
 
 
-def _candidates(row: bytes, tokens, bases) -> list[tuple[int, int]]:
-    """Long tokens with a digit that no base span touches."""
-    return [
-        (s, e)
-        for s, e in tokens
-        if DIGIT.search(row, s, e) and not any(s < b[2] and b[1] < e for b in bases)
-    ]
+@dataclass
+class Tokens:
+    """Candidates of a part, by their places in its bytes.
+
+    Runs of the wide alphabet come first; the runs of LETTERS inside one follow,
+    with its number as ``parent``. Those that a base span touches are left out.
+    """
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    parent: np.ndarray
+
+    @staticmethod
+    def of(data: bytes, bounds: list[int], taken: list[tuple[int, int]]) -> Tokens:
+        array = np.frombuffer(data, np.uint8)
+        if not data:
+            none = np.zeros(0, np.int64)
+            return Tokens(array, none, none, none)
+        starts, ends = _edges(array, IN_WIDE, bounds, CANDIDATE_LEAST)
+        s, e = _edges(array, IN_TOKEN, bounds, CANDIDATE_LEAST)
+        parent = np.searchsorted(starts, s, "right") - 1
+        inner = (starts[parent] != s) | (ends[parent] != e)
+        parent = np.concatenate([np.full(len(starts), -1), parent[inner]])
+        starts, ends = np.concatenate([starts, s[inner]]), np.concatenate([ends, e[inner]])
+        free = np.ones(len(starts), bool)
+        if taken:
+            low, high = np.array(sorted(taken)).T
+            high = np.maximum.accumulate(high)  # of all spans that start no later
+            before = np.searchsorted(low, ends) - 1
+            free = (before < 0) | (high[before.clip(min=0)] <= starts)
+        free &= (Tokens(array, starts, ends, parent).classes() & DIGITS) > 0
+        number = np.cumsum(free) - 1
+        known = parent[free]
+        known = np.where((known >= 0) & free[known], number[known], -1)
+        return Tokens(array, starts[free], ends[free], known)
+
+    def take(self, rows: np.ndarray) -> Tokens:
+        return Tokens(self.data, self.starts[rows], self.ends[rows], self.parent[rows])
+
+    def value(self, i: int) -> bytes:
+        return self.data[self.starts[i] : self.ends[i]].tobytes()
+
+    def classes(self) -> np.ndarray:
+        """Bits of DIGITS, LOWER and UPPER that occur in each."""
+        if not len(self.starts):
+            return np.zeros(0, np.uint8)
+        places = np.stack([self.starts, self.ends], axis=1).ravel()
+        return np.bitwise_or.reduceat(np.append(CLASS[self.data], np.uint8(0)), places)[::2]
+
+    def steps(self) -> tuple[np.ndarray, Iterable[np.ndarray]]:
+        """An order, longest first, and for each place the symbols there, in that order."""
+        lengths = self.ends - self.starts
+        order = np.argsort(-lengths, kind="stable")
+        begins, lengths = self.starts[order], lengths[order]
+
+        def walk():
+            counts = np.searchsorted(-lengths, -np.arange(1, (lengths[0] if len(lengths) else 0) + 1), "right")
+            for k, active in enumerate(counts.tolist()):
+                yield SYMBOL[self.data[begins[:active] + k]]
+
+        return order, walk()
+
+    def hashes(self) -> np.ndarray:
+        """A number for each value that depends on the value only."""
+        up, down = _powers(len(self.data))
+        sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum((self.data + np.uint64(1)) * up, out=sums[1:])
+        value = (sums[self.ends] - sums[self.starts]) * down[self.starts]
+        value = (value ^ (value >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (value >> np.uint64(1)).view(np.int64)
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
+    base = 0x5851F42D4C957F2D
+    pair = []
+    for number in (base, pow(base, -1, 1 << 64)):
+        factors = np.full(count, number, np.uint64)
+        factors[:1] = 1
+        pair.append(np.cumprod(factors))
+    return pair[0], pair[1]
+
+
+def _tokens(values: list[bytes]) -> Tokens:
+    ends = np.cumsum([len(v) for v in values]).astype(np.int64)
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if values else ends
+    return Tokens(np.frombuffer(b"".join(values), np.uint8), starts, ends, np.full(len(values), -1))
 
 
 class Automaton:
@@ -114,7 +224,9 @@ class Automaton:
             self.ends[at] += 1
         self._merge_states()
         self._flatten()
-        self.low = float(np.quantile(self.scores(examples)[1], LOW_SHARE)) - SLACK
+        given = _tokens(examples)
+        self.low = float(np.quantile(self.walk(given)[1], LOW_SHARE)) - SLACK
+        self.usual = np.bincount(given.classes(), minlength=8) >= LOW_SHARE * len(examples)
 
     def _apart(self, a: int, n: int, b: int, m: int) -> bool:
         """Whether two shares differ by more than chance (Hoeffding's bound)."""
@@ -187,42 +299,131 @@ class Automaton:
     def scores(self, tokens: list[bytes]) -> np.ndarray:
         """Log-likelihood of each token, and its mean over the symbols without the
         end. All tokens are advanced together."""
-        order = sorted(range(len(tokens)), key=lambda i: -len(tokens[i]))
-        lengths = np.array([len(tokens[i]) for i in order], np.int64)
-        symbols = SYMBOL[np.frombuffer(b"".join(tokens[i] for i in order), np.uint8)]
-        begins = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+        return self.walk(_tokens(tokens))
+
+    def walk(self, tokens: Tokens) -> np.ndarray:
+        order, steps = tokens.steps()
         state, total = np.zeros(len(order), np.int32), np.zeros(len(order))
-        active = len(order)
-        for k in range(int(lengths[0]) if len(order) else 0):
-            while lengths[active - 1] <= k:
-                active -= 1
-            symbol = symbols[begins[:active] + k]
-            now = state[:active]
-            total[:active] += self.log[now, symbol]
-            state[:active] = self.next[now, symbol]
+        for symbols in steps:
+            now = state[: len(symbols)]
+            total[: len(symbols)] += self.log[now, symbols]
+            state[: len(symbols)] = self.next[now, symbols]
         result = np.empty((2, len(order)))
         result[0, order] = total + self.log[state, SYMBOLS]
-        result[1, order] = total / np.maximum(lengths, 1)
+        result[1, order] = total
+        result[1] /= np.maximum(tokens.ends - tokens.starts, 1)
         return result
 
+    def reaching(self, tokens: Tokens) -> np.ndarray:
+        """Rows of the tokens that may be as likely as the examples: those given up
+        stay below the bound even if all symbols behind the first ones are the likeliest."""
+        rows, lengths = np.arange(len(tokens.starts)), tokens.ends - tokens.starts
+        best = float(self.log[:, :SYMBOLS].max())
+        state, lost = np.zeros(len(rows), np.int32), np.zeros(len(rows))
+        for k in range(CANDIDATE_LEAST):
+            symbols = SYMBOL[tokens.data[tokens.starts[rows] + k]]
+            lost += self.log[state, symbols] - best
+            stay = lost >= (self.low - best) * lengths[rows] - 1e-6
+            state = self.next[state, symbols][stay]
+            rows, lost = rows[stay], lost[stay]
+        return rows
+
+    def fits(self, tokens: Tokens) -> np.ndarray:
+        """Whether each token is as likely as the examples and of their classes of characters."""
+        return (self.walk(tokens)[1] >= self.low) & self.usual[tokens.classes()]
 
-def learn_formats(df: DataFrame, *, text: str = "text", examples: int = EXAMPLES) -> dict[str, Automaton]:
-    """Automata by kind, and of other tokens, from credentials in ``df``.
+
+class Background:
+    """Automata of several sorts of other tokens; the likeliest one counts."""
+
+    def __init__(self, samples: list[list[bytes]]):
+        self.automata = [Automaton(sample) for sample in samples if sample]
+
+    def walk(self, tokens: Tokens) -> np.ndarray:
+        return np.max([a.walk(tokens)[0] for a in self.automata], axis=0)
+
+
+def _others(df: DataFrame, text: str, formats: dict[str, Automaton], examples: int) -> list[list[bytes]]:
+    """Samples of tokens that are no credentials, by sort: without digits, of digits
+    only, and mixed, each short and long. The sorts are sampled apart, as words
+    outnumber all else.
+
+    What fits a format teaches no background: else leaked keys would hide each other.
+    Words may fit a format of random letters; they stay if they are clearly likelier
+    by an automaton of all tokens without digits.
+    """
+    column = F.col(f"`{text}`").alias("text")
+
+    def run(batches):
+        least: dict[int, dict[int, bytes]] = {sort: {} for sort in range(6)}
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                for _, data, bounds in _parts(whole.column(0).slice(at, BATCH_ROWS)):
+                    add(least, data, bounds)
+        made = [(k, h, v.decode()) for k, values in least.items() for h, v in values.items()]
+        fields = [pa.array([m[c] for m in made], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.string()))]
+        yield pa.RecordBatch.from_arrays(fields, ["sort", "hash", "value"])
+
+    def add(least, data, bounds):
+        taken = [(b + x[1], b + x[2]) for _, b, _, bases in _rows(data, bounds) for x in bases]
+        tokens = Tokens.of(data, bounds, taken)
+        tokens = tokens.take(tokens.ends - tokens.starts <= EXAMPLE_LONGEST)
+        classes = tokens.classes()
+        digits = (classes & DIGITS) > 0
+        fit = np.zeros(len(classes), bool)
+        mixed = np.flatnonzero(digits)
+        for automaton in formats.values():
+            fit[mixed] |= automaton.fits(tokens.take(mixed))
+        tokens, classes, digits = tokens.take(~fit), classes[~fit], digits[~fit]
+        sort = np.where(digits, np.where(classes == DIGITS, 1, 2), 0) + 3 * (tokens.ends - tokens.starts >= RUN_LEAST)
+        hashes = tokens.hashes()
+        for k, values in least.items():
+            known = len(values) == examples
+            rows = np.flatnonzero((sort == k) & (hashes < max(values) if known else True))
+            names, first = np.unique(hashes[rows], return_index=True)
+            for h, i in zip(names[:examples].tolist(), rows[first[:examples]].tolist()):
+                values.setdefault(h, tokens.value(i))
+            for h in sorted(values)[examples:]:
+                del values[h]
+
+    # Each task gives its smallest hashes; the smallest of all are a sample of all values.
+    found = df.select(column).mapInArrow(run, "sort int, hash long, value string").distinct()
+    found = kept(found, "others")
+    sizes = {r["sort"]: r["n"] for r in found.groupBy("sort").agg(F.count(F.lit(1)).alias("n")).collect()}
+    samples = []
+    for sort in range(6):
+        part = found.filter(F.col("sort") == sort)
+        if sizes.get(sort, 0) > examples:
+            part = part.filter(F.col("hash") <= part.approxQuantile("hash", [examples / sizes[sort]], 1e-4)[0])
+        sample = sorted(r["value"].encode() for r in part.select("value").limit(2 * examples).collect())
+        if sort % 3 == 0 and sample:
+            tokens = _tokens(sample)
+            word = Automaton(sample).walk(tokens)[0]
+            stay = np.ones(len(sample), bool)
+            for automaton in formats.values():
+                stay &= ~automaton.fits(tokens) | (word - automaton.walk(tokens)[0] >= CLEAR)
+            sample = [v for v, s in zip(sample, stay) if s]
+        samples.append(sample)
+    return samples
+
+
+def learn_formats(df: DataFrame, *, text: str = "text", examples: int = EXAMPLES) -> dict[str, Automaton | Background]:
+    """Automata by kind, and the background of other tokens, from ``df``.
 
     Different values are found in all texts; up to about ``examples`` of each kind
-    are drawn by hash, so the driver gets a bounded number of short strings. A kind
-    without examples has no automaton.
+    and of each sort of other tokens are drawn by hash, so the driver gets a bounded
+    number of short strings. A kind without examples has no automaton, and without
+    any there is no background. Tokens that fit a format teach no background.
     """
 
     def run(texts: pa.Array) -> list[pa.Array]:
         values = []
-        for _, row, tokens in _rows(texts):
-            bases = _bases(row, tokens)
-            found = {(b[0], row[b[3] : b[2]]) for b in bases}
-            found |= {(OTHER, row[s:e]) for s, e in _candidates(row, tokens, bases)}
-            values.append(
-                [{"kind": k, "value": v.decode()} for k, v in sorted(found) if len(v) <= EXAMPLE_LONGEST]
-            )
+        for _, data, bounds in _parts(texts):
+            for _, _, row, bases in _rows(data, bounds):
+                found = {(b[0], row[b[3] : b[2]]) for b in bases}
+                values.append(
+                    [{"kind": k, "value": v.decode()} for k, v in sorted(found) if len(v) <= EXAMPLE_LONGEST]
+                )
         kind = pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())]))
         return [pa.array(values, kind)]
 
@@ -236,47 +437,59 @@ def learn_formats(df: DataFrame, *, text: str = "text", examples: int = EXAMPLES
     by_kind: dict[str, list[bytes]] = {}
     for kind, value in sorted(drawn):
         by_kind.setdefault(kind, []).append(value.encode())
-    return {kind: Automaton(sample) for kind, sample in by_kind.items()}
+    formats: dict[str, Automaton | Background] = {kind: Automaton(sample) for kind, sample in by_kind.items()}
+    if formats:
+        formats[OTHER] = Background([*_others(df, text, dict(formats), examples), PLAIN])
+    return formats
 
 
-def _likely(tokens: list[bytes], formats: dict[str, Automaton], margin: float):
-    """For each token the format it fits and by how much, or None."""
-    if not tokens or OTHER not in formats:
-        return [None] * len(tokens)
-    other = formats[OTHER].scores(tokens)[0]
-    best, which = np.full(len(tokens), -np.inf), np.zeros(len(tokens), int)
+def _likely(tokens: Tokens, formats: dict, margin: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each token by how much a format beats the background, or -inf, and which."""
+    best, which = np.full(len(tokens.starts), -np.inf), np.zeros(len(tokens.starts), int)
+    if OTHER not in formats:
+        return best, which
     for i, kind in enumerate(KINDS):
         if kind in formats:
-            score, mean = formats[kind].scores(tokens)
-            gain = np.where(mean >= formats[kind].low, score - other, -np.inf)
-            better = gain > best
-            best[better], which[better] = gain[better], i
-    return [(LIKE[k], float(b)) if b >= margin else None for k, b in zip(which, best)]
+            rows = formats[kind].reaching(tokens)
+            score, mean = formats[kind].walk(tokens.take(rows))
+            better = (mean >= formats[kind].low) & (score > best[rows])
+            best[rows[better]], which[rows[better]] = score[better], i
+    rows = np.flatnonzero(best > -np.inf)
+    best[rows] -= formats[OTHER].walk(tokens.take(rows))
+    best[best < margin] = -np.inf
+    # A wide run counts unless the runs inside fit better together.
+    inside = np.zeros(len(best))
+    inner = np.flatnonzero((tokens.parent >= 0) & (best > -np.inf))
+    np.add.at(inside, tokens.parent[inner], best[inner])
+    wide = best >= inside
+    best[inner[wide[tokens.parent[inner]]]] = -np.inf
+    best[(tokens.parent < 0) & ~wide] = -np.inf
+    return best, which
 
 
 SPANS = "spans array<struct<kind string, start int, end int, score double>>"
 
 
-def _found(texts: pa.Array, formats: dict[str, Automaton], margin: float) -> list[list[tuple]]:
+def _found(texts: pa.Array, formats: dict, margin: float) -> list[list[tuple]]:
     """Spans (kind, start, end, score) of each text, in code points."""
-    rows, spans, tokens, owners = {}, [[] for _ in range(len(texts))], [], []
-    for i, row, runs in _rows(texts):
-        bases = _bases(row, runs)
-        spans[i] = [(k, s, e, None) for k, s, e, _ in bases]
-        for s, e in _candidates(row, runs, bases):
-            tokens.append(row[s:e])
-            owners.append((i, s, e))
-        if bases or (owners and owners[-1][0] == i):
-            rows[i] = row
-    for (i, s, e), hit in zip(owners, _likely(tokens, formats, margin)):
-        if hit:
-            spans[i].append((hit[0], s, e, hit[1]))
-    for i, found in enumerate(spans):
-        if found:
-            begins = (np.frombuffer(rows[i], np.uint8) & 0xC0) != 0x80
-            place = np.concatenate([[0], np.cumsum(begins)]).tolist()
-            found = [(k, place[s], place[e], x) for k, s, e, x in found]
-            spans[i] = sorted(found, key=lambda x: (x[1], ORDER[x[0]], x[2]))
+    spans: list[list[tuple]] = []
+    for _, data, bounds in _parts(texts):
+        part = [[(k, b + s, b + e, None) for k, s, e, _ in bases] for _, b, _, bases in _rows(data, bounds)]
+        if OTHER in formats:
+            tokens = Tokens.of(data, bounds, [x[1:3] for found in part for x in found])
+            best, which = _likely(tokens, formats, margin)
+            hits = np.flatnonzero(best > -np.inf)
+            owners = np.searchsorted(bounds, tokens.starts[hits], "right") - 1
+            for i, k in zip(owners.tolist(), hits.tolist()):
+                part[i].append((LIKE[which[k]], int(tokens.starts[k]), int(tokens.ends[k]), float(best[k])))
+        for i, found in enumerate(part):
+            if found:
+                low = bounds[i]
+                begins = (np.frombuffer(data[low : bounds[i + 1]], np.uint8) & 0xC0) != 0x80
+                place = np.concatenate([[0], np.cumsum(begins)]).tolist()
+                found = [(k, place[s - low], place[e - low], x) for k, s, e, x in found]
+                part[i] = sorted(found, key=lambda x: (x[1], ORDER[x[0]], x[2]))
+        spans += part
     return spans
 
 
@@ -292,8 +505,7 @@ def scan_secrets(
 
     Kinds ``assign``, ``access`` and ``hex`` are matches of the patterns, without a
     score; ``like_...`` are tokens that no pattern touches and that fit a learned
-    format, with the log-likelihood by which they do. Spans come by start, then
-    kind in that order.
+    format, with the log-likelihood by which they do. Spans come by start, then kind in that order.
 
     A null or empty text has no spans (an empty array). Texts are scanned whole.
     Rows are independent: repeated rows and null ids stay as they are, an empty
