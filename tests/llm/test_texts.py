@@ -216,6 +216,28 @@ def test_leaked_keys_do_not_hide_each_other(spark, others):
     assert not any(found[i] for i in range(400, 400 + others))
 
 
+WORDS = """international relations between governments remained difficult although considerable
+progress happened regarding environmental protection covid19 version2 mail3.example.com 192.168.10.24"""
+
+
+@pytest.mark.parametrize(
+    "alphabet, length",
+    [("0123456789abcdef", 10), ("abcdefghijklmnopqrstuvwxyz", 24), ("abcdefghijklmnopqrstuvwxyz0123456789.", 24)],
+)
+def test_short_keys_and_keys_of_letters(spark, alphabet, length):
+    rng = random.Random(10)
+
+    def key():
+        return "k" + "".join(rng.choice(alphabet) for _ in range(length - 2)) + "a"
+
+    keys = [key() for _ in range(60)]
+    lines = [f"words password={key()} words" for _ in range(200)]
+    lines += [f"{WORDS} bare {k}, here" for k in keys]
+    found = found_in(spark, lines)
+    assert sum(found[200 + i] == [k] for i, k in enumerate(keys)) >= 45
+    assert [s for i, k in enumerate(keys) for s in found[200 + i] if s not in k] == []  # at least no other word
+
+
 def test_secrets_of_edge_rows(spark, edge):
     formats = learn_formats(edge.limit(0))
     assert formats == {}

@@ -39,8 +39,8 @@ HEX = re.compile(rb"[0-9a-f]{24,}")
 
 LETTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 RUN_LEAST = 16  # of LETTERS; ``access`` and ``hex`` need more
-#: A candidate: a maximal run of LETTERS, long enough and with a digit.
-CANDIDATE_LEAST = 16
+#: A candidate: a maximal run of LETTERS or of these and ``.=``, as long as a value of ``assign``.
+CANDIDATE_LEAST = ASSIGN_LEAST
 
 EXAMPLES = 400  # of each kind, sampled by hash
 EXAMPLE_LONGEST = 128
@@ -60,7 +60,7 @@ SYMBOL = np.full(256, SYMBOLS - 1, np.uint8)
 SYMBOL[np.frombuffer(LETTERS + b".=", np.uint8)] = np.arange(len(LETTERS) + 2)
 IN_TOKEN = np.zeros(256, bool)
 IN_TOKEN[np.frombuffer(LETTERS, np.uint8)] = True
-IN_WIDE = IN_TOKEN
+IN_WIDE = SYMBOL < SYMBOLS - 1
 DIGITS, LOWER, UPPER = 1, 2, 4
 CLASS = np.zeros(256, np.uint8)
 CLASS[48:58], CLASS[97:123], CLASS[65:91] = DIGITS, LOWER, UPPER
@@ -143,7 +143,6 @@ class Tokens:
             high = np.maximum.accumulate(high)  # of all spans that start no later
             before = np.searchsorted(low, ends) - 1
             free = (before < 0) | (high[before.clip(min=0)] <= starts)
-        free &= (Tokens(array, starts, ends, parent).classes() & DIGITS) > 0
         number = np.cumsum(free) - 1
         known = parent[free]
         known = np.where((known >= 0) & free[known], number[known], -1)
@@ -505,7 +504,10 @@ def scan_secrets(
 
     Kinds ``assign``, ``access`` and ``hex`` are matches of the patterns, without a
     score; ``like_...`` are tokens that no pattern touches and that fit a learned
-    format, with the log-likelihood by which they do. Spans come by start, then kind in that order.
+    format, with the log-likelihood by which they do. Tokens are all maximal runs of
+    at least CANDIDATE_LEAST characters of ``[A-Za-z0-9+/_-]``, and of these with
+    ``.`` and ``=``; of a run and those inside it what fits better is reported. Short
+    ones seldom reach the margin. Spans come by start, then kind in that order.
 
     A null or empty text has no spans (an empty array). Texts are scanned whole.
     Rows are independent: repeated rows and null ids stay as they are, an empty
