@@ -80,6 +80,21 @@ def test_drop_exact_copies(spark, edge):
     assert exact_groups(edge.limit(0)).count() == 0
 
 
+def test_rows_of_one_file_row_and_of_a_shuffle_are_told_apart(spark, tmp_path):
+    documents = [(1, ["a", "b"]), (2, ["a", "c"]), (3, ["d", "d"])]
+    spark.createDataFrame(documents, "doc_id long, texts array<string>").write.parquet(f"{tmp_path}/in")
+    scan = spark.read.parquet(f"{tmp_path}/in")
+    passages = scan.select("doc_id", F.explode("texts").alias("text"))
+    for frame in (passages, passages.repartition(5, F.rand())):
+        rows = sorted((r["doc_id"], r["text"]) for r in drop_exact_copies(frame).collect())
+        assert rows == [(1, "a"), (1, "b"), (2, "c"), (3, "d")]
+        assert sorted(r["kept"] for r in exact_groups(frame).collect()) == [False] * 2 + [True] * 4
+    twice = passages.filter("doc_id = 3")
+    assert drop_exact_copies(twice.unionByName(twice)).count() == 1
+    both = spark.read.parquet(f"{tmp_path}/in", f"{tmp_path}/in").select("doc_id", F.concat_ws(" ", "texts").alias("text"))
+    assert both.count() == 6 and drop_exact_copies(both).count() == 3
+
+
 def test_state_takes_up_later_arrivals(spark):
     folder, state = scratch_path(spark, "arrivals"), scratch_path(spark, "state")
     first = spark.createDataFrame([(5, "p1", b"x"), (7, "p2", b"y")], "_id long, _place string, _digest binary")

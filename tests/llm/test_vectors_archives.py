@@ -138,6 +138,14 @@ def test_archives_of_edge_rows(spark, pages):
     assert sum(r["url"] is None for r in back) == 1
 
 
+def test_pages_from_one_file_row_share_a_payload(spark, tmp_path):
+    spark.createDataFrame([(1, ["same", "same", "other"])], "page_id long, bodies array<string>").write.parquet(f"{tmp_path}/in")
+    exploded = spark.read.parquet(f"{tmp_path}/in").select("page_id", F.lit("http://a").alias("url"), F.explode("bodies").alias("html"))
+    folder = scratch_path(spark, "warc")
+    kinds = sorted(r["record_type"] for r in read_warc(write_warc(exploded, folder, least_revisit=1), folder).collect())
+    assert kinds == ["response", "response", "revisit"]
+
+
 def test_small_payloads_are_all_responses(spark, pages):
     folder = scratch_path(spark, "warc")
     kinds = [r["record_type"] for r in read_warc(write_warc(pages, folder, least_revisit=12), folder).collect()]

@@ -30,20 +30,40 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def place_of(df: DataFrame) -> Column:
-    """Where a row's content is: file and row number, if the frame is a scan of
-    files, and otherwise the row's number in its partition."""
-    place = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+#: Plans in which each row is a row of a file of its own.
+SCAN_NODES = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether a row of ``df`` is a row of one file, found again by every pass."""
+    node = df._jdf.queryExecution().analyzed()
+    while True:
+        if node.getClass().getSimpleName() not in SCAN_NODES or not node.deterministic():
+            return False
+        if node.children().isEmpty():
+            break
+        node = node.children().head()
     try:
-        df.select(place)
+        df.select("_metadata.file_path", "_metadata.row_index")
     except AnalysisException:
-        return F.monotonically_increasing_id().cast("string")
-    return place
+        return False
+    roots = node.relation().location().rootPaths()
+    return roots.distinct().size() == roots.size()
 
 
-def _rows(df: DataFrame, id: str, text: str, digest: Callable[[Column], Column]) -> DataFrame:
+def placed(df: DataFrame, place: str = "_place") -> DataFrame:
+    """``df`` with a name for each row, the same in all passes: file and row number,
+    if the frame is a plain scan of files. Any other frame (with several rows from one
+    of a file, or rows in an order that another run need not repeat) is written
+    once with numbers, and read from there."""
+    if _is_scan(df):
+        return df.withColumn(place, F.concat_ws("#", "_metadata.file_path", "_metadata.row_index"))
+    return kept(df.withColumn(place, F.monotonically_increasing_id().cast("string")), "placed")
+
+
+def _rows(df: DataFrame, id: str, text: str, place: str, digest: Callable[[Column], Column]) -> DataFrame:
     """``(_id, _place, _text, _digest)``."""
-    rows = df.select(F.col(id).alias("_id"), place_of(df).alias("_place"), normalised(text).alias("_text"))
+    rows = df.select(F.col(id).alias("_id"), F.col(place).alias("_place"), normalised(text).alias("_text"))
     return rows.withColumn("_digest", digest(F.col("_text")))
 
 
@@ -90,14 +110,21 @@ def exact_groups(
     id being the largest, and of several rows with that id one. Texts of any length
     are compared whole. An empty table gives no rows; other columns are left out.
     """
-    return _decided(df, id, text, digest).select(
+    place = _place_name(df)
+    rows = placed(df.select(*dict.fromkeys((id, text))), place)
+    return _decided(rows, id, text, place, digest).select(
         F.col("_id").alias(id), "keep_id", "group_size", "kept", "text_sha256"
     )
 
 
-def _decided(df, id, text, digest) -> DataFrame:
+def _place_name(df: DataFrame) -> str:
+    """Longer than any column's name."""
+    return "_" * (1 + max(map(len, df.columns), default=0)) + "place"
+
+
+def _decided(df, id, text, place, digest) -> DataFrame:
     spark = df.sparkSession
-    rows = _rows(df, id, text, digest)
+    rows = _rows(df, id, text, place, digest)
     marks = rows.select("_id", "_place", "_digest", F.sha2(F.col("_text").cast("binary"), 256).alias("_sha"))
     if digest is sha256:
         marks = marks.drop("_sha")
@@ -133,6 +160,7 @@ def _decided(df, id, text, digest) -> DataFrame:
 
 def drop_exact_copies(df: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with one row of each group of equal texts; see :func:`exact_groups`."""
-    gone = _decided(df, id, text, sha256).filter(~F.col("kept")).select("_place")
-    rows = df.withColumn("_place", place_of(df))
-    return rows.join(gone, "_place", "left_anti").select(df.columns)
+    place = _place_name(df)
+    rows = placed(df, place)
+    gone = _decided(rows, id, text, place, sha256).filter(~F.col("kept")).select(F.col("_place").alias(place))
+    return rows.join(gone, place, "left_anti").select(df.columns)

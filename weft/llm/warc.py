@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weft.llm.common import kept
-from weft.llm.exact import place_of
+from weft.llm.exact import placed
 
 FILE_BYTES = 1 << 30
 LEVEL = 3
@@ -99,7 +99,7 @@ def write_warc(
     """
     body = F.coalesce(F.col(payload), F.lit(""))
     named = [F.col(id).alias("_id"), F.col(url).alias("_url"), body.alias("_body")]
-    rows = pages.select(*named, place_of(pages).alias("_place"))
+    rows = placed(pages.select(*named))
     # A short payload is always a response: its key is its own place.
     digest, long = F.sha2(F.col("_body").cast("binary"), 256), F.octet_length("_body") >= least_revisit
     rows = rows.withColumn("_key", F.when(long, digest).otherwise(F.col("_place")))
