@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import signal
 from itertools import combinations
 
 import duckdb
@@ -174,6 +175,27 @@ def test_links_equal_all_pairs(monkeypatch, values):
     assert link_nodes(values).tolist() == plain_components(values)
 
 
+def test_links_of_a_crowd_around_its_middle_end():
+    """One side of the split is the whole crowd, which must not be split again."""
+    near = [1 << i for i in range(64)] + [1 << i | 1 << j for i in range(64) for j in range(i)][:300]
+    far = [(0xFFFFFF << 40) ^ (1 << i) ^ (1 << j) for i in range(40) for j in range(i)][:300]
+    others = near + far
+    values = np.array(others[:332] + [0] + others[332:], np.uint64)
+    assert len(np.unique(values)) == len(values) == 665 and values[len(values) // 2] == 0
+
+    def late(*_):
+        raise TimeoutError
+
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(30)
+    try:
+        found = link_nodes(values)
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+    assert found.tolist() == plain_components(values)
+
+
 def test_no_link_is_lost_between_shards():
     values = crowd(5, 900, 4, 5)
     vantages = choose_vantages(values, 4)

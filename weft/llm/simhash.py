@@ -127,8 +127,10 @@ def link_nodes(values: np.ndarray, radius: int = RADIUS) -> np.ndarray:
             sets.join(members[d <= radius])
             border = int(np.median(d))
             inner, outer = members[d <= border], members[d > border - radius]
-            # Where nearly all nodes lie at the border, a split saves nothing.
-            if len(inner) + len(outer) < 1.6 * len(members):
+            # Where nearly all nodes lie at the border, a split saves nothing; a side
+            # that keeps all would be split the same way again, without end.
+            both, larger = len(inner) + len(outer), max(len(inner), len(outer))
+            if both < 1.6 * len(members) and larger < 0.95 * len(members):
                 stack += [inner, outer]
                 continue
         _link_block(values, members, sets, radius)
