@@ -1,0 +1,132 @@
+"""Manifests against a plain tree, and proofs that stop holding after a change."""
+
+import hashlib
+from itertools import groupby
+
+import pytest
+
+pytest.importorskip("weft.llm")
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from weft.llm.merkle import fold, leaf_digest, merkle_manifest, siblings_text  # noqa: E402
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def digest(*texts):
+    return hashlib.sha256("".join(texts).encode()).hexdigest()
+
+
+def shown(value):
+    text = None if value is None else str(value)
+    return "-" if text is None else f"{len(text.encode())}:{text}"
+
+
+def tree(leaves, fanout):
+    """The root, and for each leaf its siblings as (before, after)."""
+    nodes, members, proofs = list(leaves), [[i] for i in range(len(leaves))], [[] for _ in leaves]
+    while len(nodes) > 1:
+        next_nodes, next_members = [], []
+        for g in range(0, len(nodes), fanout):
+            run = nodes[g : g + fanout]
+            for j, owners in enumerate(members[g : g + fanout]):
+                for i in owners:
+                    proofs[i].append(("".join(run[:j]), "".join(run[j + 1 :])))
+            next_nodes.append(digest(*run))
+            next_members.append([i for owners in members[g : g + fanout] for i in owners])
+        nodes, members = next_nodes, next_members
+    return (nodes or [None])[0], proofs
+
+
+def plain(rows, fanout=2):
+    """(doc_id, leaf, subroot, root, proof) of all rows."""
+    leaf = lambda r: digest(*(shown(r[i]) for i in (0, 3, 2, 4, 1)))
+    bytewise = lambda v: (v is not None, (v or "").encode())
+    first = lambda v: (v is not None, v or 0)
+    rows = sorted(rows, key=lambda r: (bytewise(r[2]), first(r[0]), leaf(r)))
+    groups = [list(g) for _, g in groupby(rows, key=lambda r: r[2])]
+    trees = [tree([leaf(r) for r in g], fanout) for g in groups]
+    root, above = tree([t[0] for t in trees], fanout)
+    return [
+        (r[0], leaf(r), t[0], root, [*proof, *upper])
+        for g, t, upper in zip(groups, trees, above)
+        for r, proof in zip(g, t[1])
+    ]
+
+
+def found(df):
+    rows = df.select("doc_id", "leaf", "subroot", "root", "proof").collect()
+    return [(*r[:4], [tuple(s) for s in r["proof"]]) for r in rows]
+
+
+def rows_of(counts):
+    rows, number = [], 0
+    for lang, n in counts.items():
+        for _ in range(n):
+            number += 1
+            rows.append((number * 7919 % 10007, f"täxt {number}\n" * (number % 4), lang, None if number % 5 else "s", number))
+    return rows
+
+
+ODD = rows_of({None: 5, "": 1, "de": 33, "en": 64, "é": 17, "z": 2})
+
+
+@pytest.mark.parametrize(("fanout", "span"), [(2, 2), (2, 16), (3, 9)])
+def test_manifest_is_the_plain_tree(spark, fanout, span):
+    df = spark.createDataFrame(ODD, SCHEMA).repartition(5)
+    got = merkle_manifest(df, fanout=fanout, span=span)
+    assert sorted(found(got), key=repr) == sorted(plain(ODD, fanout), key=repr)
+
+
+@pytest.mark.parametrize("n", [1, 5, 8])
+def test_one_group_of_few_partitions(spark, n):
+    rows = rows_of({"en": n})
+    got = merkle_manifest(spark.createDataFrame(rows, SCHEMA), span=2)
+    assert sorted(found(got)) == sorted(plain(rows))
+
+
+def test_every_proof_folds_to_the_root_and_a_changed_leaf_does_not(spark):
+    got = merkle_manifest(spark.createDataFrame(ODD, SCHEMA), keep=[], span=8)
+    assert got.filter(fold(F.col("leaf"), F.col("proof")) != F.col("root")).isEmpty()
+    other = F.sha2(F.concat("leaf", F.lit("x")).cast("binary"), 256)
+    assert got.filter(fold(other, F.col("proof")) == F.col("root")).isEmpty()
+
+
+def test_nulls_repeated_rows_and_long_texts(spark):
+    rows = [
+        (None, None, None, None, None),
+        (None, "", None, "", 0),
+        (3, "a", "en", "s", 1),
+        (3, "a", "en", "s", 1),
+        (3, "b", "en", "s", 1),
+        (-4, "long " * 200_000, "en", None, 1_000_000),
+    ]
+    got = merkle_manifest(spark.createDataFrame(rows, SCHEMA), span=2)
+    assert sorted(found(got), key=repr) == sorted(plain(rows), key=repr)
+
+
+def test_empty_table(spark):
+    got = merkle_manifest(spark.createDataFrame([], SCHEMA))
+    assert got.columns == ["doc_id", "lang", "leaf", "subroot", "root", "proof"] and got.count() == 0
+
+
+def test_clashing_columns_and_other_names(spark):
+    df = spark.createDataFrame(ODD, SCHEMA).withColumns(
+        {"_part": F.lit("p"), "_slot": F.lit(1), "Root": F.lit(2), "_c0": F.lit(3), "_w": F.col("doc_id")}
+    )
+    got = merkle_manifest(df, keep=df.columns, span=16)
+    assert got.columns == [*[c for c in df.columns if c != "Root"], "leaf", "subroot", "root", "proof"]
+    assert sorted(found(got), key=repr) == sorted(plain(ODD), key=repr)
+    assert got.filter("_part = 'p' AND _slot = 1 AND _c0 = 3 AND _w = doc_id").count() == len(ODD)
+    renamed = df.select(F.col("doc_id").alias("_leaf"), F.col("lang").alias("_group"))
+    got = merkle_manifest(renamed, id="_leaf", group="_group", fields=("_leaf",), span=16)
+    assert got.select("root").distinct().count() == 1 and got.count() == len(ODD)
+
+
+def test_proof_text_and_leaf(spark):
+    row = spark.createDataFrame([(1, "aé", None)], "a int, b string, c string")
+    got = row.select(leaf_digest(F.col("a"), F.col("b"), F.col("c")).alias("d")).first()[0]
+    assert got == digest("1:1", "3:aé", "-")
+    steps = F.array(F.struct(F.lit("x").alias("before"), F.lit("").alias("after")))
+    assert row.select(siblings_text(F.concat(steps, steps))).first()[0] == "xx"

@@ -13,6 +13,7 @@ from weft.llm.bpe import decode_bpe, encode_bpe
 from weft.llm.common import id_remainder
 from weft.llm.exact import exact_groups
 from weft.llm.langid import identify_language, train_langid
+from weft.llm.merkle import fold, leaf_digest, merkle_manifest, siblings_text
 from weft.llm.packing import pack_tokens
 from weft.llm.quality import score_quality, train_quality
 from weft.llm.secrets import KINDS, learn_formats, scan_secrets
@@ -221,3 +222,137 @@ def op3_token_counts(spark: SparkSession, directory: str) -> DataFrame:
         "n_encoded",
         F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
     )
+
+
+@query(
+    oracle=r"""
+    WITH RECURSIVE given AS (
+        SELECT *, xor(crc, 4294967295::UBIGINT) % 7 = 0 AS tampers
+        FROM (
+            SELECT *, list_reduce(
+                [4294967295::UBIGINT] || list_transform(
+                    string_split(doc_id::VARCHAR, ''), lambda letter: ascii(letter)::UBIGINT
+                ),
+                lambda crc, byte: list_reduce(
+                    [xor(crc, byte)] || [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[],
+                    lambda c, bit: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END
+                )
+            ) AS crc
+            FROM documents
+        )
+    ),
+    hashed AS (
+        SELECT
+            doc_id,
+            lang,
+            sha256(head || n || tail) AS leaf,
+            sha256(head || CASE WHEN tampers THEN more ELSE n END || tail) AS brought
+        FROM (
+            SELECT
+                doc_id,
+                lang,
+                tampers,
+                coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                || coalesce(strlen(source) || ':' || source, '-')
+                || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n,
+                coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS more,
+                coalesce(strlen(text) || ':' || text, '-') AS tail
+            FROM given
+        )
+    ),
+    leaves AS (
+        SELECT
+            *,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+            count(*) OVER (PARTITION BY lang) AS n
+        FROM hashed
+    ),
+    nodes AS (
+        SELECT 0 AS depth, lang, i, n, leaf AS h FROM leaves
+        UNION ALL
+        SELECT depth + 1, lang, i // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+        FROM nodes
+        WHERE n > 1
+        GROUP BY depth, lang, i // 2
+    ),
+    tops AS (
+        SELECT
+            lang,
+            h AS subroot,
+            row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i,
+            count(*) OVER () AS n
+        FROM nodes
+        WHERE n = 1
+    ),
+    upper AS (
+        SELECT 0 AS depth, i, n, subroot AS h FROM tops
+        UNION ALL
+        SELECT depth + 1, i // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+        FROM upper
+        WHERE n > 1
+        GROUP BY depth, i // 2
+    ),
+    climb AS (
+        SELECT doc_id, leaf, lang, 0 AS depth, i, n, brought AS folded, '' AS proof FROM leaves
+        UNION ALL
+        SELECT
+            c.doc_id,
+            c.leaf,
+            c.lang,
+            c.depth + 1,
+            c.i // 2,
+            (c.n + 1) // 2,
+            sha256(CASE WHEN c.i % 2 = 1 THEN s.h || c.folded ELSE c.folded || coalesce(s.h, '') END),
+            c.proof || coalesce(s.h, '')
+        FROM climb AS c
+        LEFT JOIN nodes AS s
+        ON s.depth = c.depth AND s.lang IS NOT DISTINCT FROM c.lang AND s.i = xor(c.i, 1)
+        WHERE c.n > 1
+    ),
+    over AS (
+        SELECT c.doc_id, c.leaf, t.subroot, 0 AS depth, t.i, t.n, c.folded, c.proof
+        FROM climb AS c
+        JOIN tops AS t ON t.lang IS NOT DISTINCT FROM c.lang
+        WHERE c.n = 1
+        UNION ALL
+        SELECT
+            c.doc_id,
+            c.leaf,
+            c.subroot,
+            c.depth + 1,
+            c.i // 2,
+            (c.n + 1) // 2,
+            sha256(CASE WHEN c.i % 2 = 1 THEN s.h || c.folded ELSE c.folded || coalesce(s.h, '') END),
+            c.proof || coalesce(s.h, '')
+        FROM over AS c
+        LEFT JOIN upper AS s ON s.depth = c.depth AND s.i = xor(c.i, 1)
+        WHERE c.n > 1
+    )
+    SELECT
+        doc_id,
+        leaf,
+        subroot,
+        root,
+        sha256(proof) AS proof_sha256,
+        folded AS folded_root,
+        folded = root AS verified
+    FROM over, (SELECT h AS root FROM upper WHERE n = 1) AS the_root
+    WHERE n = 1
+    """
+)
+def op13_merkle(spark: SparkSession, directory: str) -> DataFrame:
+    """Leaf, roots and proof of every document, folded again after tampering with some."""
+    documents = load_table(spark, directory, "documents")
+    more = F.col("n_chars") + F.when(id_remainder("doc_id", 7) == 0, 1).otherwise(0)
+    brought = leaf_digest(*map(F.col, ("doc_id", "source", "lang")), more, F.col("text"))
+    manifest = merkle_manifest(documents.withColumn("brought", brought), keep=["doc_id", "brought"])
+    folded = fold(F.col("brought"), F.col("proof"))
+    return manifest.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings_text(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
