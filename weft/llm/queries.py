@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from weft.llm.ann import nearest_neighbours
 from weft.llm.bpe import decode_bpe, encode_bpe
-from weft.llm.common import id_remainder
+from weft.llm.codes import ENTRIES, PARTS, ROUNDS, SCALE, compress_vectors
+from weft.llm.common import id_remainder, kept
 from weft.llm.exact import exact_groups
 from weft.llm.langid import identify_language, train_langid
 from weft.llm.merkle import fold, leaf_digest, merkle_manifest, siblings_text
@@ -356,3 +357,90 @@ def op13_merkle(spark: SparkSession, directory: str) -> DataFrame:
         F.sha2(siblings_text(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
         folded.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _codes_oracle() -> str:
+    """Rounds of assignment and means, each as two common table expressions."""
+    near = """near{0} AS MATERIALIZED (
+        SELECT
+            vec_id,
+            part,
+            min((list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c))::BIGINT
+                * {1} + entry) AS best
+        FROM pieces JOIN book{0} USING (part)
+        GROUP BY vec_id, part
+    )"""
+    book = """book{2} AS MATERIALIZED (
+        SELECT b.part, b.entry, coalesce(m.c, b.c) AS c
+        FROM book{0} AS b
+        LEFT JOIN (
+            SELECT part, entry, list(floor(total / n) ORDER BY place) AS c
+            FROM (
+                SELECT p.part, best % {1} AS entry, place, sum(x[place + 1]) AS total, count(*) AS n
+                FROM pieces AS p JOIN near{0} USING (vec_id, part), range(width) AS places(place)
+                GROUP BY 1, 2, 3
+            )
+            GROUP BY part, entry
+        ) AS m USING (part, entry)
+    )"""
+    rounds = [t.format(r, ENTRIES, r + 1) for r in range(ROUNDS) for t in (near, book)]
+    return f"""
+    WITH sound AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    ),
+    pieces AS MATERIALIZED (
+        SELECT
+            vec_id,
+            part,
+            len(v) // {PARTS} AS width,
+            v[part * (len(v) // {PARTS}) + 1 : (part + 1) * (len(v) // {PARTS})] AS x
+        FROM sound, range({PARTS}) AS parts(part)
+    ),
+    book0 AS MATERIALIZED (
+        SELECT part, rank - 1 AS entry, x AS c
+        FROM pieces JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rank FROM sound) USING (vec_id)
+        WHERE rank <= {ENTRIES}
+    ),
+    {", ".join(rounds)},
+    {near.format(ROUNDS, ENTRIES)},
+    coded AS (
+        SELECT
+            vec_id,
+            lower(string_agg(printf('%02x', best % {ENTRIES}), '' ORDER BY part)) AS code,
+            sum(best // {ENTRIES})::BIGINT AS error
+        FROM near{ROUNDS}
+        GROUP BY vec_id
+    ),
+    books AS (
+        SELECT sha256(string_agg(entry_text, ',' ORDER BY part, entry)) AS codebooks_sha256
+        FROM (
+            SELECT part, entry, array_to_string(list_transform(c, lambda x: x::BIGINT), ',') AS entry_text
+            FROM book{ROUNDS}
+        )
+    )
+    SELECT
+        vec_id,
+        code,
+        error,
+        (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+        codebooks_sha256
+    FROM coded JOIN sound USING (vec_id), books
+    """
+
+
+@query(oracle=_codes_oracle())
+def op11_vector_codes(spark: SparkSession, directory: str) -> DataFrame:
+    """Codes of all vectors, their errors, and a digest of the codebooks."""
+    embeddings = load_table(spark, directory, "embeddings")
+    coded, books = compress_vectors(embeddings, keep=["vec_id", "label"])
+    coded = kept(coded, "codes")  # read by the totals and by the rows
+    totals = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    return coded.join(totals, F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
