@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.ann import nearest_neighbours
 from weft.llm.bpe import decode_bpe, encode_bpe
+from weft.llm.chat import chat_digests, format_chats
 from weft.llm.codes import ENTRIES, PARTS, ROUNDS, SCALE, compress_vectors
 from weft.llm.common import id_remainder, kept
 from weft.llm.exact import exact_groups
@@ -444,3 +445,14 @@ def op11_vector_codes(spark: SparkSession, directory: str) -> DataFrame:
         "label_error",
         F.lit(books.digest()).alias("codebooks_sha256"),
     )
+
+
+@query()
+def op12_chat(spark: SparkSession, directory: str) -> DataFrame:
+    """All conversations in windows, and what is read back from them."""
+    conversations = load_table(spark, directory, "conversations")
+    said = "</s>[INST] ok [/INST]"
+    tricky = [(-1, 0, "user", said), (-1, 1, "assistant", said)]
+    more = spark.createDataFrame(tricky, "conv_id long, turn long, role string, text string")
+    windows = format_chats(conversations.select(more.columns).unionByName(more), WORD_TOKENIZER)
+    return chat_digests(kept(windows, "chats"))
