@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.operators.grouping import CHUNK_ROWS, group_chunks
-from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_bound, key_counts, pieces, spread
+from weft.operators.hotkeys import (
+    COPIED,
+    HOT_ROWS,
+    SALT,
+    frequent_keys,
+    heavy_hitters,
+    ignored_rows,
+    pieces,
+    spread,
+)
 from weft.sources.scratch import stored
 
 HOWS = ("inner", "left", "right", "full")
@@ -32,7 +41,7 @@ def equi_join(
     and are only cut. A copied row has a match somewhere, as its key has rows on the
     other side, so a copy that stays alone in its piece is dropped.
 
-    ``hot_rows=None`` never counts.
+    ``hot_rows=None`` never looks for them.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}, not {how!r}")
@@ -49,14 +58,25 @@ def equi_join(
     hot = _hot_keys(left, right, on, sides, hot_rows)
     if hot is None:
         return left.join(right, on, how)
-    pieces_left = spread(left, on, hot, "_l", "_r").withColumnRenamed(COPIED, "_copied_left")
-    pieces_right = spread(right, on, hot, "_r", "_l").withColumnRenamed(COPIED, "_copied_right")
-    joined = pieces_left.join(pieces_right, [*on, "_l" + SALT, "_r" + SALT], how)
+    # Columns are numbered meanwhile, so that none has a name used here.
+    a, b = _numbered(left, on, "a"), _numbered(right, on, "b")
+    keys = [f"k{i}" for i in range(len(on))]
+    pieces_left = spread(a, keys, hot, "_l", "_r").withColumnRenamed(COPIED, "_copied_left")
+    pieces_right = spread(b, keys, hot, "_r", "_l").withColumnRenamed(COPIED, "_copied_right")
+    joined = pieces_left.join(pieces_right, [*keys, "_l" + SALT, "_r" + SALT], how)
     # The mark of a side is null where that side has no row.
     alone_left = F.col("_copied_right").isNull() & F.col("_copied_left")
     alone_right = F.col("_copied_left").isNull() & F.col("_copied_right")
     kept = joined.filter(~F.coalesce(alone_left | alone_right, F.lit(False)))
-    return kept.drop("_l" + SALT, "_r" + SALT, "_copied_left", "_copied_right")
+    others = [(f"{mark}{i}", c) for f, mark in ((left, "a"), (right, "b")) for i, c in enumerate(f.columns) if c not in on]
+    return kept.select(*[F.col(n).alias(c) for n, c in [*zip(keys, on), *others]])
+
+
+def _numbered(df: DataFrame, on: list[str], mark: str) -> DataFrame:
+    """``df`` with keys as ``k0``, ... and other columns by their place."""
+    return df.select(
+        *[F.col(f"`{c}`").alias(f"k{on.index(c)}" if c in on else f"{mark}{i}") for i, c in enumerate(df.columns)]
+    )
 
 
 def _hot_keys(
@@ -64,20 +84,19 @@ def _hot_keys(
 ) -> DataFrame | None:
     """Hot keys with their pieces on both sides (``_l``, ``_r``), or None.
 
-    Kept in scratch storage, as both sides must be cut alike.
+    The summaries are kept in scratch storage, as both sides must be cut alike.
     """
     spark = left.sparkSession
-    counted = [
-        key_counts(f, on).withColumn("_side", F.lit(name))
+    found = [
+        heavy_hitters(f, on, ignored=ignored_rows(hot_rows)).withColumn("_side", F.lit(name))
         for name, f in (("left", left), ("right", right))
         if name in sides
     ]
-    both = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
+    both = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     names = [f"_k{i}" for i in range(len(on))]
-    counts = stored(both, "key-counts")
-    total = counts.groupBy("_side").agg(F.sum("_n").alias("t")).agg(F.max("t")).first()[0] or 0
-    bound = hot_bound(total, int(spark.conf.get("spark.sql.shuffle.partitions")), hot_rows)
-    hot = counts.filter(F.col("_n") > bound)
+    summary = stored(both, "frequent-keys")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot, bound, _ = frequent_keys(summary, ["_side", *names], partitions, hot_rows)
     if hot.isEmpty():
         return None
     side = {n: F.coalesce(F.max(F.when(F.col("_side") == n, F.col("_n"))), F.lit(0)) for n in ("left", "right")}
@@ -94,6 +113,7 @@ def cogroup_chunks(
     right_value: str,
     *,
     chunk_rows: int = CHUNK_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Both sides' sorted values per key: ``(keys, chunk, left, right)``.
 
@@ -101,8 +121,8 @@ def cogroup_chunks(
     has an empty array. Null keys of both sides meet in one group. The sides are
     combined by a group-by over chunks, each of which is at most two rows.
     """
-    a = group_chunks(left, keys, left_value, chunk_rows=chunk_rows)
-    b = group_chunks(right, keys, right_value, chunk_rows=chunk_rows)
+    a = group_chunks(left, keys, left_value, chunk_rows=chunk_rows, hot_rows=hot_rows)
+    b = group_chunks(right, keys, right_value, chunk_rows=chunk_rows, hot_rows=hot_rows)
     a = a.withColumnRenamed("values", "left")
     b = b.withColumnRenamed("values", "right")
     both = a.unionByName(b, allowMissingColumns=True).groupBy(*keys, "chunk")

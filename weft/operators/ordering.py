@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weft.operators.keymarks import with_marks
+from weft.operators.keymarks import has_collation, with_marks
+from weft.operators.names import fresh
 from weft.sources.scratch import stored
 
 ACCURACY = 10_000  # of the approximate quantiles that bracket the exact ones
@@ -59,20 +60,33 @@ def running_totals(
     is added afterwards. The ranges are kept in scratch storage, so that both passes
     see the same ones. Where one key ends is told by marks (see with_marks).
     """
+    weigh, m1, m2, tie = fresh(df.columns, "w", "m1", "m2", "tie")
     kind = df.select(F.sum(weight)).schema[0].dataType
-    zero = F.lit(0).cast(kind)
-    weighted = df.withColumn("_w", F.coalesce(F.col(weight).cast(kind), zero))
-    given = with_marks(weighted, keys).withColumn("_tie", F.monotonically_increasing_id())
-    by = [*keys, *order, "_tie"]
-    ranged = given.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
-    width = len(df.columns)
-    fields = T.StructType.fromDDL("_m1 long, _m2 int, _range int, _at long, _whole boolean").fields
-    schema = T.StructType(
-        [*df.schema.fields, T.StructField("_before", kind), T.StructField("_end", kind), *fields]
+    weighted = df.withColumn(weigh, F.coalesce(F.col(weight).cast(kind), F.lit(0).cast(kind)))
+    given = with_marks(weighted, keys, [m1, m2]).withColumn(tie, F.monotonically_increasing_id())
+    by = [*keys, *order, tie]
+    ranged = given.repartitionByRange(*by).sortWithinPartitions(*by)
+    return _totals(ranged.select(*df.columns, weigh, m1, m2), name)
+
+
+def _totals(laid: DataFrame, name: str) -> DataFrame:
+    """Sums of the weights before each row of its key, where rows of a key lie together.
+
+    The last three columns of ``laid`` are the weight and the marks of the key; the
+    others come back with the sum as ``name``.
+    """
+    *columns, weigh, m1, m2 = laid.columns
+    before, end, part, at, whole, first, last, base, own = fresh(
+        laid.columns, "before", "end", "part", "at", "whole", "first", "last", "base", "key"
     )
+    kind = laid.schema[weigh].dataType
+    width = len(columns)
+    added = T.StructType.fromDDL(f"{m1} long, {m2} int, {part} int, {at} long, {whole} boolean").fields
+    sums = [T.StructField(before, kind), T.StructField(end, kind)]
+    schema = T.StructType([*[laid.schema[c] for c in columns], *sums, *added])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at, first, last, held = TaskContext.get().partitionId(), 0, None, None, None
+        number, place, first, last, held = TaskContext.get().partitionId(), 0, None, None, None
         for batch in batches:
             n = batch.num_rows
             if n == 0:
@@ -85,51 +99,68 @@ def running_totals(
             new[0] = last != (a[0], b[0])
             end, before = _sums(w, np.flatnonzero(new), held)
             last, held = (a[-1], b[-1]), end[n - 1]
-            whole = (a == first[0]) & (b == first[1])
-            columns = [
+            made = [
                 *batch.columns[:width],
                 before,
                 end,
                 m1,
                 m2,
-                pa.array(np.full(n, part, np.int32)),
-                pa.array(np.arange(at, at + n)),
-                pa.array(whole),
+                pa.array(np.full(n, number, np.int32)),
+                pa.array(np.arange(place, place + n)),
+                pa.array((a == first[0]) & (b == first[1])),
             ]
-            at += n
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    placed = stored(ranged.mapInArrow(add, schema), "ranges")
-    key = F.struct("_m1", "_m2")
-    per_range = placed.groupBy("_range").agg(
-        F.struct(
-            F.min_by(key, "_at").alias("_key"),
-            F.max_by(F.when(F.col("_whole"), F.col("_end")), F.when(F.col("_whole"), F.col("_at"))).alias("_sum"),
-            F.lit(True).alias("_leads"),
-        ).alias("_head"),
-        F.struct(
-            F.max_by(key, "_at").alias("_key"),
-            F.max_by("_end", "_at").alias("_sum"),
-            F.lit(False).alias("_leads"),
-        ).alias("_tail"),
+            place += n
+            yield pa.RecordBatch.from_arrays(made, schema.names)
+
+    placed = stored(laid.mapInArrow(add, schema), "ranges")
+    # Of each range the key that it begins with and the one that it ends with.
+    key, leads = F.struct(m1, m2), F.col(whole)
+    head = F.max_by(F.when(leads, F.col(end)), F.when(leads, F.col(at)))
+    per_range = placed.groupBy(part).agg(
+        F.struct(F.min_by(key, at).alias("key"), head.alias("sum"), F.lit(True).alias("leads")).alias(first),
+        F.struct(F.max_by(key, at).alias("key"), F.max_by(end, at).alias("sum"), F.lit(False).alias("leads")).alias(last),
     )
-    one_key = F.col("_head._key") == F.col("_tail._key")
-    entries = F.when(one_key, F.array("_head")).otherwise(F.array("_head", "_tail"))
-    runs = per_range.select("_range", F.inline(entries))
-    earlier = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = runs.select("_range", "_leads", F.sum("_sum").over(earlier).alias("_base"))
-    bases = bases.filter(F.col("_leads") & F.col("_base").isNotNull()).select("_range", "_base")
+    one_key = F.col(f"{first}.key") == F.col(f"{last}.key")
+    entries = F.when(one_key, F.array(first)).otherwise(F.array(first, last))
+    runs = per_range.select(part, F.explode(entries).alias(own))
+    earlier = Window.partitionBy(f"{own}.key").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    bases = runs.select(part, own, F.sum(f"{own}.sum").over(earlier).alias(base))
+    bases = bases.filter(F.col(f"{own}.leads") & F.col(base).isNotNull()).select(part, base)
     # At most one row per shuffle partition.
-    joined = placed.join(F.broadcast(bases), "_range", "left")
-    base = F.when(F.col("_whole"), F.coalesce("_base", zero)).otherwise(zero)
-    kept = [c for c in df.columns if c != name]
-    return joined.select(*kept, (F.col("_before") + base).cast(kind).alias(name))
+    joined = placed.join(F.broadcast(bases), part, "left")
+    zero = F.lit(0).cast(kind)
+    more = F.when(leads, F.coalesce(F.col(base), zero)).otherwise(zero)
+    kept = [f"`{c}`" for c in columns if c != name]
+    return joined.select(*kept, (F.col(before) + more).cast(kind).alias(name))
+
 
+def with_position(
+    df: DataFrame, keys: list[str] | None = None, *, name: str = "position", gathered: bool = False
+) -> DataFrame:
+    """Numbers rows from 0 as they lie in the frame's partitions, per key if given.
 
-def with_position(df: DataFrame, keys: list[str] | None = None, *, name: str = "position") -> DataFrame:
-    """Numbers rows from 0 as they lie in the frame's partitions, per key if given."""
-    laid = df.withColumns({"_laid": F.monotonically_increasing_id(), "_one": F.lit(1)})
-    return running_totals(laid, keys or [], ["_laid"], "_one", name=name).drop("_laid", "_one")
+    Nothing is exchanged without ``keys``: rows are written with their partition and
+    their place in it, and the rows of earlier partitions, one number per partition, are
+    added. ``gathered`` says that the rows of a key lie together, going on from one
+    partition to the next if need be, as :func:`sorted_within_keys` lays them; then
+    neither are they with keys. Otherwise rows are brought together by key first.
+    """
+    part, at, base, one, m1, m2 = fresh(df.columns, "part", "at", "base", "one", "m1", "m2")
+    laid = df.withColumn(at, F.monotonically_increasing_id())
+    if keys and gathered and not has_collation(df, keys):
+        marked = with_marks(df.withColumn(one, F.lit(1).cast("long")), keys, [m1, m2])
+        return _totals(marked.select(*df.columns, one, m1, m2), name)
+    if keys:
+        return running_totals(laid.withColumn(one, F.lit(1)), keys, [at], one, name=name).drop(at, one)
+    # The number of a row in its partition is in the lower 33 bits.
+    place = F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stored(laid.withColumns({part: F.shiftright(at, 33), at: place}), "places")
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias(one))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition.
+    bases = sizes.select(part, F.coalesce(F.sum(one).over(earlier), F.lit(0)).alias(base))
+    numbered = placed.join(F.broadcast(bases), part)
+    return numbered.select(*[f"`{c}`" for c in df.columns if c != name], (F.col(base) + F.col(at)).alias(name))
 
 
 def _sums(w: pa.Array, starts: np.ndarray, held) -> tuple[pa.Array, pa.Array]:
@@ -169,12 +200,13 @@ def explode_range(df: DataFrame, low: Column, high: Column, name: str) -> DataFr
     Done in blocks, so that no row ever carries a long array.
     """
     block = 4096
-    kept = df.withColumns({"_low": low, "_high": high})
-    blocks = F.sequence(F.expr(f"_low div {block}"), F.expr(f"_high div {block}"))
-    kept = kept.withColumn("_block", F.explode(blocks))
-    first = F.greatest("_low", F.col("_block") * block)
-    last = F.least("_high", F.col("_block") * block + block - 1)
-    return kept.withColumn(name, F.explode(F.sequence(first, last))).drop("_low", "_high", "_block")
+    begin, stop, number = fresh([*df.columns, name], "low", "high", "block")
+    kept = df.withColumns({begin: low, stop: high})
+    blocks = F.sequence(F.expr(f"{begin} div {block}"), F.expr(f"{stop} div {block}"))
+    kept = kept.withColumn(number, F.explode(blocks))
+    first = F.greatest(begin, F.col(number) * block)
+    last = F.least(stop, F.col(number) * block + block - 1)
+    return kept.withColumn(name, F.explode(F.sequence(first, last))).drop(begin, stop, number)
 
 
 def quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weft.operators.keymarks import MARKS, with_marks
+from weft.operators.keymarks import with_marks
+from weft.operators.names import fresh
+from weft.operators.rowgroups import group_numbers, one_batch
 
 HELD_ROWS = 100_000
 LEVEL = 1024  # buffers of a whole frame are merged by so many tasks, then by one
-VALUE = "_value"
 
 
 @dataclass(frozen=True)
@@ -83,9 +84,13 @@ def aggregate_with(
     spark = df.sparkSession
     buffer = T.StructType.fromDDL(aggregator.buffer).fields
     result = T.StructType.fromDDL(f"r {aggregator.result}").fields[0].dataType
-    marks = T.StructType.fromDDL("_m1 long, _m2 int").fields
+    # Column names do not matter in between, so that none can clash.
+    mark, other, held_value, level_name, *held_names = fresh(
+        keys, "m1", "m2", "value", "level", *[f"b{i}" for i in range(len(buffer))]
+    )
+    marks = [T.StructField(mark, T.LongType()), T.StructField(other, T.IntegerType())]
     key_fields = [df.schema[k] for k in keys]
-    held_fields = [T.StructField(f"_b{i}", f.dataType) for i, f in enumerate(buffer)]
+    held_fields = [T.StructField(n, f.dataType) for n, f in zip(held_names, buffer)]
     partial = T.StructType([*key_fields, *marks, *held_fields])
     final = T.StructType([*key_fields, T.StructField(name, result)])
     width = len(keys)
@@ -98,7 +103,7 @@ def aggregate_with(
 
     def collapsed(batch: pa.RecordBatch) -> pa.RecordBatch:
         """One row for each key of a batch of buffers."""
-        groups, firsts = _groups(batch.column(width), batch.column(width + 1))
+        groups, firsts = group_numbers(batch.column(width), batch.column(width + 1))
         head = [c.take(firsts) for c in batch.columns[: width + 2]]
         return batch_of(head, aggregator.merged(batch.columns[width + 2 :], groups, len(firsts), kinds))
 
@@ -107,27 +112,27 @@ def aggregate_with(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            groups, firsts = _groups(batch.column(width), batch.column(width + 1))
+            groups, firsts = group_numbers(batch.column(width), batch.column(width + 1))
             head = [c.take(firsts) for c in batch.columns[: width + 2]]
             values = batch.column(width + 2)
             held.append(batch_of(head, aggregator.reduced(values, groups, len(firsts), kinds)))
             rows += len(firsts)
             fresh += 1
             if rows >= HELD_ROWS or fresh >= 64:
-                held, fresh = [collapsed(_one(held))], 0
+                held, fresh = [collapsed(one_batch(held))], 0
                 rows = held[0].num_rows
                 if rows >= HELD_ROWS // 2:
                     yield held[0]
                     held, rows = [], 0
         if held:
-            yield collapsed(_one(held))
+            yield collapsed(one_batch(held))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Buffers in the order of their keys; the last key waits for the next batch."""
         held = None
         for batch in batches:
             if batch.num_rows:
-                whole = collapsed(batch if held is None else _one([held, batch]))
+                whole = collapsed(batch if held is None else one_batch([held, batch]))
                 held = whole.slice(whole.num_rows - 1)
                 yield whole.slice(0, whole.num_rows - 1)
         if held is not None:
@@ -144,37 +149,18 @@ def aggregate_with(
             yield pa.RecordBatch.from_arrays([empty], final.names)
 
     columns = [F.col(f"`{k}`") for k in keys]
-    given = with_marks(df.select(*columns, F.col(f"`{value}`").alias(VALUE)), keys)
-    given = given.select(*columns, *MARKS, VALUE)
+    given = df.select(*columns, F.col(f"`{value}`").alias(held_value))
+    given = with_marks(given, keys, [mark, other]).select(*columns, mark, other, held_value)
     buffers = given.mapInArrow(combine, partial)
     if keys:
-        buffers = buffers.repartition(*MARKS).sortWithinPartitions(*MARKS)
+        buffers = buffers.repartition(mark, other).sortWithinPartitions(mark, other)
     else:
         level = F.pmod(F.spark_partition_id(), F.lit(LEVEL))
-        buffers = buffers.withColumn("_level", level).repartition("_level").drop("_level")
+        buffers = buffers.withColumn(level_name, level).repartition(level_name).drop(level_name)
         buffers = buffers.mapInArrow(merge, partial).repartition(1)
     return buffers.mapInArrow(finish, final)
 
 
-def _groups(m1: pa.Array, m2: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Group number of each row, in the order of first rows, and the first rows."""
-    a, b = m1.to_numpy(), m2.to_numpy()
-    order = np.lexsort((b, a))
-    new = np.ones(len(a), bool)
-    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-    firsts = order[new]  # the sort is stable
-    rank = np.empty(len(firsts), np.int64)
-    by_row = np.argsort(firsts)
-    rank[by_row] = np.arange(len(firsts))
-    groups = np.empty(len(a), np.int64)
-    groups[order] = rank[np.cumsum(new) - 1]
-    return groups, pa.array(firsts[by_row])
-
-
-def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
-
-
 def average() -> Aggregator:
     """Double average over a (sum, count) buffer; NaN without values.
 

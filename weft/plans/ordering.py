@@ -39,7 +39,7 @@ def sorted_within_keys(t):
 def positions_within_keys(t):
     rows = t.orders.select("o_custkey", "o_totalprice", "o_orderkey")
     laid = order.sorted_within_keys(rows, ["o_custkey"], ["o_totalprice", "o_orderkey"])
-    return order.with_position(laid, ["o_custkey"]).select("o_custkey", "o_orderkey", "position")
+    return order.with_position(laid, ["o_custkey"], gathered=True).select("o_custkey", "o_orderkey", "position")
 
 
 @query("O03", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")

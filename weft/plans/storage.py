@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weft.operators.hotkeys import COPIED, HOT_ROWS, SALT, hot_bound, key_counts, pieces, spread
+from weft.operators.hotkeys import (
+    COPIED,
+    HOT_ROWS,
+    SALT,
+    frequent_keys,
+    heavy_hitters,
+    ignored_rows,
+    pieces,
+    spread,
+)
 from weft.plans.registry import labelled_documents, query
 from weft.sources.catalog import (
     bucket_count,
@@ -176,11 +185,10 @@ def bucketed_join(t):
     customers = t.customer.select("c_custkey", "c_name")
     orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
     # A bucket is read by one task, so a key far above a bucket's share is cut.
-    counts = stored(key_counts(orders, ["c_custkey"]), "key-counts")
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    buckets = bucket_count(total * BYTES_A_ROW)
-    bound = hot_bound(total, buckets, HOT_ROWS)
-    hot = counts.filter(F.col("_n") > bound)
+    found = heavy_hitters(orders, ["c_custkey"], ignored=ignored_rows(HOT_ROWS))
+    summary = stored(found, "frequent-keys")
+    buckets = bucket_count((summary.agg(F.sum("_rows")).first()[0] or 0) * BYTES_A_ROW)
+    hot, bound, _ = frequent_keys(summary, ["_k0"], buckets, HOT_ROWS)
     hot = hot.select("_k0", pieces(F.col("_n"), bound).alias("_r"), F.lit(1).alias("_l"))
     keys = ["c_custkey", "_l" + SALT, "_r" + SALT]
     with scratch_tables(t.spark) as tables:

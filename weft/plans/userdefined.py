@@ -54,6 +54,20 @@ def udaf_two_phase_global(t):
     )
 
 
+@query(
+    "U07 U10",
+    "SELECT event_type, shard, round(avg(value), 6) AS v FROM ("
+    "SELECT event_type, CAST(user_id % 7 AS VARCHAR) AS shard, value FROM events) GROUP BY 1, 2",
+)
+def udaf_by_map(t):
+    """Maps are one key whatever the order of their entries."""
+    kind = [F.lit("type"), F.col("event_type")]
+    shard = [F.lit("shard"), (F.col("user_id") % 7).cast("string")]
+    turned = F.when(F.col("event_id") % 2 == 0, F.create_map(*kind, *shard)).otherwise(F.create_map(*shard, *kind))
+    groups = aggregate_with(t.events.select(turned.alias("m"), "value"), ["m"], "value", average(), name="v")
+    return groups.select(F.col("m")["type"].alias("event_type"), F.col("m")["shard"].alias("shard"), F.round("v", 6).alias("v"))
+
+
 @query("U11", TOKENS)
 def udtf_tokens(t):
     return t.conversations.select(
