@@ -19,6 +19,7 @@ from weft.sources.catalog import (
     bucket_count,
     create_table,
     insert,
+    merge_buckets,
     save_bucketed,
     save_table,
     scratch_tables,
@@ -26,9 +27,11 @@ from weft.sources.catalog import (
 )
 from weft.sources.files import (
     key_between,
+    look_up,
     merged_schema_read,
     pair_lines,
     round_trip,
+    write_indexed,
     write_keyed,
     write_partitioned,
     write_range_layout,
@@ -127,6 +130,19 @@ def orc_roundtrip(t):
     return round_trip(t.part, "orc", **options)
 
 
+@query(
+    "S07",
+    "SELECT * FROM orders WHERE o_orderkey IN ("
+    "SELECT l_orderkey FROM lineitem WHERE l_quantity = 50 AND l_tax = 0.08 AND l_discount = 0.1)",
+)
+def orc_lookup(t):
+    """Orders with certain items, from files laid out by customer."""
+    path = scratch_path(t.spark, "orc-orders")
+    write_indexed(t.orders.repartitionByRange("o_custkey").sortWithinPartitions("o_custkey"), path, "o_orderkey", stride=1000)
+    items = t.lineitem.filter("l_quantity = 50 AND l_tax = 0.08 AND l_discount = 0.1")
+    return look_up(t.spark.read.orc(path), "o_orderkey", items, column="l_orderkey")
+
+
 @query("S10", "SELECT * FROM orders")
 def sql_on_file(t):
     return read_by_sql(t.spark, f"{t.directory}/orders.parquet")
@@ -199,6 +215,37 @@ def bucketed_join(t):
         return tables.result(left.join(right.hint("merge"), keys).drop(*keys[1:]))
 
 
+@query(
+    "S13",
+    "SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_custkey IN ("
+    "SELECT c_custkey FROM customer WHERE c_acctbal >= (SELECT max(c_acctbal) FROM customer) - 10)",
+)
+def bucket_lookup(t):
+    """Orders of the richest customers, from the buckets that hold them."""
+    best = t.customer.agg(F.max("c_acctbal")).first()[0]
+    rich = t.customer.filter(F.col("c_acctbal") >= F.lit(best) - 10)
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
+    with scratch_tables(t.spark) as tables:
+        saved = save_bucketed(rows, tables.name("orders"), ["o_custkey"], 32)
+        return tables.result(look_up(saved, "o_custkey", rich, column="c_custkey"))
+
+
+@query(
+    "S13",
+    "SELECT l_orderkey AS orderkey, o_custkey, l_linenumber, l_quantity "
+    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+)
+def bucket_merge(t):
+    """Orders and their items, merged from sorted buckets."""
+    orders = t.orders.select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
+    items = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_quantity")
+    with scratch_tables(t.spark) as tables:
+        names = [tables.name("orders"), tables.name("items")]
+        for rows, name in zip((orders, items), names):
+            save_bucketed(rows, name, ["orderkey"], 8)
+        return tables.result(merge_buckets(t.spark, *names, ["orderkey"]))
+
+
 @query("S14", "SELECT * FROM supplier")
 def saved_table(t):
     with scratch_tables(t.spark) as tables:

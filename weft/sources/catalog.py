@@ -101,3 +101,24 @@ def save_bucketed(
     writer = placed.write.mode(mode).bucketBy(buckets, *keys)
     writer.sortBy(*(sort or keys)).saveAsTable(table)
     return df.sparkSession.table(table)
+
+
+#: Lets the planner use that a bucket of one file is sorted.
+SORTED_BUCKETS = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
+def merge_buckets(
+    spark: SparkSession, left: str, right: str, keys: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join of two tables of :func:`save_bucketed` on their bucket and sort columns.
+
+    Buckets have one file each and are sorted, so they are merged as they are read, with
+    neither an exchange nor a sort. Both tables need the same number of buckets. The
+    plan belongs to a session of its own, as it takes a setting that other scans need
+    not have.
+    """
+    session = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        session.conf.set(key, spark.conf.get(key))
+    session.conf.set(SORTED_BUCKETS, "true")
+    return session.table(left).join(session.table(right).hint("merge"), keys, how)

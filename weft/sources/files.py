@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,9 +77,38 @@ def key_between(key: str | Column, low, high) -> Column:
     return (F.col(key) if isinstance(key, str) else key).between(low, high)
 
 
-def merged_schema_read(spark: SparkSession, root: str) -> DataFrame:
-    """Read sibling ``key=N`` directories whose files differ in columns."""
-    return spark.read.option("mergeSchema", "true").parquet(root)
+def write_indexed(
+    df: DataFrame, path: str, key: str, *, stride: int = 10_000, error: float = 0.01, mode: str = "error"
+) -> None:
+    """ORC files with a Bloom filter on ``key`` for every ``stride`` rows.
+
+    A look-up by key then skips runs of rows that cannot hold it, also where the rows are
+    laid out by something else. ``error`` is the share of runs read in vain.
+    """
+    options = {
+        "orc.bloom.filter.columns": key,
+        "orc.bloom.filter.fpp": error,
+        "orc.row.index.stride": stride,
+    }
+    df.write.mode(mode).options(**options).orc(path)
+
+
+def look_up(
+    stored: DataFrame, key: str, wanted: DataFrame, *, column: str | None = None, most: int = 10_000
+) -> DataFrame:
+    """Rows of ``stored``, a scan of files or of a table, whose ``key`` is one of those in
+    ``wanted``; ``column`` names them there (default: ``key``). A null key is none.
+
+    Up to ``most`` different keys are brought to the driver and become a filter on the
+    scan, which then reads only the runs of rows, files or buckets that may hold them.
+    More keys than that would touch most runs anyway and are joined instead.
+    """
+    kind = stored.schema[key].dataType
+    keys = wanted.select(F.col(f"`{column or key}`").cast(kind).alias(key)).distinct().na.drop()
+    some = [r[0] for r in keys.limit(most + 1).collect()]
+    if len(some) > most:
+        return stored.join(keys, key, "left_semi").select(stored.columns)
+    return stored.filter(F.col(f"`{key}`").isin(some)) if some else stored.limit(0)
 
 
 def write_keyed(parts: dict[int, DataFrame], root: str, key: str = "key") -> None:
@@ -86,6 +117,76 @@ def write_keyed(parts: dict[int, DataFrame], root: str, key: str = "key") -> Non
         df.write.parquet(f"{root}/{key}={number}")
 
 
+def merged_schema_read(spark: SparkSession, root: str, key: str = "key") -> DataFrame:
+    """Read sibling ``key=N`` directories whose files differ in columns.
+
+    A manifest beside the data, ``_schema``, holds the merged schema and the directories
+    it covers. Only directories that it does not name are asked for their schema, one
+    file of each; if there are any, a new version of the manifest is added, so no later
+    read opens them again. A column is as wide as its widest type.
+    """
+    files = spark.read.schema(f"{key} int").parquet(root).inputFiles()
+    found = {name for f in files for name in f.split("/") if name.startswith(f"{key}=")}
+    versions = _manifests(spark, root)
+    newest = max(versions, key=lambda v: v["version"], default={"version": 0, "fields": [], "directories": []})
+    schema = T.StructType.fromJson({"type": "struct", "fields": newest["fields"]})
+    fresh = sorted(found - set(newest["directories"]))
+    for directory in fresh:
+        schema = merged(schema, spark.read.parquet(f"{root}/{directory}").schema)
+    if fresh:
+        newest = {
+            "version": newest["version"] + 1,
+            "fields": schema.jsonValue()["fields"],
+            "directories": sorted(found | set(newest["directories"])),
+        }
+        line = spark.createDataFrame([(json.dumps(newest),)], "value string")
+        line.coalesce(1).write.mode("append").text(f"{root}/_schema")
+    whole = T.StructType([*schema.fields, T.StructField(key, T.IntegerType())])
+    return spark.read.schema(whole).parquet(root)
+
+
+def _manifests(spark: SparkSession, root: str) -> list[dict]:
+    """All versions of the manifest: one short line each."""
+    try:
+        return [json.loads(r[0]) for r in spark.read.text(f"{root}/_schema").collect()]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+#: Types by width: one that comes later holds all values of those before it.
+WIDTHS = [
+    [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()],
+    [T.FloatType(), T.DoubleType()],
+    [T.ByteType(), T.ShortType(), T.IntegerType(), T.DoubleType()],
+]
+
+
+def merged(one: T.StructType, other: T.StructType) -> T.StructType:
+    """The columns of both, those of ``one`` first, each as wide as the wider type.
+
+    Types without a wider one in common raise.
+    """
+    fields = {f.name: f.dataType for f in one.fields}
+    for field in other.fields:
+        fields[field.name] = _wider(fields.get(field.name, field.dataType), field.dataType, field.name)
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def _wider(one: T.DataType, other: T.DataType, name: str) -> T.DataType:
+    if one == other:
+        return one
+    if isinstance(one, T.StructType) and isinstance(other, T.StructType):
+        return merged(one, other)
+    if isinstance(one, T.ArrayType) and isinstance(other, T.ArrayType):
+        return T.ArrayType(_wider(one.elementType, other.elementType, name))
+    for kinds in WIDTHS:
+        if one in kinds and other in kinds:
+            return kinds[max(kinds.index(one), kinds.index(other))]
+    raise ValueError(f"column {name} is {one.simpleString()} here and {other.simpleString()} there")
+
+
 #: Quotes, blanks at the ends, nulls and empty texts survive with these.
 CSV_WHOLE = {
     "quote": '"',
