@@ -25,7 +25,6 @@ UNIT_TESTS = {
     "K07": "test_catalog_statements",
     "K12": "test_schema_and_session",
     "K13": "test_schema_and_session",
-    "T05": "test_side_effects_per_partition",
     "Z03": "test_results_can_be_streamed_to_the_driver",
 }
 

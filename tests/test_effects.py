@@ -1,0 +1,136 @@
+"""Records of side effects count once; table functions over TABLE arguments."""
+
+import datetime
+import os
+import random
+import subprocess
+import sys
+import textwrap
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.plans import explain
+from weft.functions.registered import sessions, token_rows
+from weft.functions.text import words
+from weft.sources.scratch import scratch_path
+from weft.sources.sink import committed, for_each_partition
+
+ROOT = Path(__file__).resolve().parent.parent
+
+
+def files(path):
+    return sorted(p.name for p in Path(path, "data").glob("*.parquet"))
+
+
+def test_records_are_kept_and_read_back(spark):
+    path = scratch_path(spark, "effects")
+    df = spark.range(1000, numPartitions=6).withColumn("s", F.col("id").cast("string"))
+    for_each_partition(df, path, run="first")
+    assert sorted(tuple(r) for r in committed(spark, path).collect()) == sorted(tuple(r) for r in df.collect())
+
+    def told(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.record_batch({"rows": pa.array([batch.num_rows])})
+
+    other = scratch_path(spark, "effects")
+    for_each_partition(df, other, told)
+    assert committed(spark, other).agg(F.sum("rows")).first()[0] == 1000
+    # A run that is done again does not count again, and leaves no file.
+    before = files(path)
+    for_each_partition(df, path, run="first")
+    assert files(path) == before and committed(spark, path).count() == 1000
+    for_each_partition(df, path, run="second")
+    assert committed(spark, path).count() == 2000
+    for_each_partition(df.filter("id < 0"), other, told, run="empty")
+    assert committed(spark, other).agg(F.sum("rows")).first()[0] == 1000
+
+
+def test_a_failed_job_commits_nothing(spark):
+    path = scratch_path(spark, "effects")
+
+    def breaks(batches):
+        for batch in batches:
+            yield batch
+            if 7 in batch.column(0).to_pylist():
+                raise RuntimeError("broken")
+
+    with pytest.raises(Exception, match="broken"):
+        for_each_partition(spark.range(100, numPartitions=4), path, breaks)
+    assert not Path(path, "manifest").exists() and files(path) == []
+    for_each_partition(spark.range(0), path, run="none")
+    assert committed(spark, path, "id long").count() == 0
+
+
+def test_a_task_that_runs_again_leaves_its_rows_once(tmp_path):
+    """In a session that tries tasks again; the first try fails after all its rows."""
+    script = f"""
+    import sys
+    sys.path.insert(0, {str(ROOT)!r})
+    from pyspark import TaskContext
+    from pyspark.sql import SparkSession
+    from weft.sources.sink import committed, for_each_partition
+
+    spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
+
+    def once_broken(batches):
+        yield from batches
+        context = TaskContext.get()
+        if context.partitionId() == 1 and context.attemptNumber() == 0:
+            raise RuntimeError("first try")
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey").repartition(4)
+    for_each_partition(orders, {str(tmp_path)!r}, once_broken)
+    found = committed(spark, {str(tmp_path)!r})
+    assert found.exceptAll(orders).isEmpty() and orders.exceptAll(found).isEmpty()
+    print("rows", found.count())
+    """
+    done = subprocess.run(
+        [sys.executable, "-c", textwrap.dedent(script)], capture_output=True, text=True, timeout=300, env=dict(os.environ)
+    )
+    assert "rows 1500" in done.stdout and "first try" in done.stderr
+    assert len(files(tmp_path)) == 4
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_sessions_equal_a_plain_walk(spark, batch):
+    rng = random.Random(batch)
+    start = datetime.datetime(2024, 1, 1)
+    rows = [
+        (rng.choice(["a", "b", "c", None]), i % 2, start + datetime.timedelta(seconds=rng.randint(0, 9000)), rng.choice([1.5, 2.0, None]))
+        for i in range(400)
+    ]
+    rows += [("d", 0, start, 1.0), ("e", 1, None, 5.0)]
+    gap = datetime.timedelta(seconds=60)
+    want = []
+    for key in {r[:2] for r in rows}:
+        number, last = 0, None
+        for _, _, ts, value in sorted((r for r in rows if r[:2] == key and r[2]), key=lambda r: r[2]):
+            if last is None or ts - last > gap:
+                number += 1
+                want.append([*key, number, ts, ts, 0, 0.0])
+            last = want[-1][4] = ts
+            want[-1][5] += 1
+            want[-1][6] += value or 0.0
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        for kind in ("timestamp", "timestamp_ntz"):
+            df = spark.createDataFrame(rows, "k string, j int, at timestamp, v double").withColumn("at", F.col("at").cast(kind))
+            found = sessions(df.repartition(5), ["k", "j"], "at", "v", gap).collect()
+            assert sorted((list(r) for r in found), key=repr) == sorted(want, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_token_rows_are_the_words(spark):
+    texts = ["a b", "", " ", "x  y ", " lead", None, "é  ", "one", "tab\tin"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(3)
+    found = token_rows(df, "t")
+    plain = df.select("i", F.posexplode(words(F.col("t"))).alias("pos", "word"))
+    assert found.columns == ["i", "pos", "word"]
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in plain.collect()}
+    assert "ArrowEvalPythonUDTF" in explain(found) and "BatchEval" not in explain(found)
+    assert token_rows(df.filter("i < 0"), "t").count() == 0

@@ -37,6 +37,7 @@ from weft.sources.files import (
     write_range_layout,
 )
 from weft.sources.scratch import scratch_path, stored
+from weft.sources.sink import committed, for_each_partition
 from weft.sources.tables import (
     query_global_view,
     register_tables,
@@ -246,6 +247,18 @@ def bucket_merge(t):
         return tables.result(merge_buckets(t.spark, *names, ["orderkey"]))
 
 
+@query(
+    "T05",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+)
+def partition_effects(t):
+    """Orders that tasks have sent off, batch by batch, as their records tell."""
+    path = scratch_path(t.spark, "effects")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice").repartition(8, "o_custkey")
+    for_each_partition(orders, path)
+    return committed(t.spark, path, orders.schema)
+
+
 @query("S14", "SELECT * FROM supplier")
 def saved_table(t):
     with scratch_tables(t.spark) as tables:

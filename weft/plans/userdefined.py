@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
-from weft.functions.registered import register_python_functions, register_sql_functions
+from weft.functions.registered import register_python_functions, register_sql_functions, sessions, token_rows
 from weft.operators.typed_aggregate import aggregate_with, average
 from weft.plans.registry import query
 
@@ -77,8 +79,23 @@ def udtf_tokens(t):
 
 @query("U11", TOKENS)
 def udtf_class_tokens(t):
-    register_python_functions(t.spark)
-    t.conversations.createOrReplaceTempView("weft_conversations")
-    return t.spark.sql(
-        "SELECT conv_id, turn, pos, word FROM weft_conversations, LATERAL tokens(text)"
+    return token_rows(t.conversations.select("conv_id", "turn", "text"), "text")
+
+
+@query(
+    "U11",
+    """
+    WITH marked AS (
+        SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 DAY THEN 0 ELSE 1 END AS starts
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+    ),
+    numbered AS (
+        SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id)::BIGINT AS session FROM marked
     )
+    SELECT user_id, session, min(ts) AS started, max(ts) AS ended, count(*) AS n, round(sum(value), 4) AS total
+    FROM numbered GROUP BY 1, 2
+    """,
+)
+def udtf_sessions(t):
+    found = sessions(t.events, ["user_id"], "ts", "value", datetime.timedelta(days=2), ["event_id"])
+    return found.withColumn("total", F.round("total", 4))
