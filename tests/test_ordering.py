@@ -102,7 +102,7 @@ def test_running_totals_exchange_rows_once(spark):
     assert "SortMergeJoin" not in explain(placed)
 
 
-def test_quantiles_of_many_columns_scan_three_times(spark):
+def test_quantiles_of_many_columns(spark):
     folder = "/root/testdata/sf0.001/lineitem.parquet"
     df = spark.read.parquet(folder)
     columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"]
@@ -115,6 +115,41 @@ def test_quantiles_of_many_columns_scan_three_times(spark):
             assert found == [values[max(1, ordering._ceil_share(len(values), share)) - 1]]
 
 
+def test_quantiles_take_two_scans_and_settle_nan_and_missed_brackets(spark, monkeypatch):
+    scans, plain = [], ordering.stored
+    monkeypatch.setattr(ordering, "stored", lambda df, label: scans.append(label) or plain(df, label))
+    rng = random.Random(8)
+    values = [rng.gauss(0, 1) for _ in range(20_000)] + [float("nan")] * 300 + [None] * 50
+    rows = [(v, rng.randint(-(2**62), 2**62), None if v is None else rng.randint(-300, 300)) for v in values]
+    df = spark.createDataFrame(rows, "v double, i long, s short").repartition(5)
+    df = df.withColumns({"f": F.col("v").cast("float"), "d": F.col("s").cast("decimal(20,2)"), "none": F.lit(None).cast("int")})
+    df = plain(df, "given")
+    shares = {"q0": 0.0, "q3": 0.3, "q99": 0.99, "q1": 1.0}
+    columns = ["v", "i", "s", "f", "d", "none"]
+    found = {r["field"]: r for r in ordering.quantile_table(df, columns, shares).collect()}
+    assert scans.count("inside") == 1
+    for c in columns:
+        present = sorted((r[0] for r in df.select(c).collect() if r[0] is not None), key=lambda x: (x != x, x))
+        for q, share in shares.items():
+            got = [x for x in found[c][q] or [] if x is not None] if found[c][q] else []
+            want = [present[max(1, ordering._ceil_share(len(present), share)) - 1]] if present else []
+            assert str(got) == str(want)
+    # Sketches of another table: every bracket misses, and the quantiles are right all the same.
+    other = ordering.quantile_sketches(df.select((F.col("i") * 0 + 5).alias("i")), ["i"])
+    settled = ordering.quantile_table(df.select("i"), ["i"], {"q": 0.5}, sketches=other).first()
+    assert settled["q"]["v0"] == sorted(r[0] for r in df.select("i").collect())[20_350 // 2 - 1]
+
+
+def test_sketches_of_parts_are_merged(spark):
+    df = spark.range(30_000).select("id", (F.col("id") * 0.5).alias("x"))
+    parts = [ordering.quantile_sketches(df.filter(F.col("id") % 3 == i), ["id", "x"]) for i in range(3)]
+    empty = ordering.quantile_sketches(df.filter("id < 0"), ["id", "x"])
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(empty)
+    assert {r["field"]: r["n"] for r in ordering.merged_sketches(whole).collect()} == {"id": 30_000, "x": 30_000}
+    table = ordering.quantile_table(df, ["id", "x"], {"q": 0.1}, sketches=whole)
+    assert {r["field"]: [v for v in r["q"] if v is not None] for r in table.collect()} == {"id": [2999], "x": [1499.5]}
+
+
 def test_quantiles(spark):
     values = [5] * 60 + list(range(40)) + [None] * 9
     df = spark.createDataFrame([(v,) for v in values], "v int").repartition(4)

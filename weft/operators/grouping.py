@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from weft.operators.hotkeys import HOT_ROWS, frequent_keys, heavy_hitters, ignored_rows
 from weft.operators.keymarks import with_marks
 from weft.operators.names import fresh
-from weft.operators.ordering import quantile_table, running_totals
+from weft.operators.ordering import quantile_table, running_totals, sketch_measures
 from weft.operators.rowgroups import one_batch
 from weft.sources.scratch import stored
 
@@ -203,11 +203,15 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Strings have no mean or deviation. All columns are measured in one pass.
     """
-    measures, rows = [], []
-    for i, c in enumerate(columns):
+    return df.agg(F.array(*_descriptions(df, columns)).alias("rows")).select(F.inline("rows"))
+
+
+def _descriptions(df: DataFrame, columns: list[str]) -> list[Column]:
+    rows = []
+    for c in columns:
         number = isinstance(df.schema[c].dataType, T.NumericType)
         mean, sd = (F.avg(c), F.stddev_samp(c)) if number else (F.lit(None), F.lit(None))
-        measures += [
+        rows.append(
             F.struct(
                 F.lit(c).alias("field"),
                 F.count(c).alias("n"),
@@ -215,10 +219,9 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
                 sd.cast("double").alias("sd"),
                 F.min(c).cast("string").alias("lowest"),
                 F.max(c).cast("string").alias("highest"),
-            ).alias(f"_{i}")
-        ]
-        rows.append(F.col(f"_{i}"))
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+            )
+        )
+    return rows
 
 
 def summary(
@@ -231,8 +234,9 @@ def summary(
     """:func:`describe` with quantiles, as text; one row per column.
 
     Strings have no quantiles. The number of scans does not depend on the number of
-    columns: exact quantiles take three more (see quantile_table), approximate ones
-    (``exact=False``, Spark's ``percentile_approx``) one.
+    columns: one measures the columns and sketches them, and exact quantiles take one
+    more (see quantile_table). Approximate ones (``exact=False``, Spark's
+    ``percentile_approx``) take a scan of their own.
     """
     shares = shares or {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     numbers = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
@@ -240,7 +244,10 @@ def summary(
     if not numbers:
         return described.select("*", *[F.lit(None).cast("string").alias(q) for q in shares])
     if exact:
-        table = quantile_table(df, numbers, shares)
+        rows = [F.array(*_descriptions(df, columns)).alias("d"), F.array(*sketch_measures(df, numbers)).alias("s")]
+        first = stored(df.agg(*rows), "summary")  # one row
+        described = first.select(F.inline("d"))
+        table = quantile_table(df, numbers, shares, sketches=first.select(F.inline("s")))
         texts = [
             F.coalesce(*[c.cast("string") for c in _fields(table, q)]).alias(q) for q in shares
         ]

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +18,8 @@ from weft.operators.keymarks import has_collation, with_marks
 from weft.operators.names import fresh
 from weft.sources.scratch import stored
 
-ACCURACY = 10_000  # of the approximate quantiles that bracket the exact ones
+SKETCH = 4096  # size of the sketches that bracket exact quantiles
+SLACK = 0.003  # of a rank; some twice the error of such a sketch
 
 
 def sort_by(df: DataFrame, *order: str | Column, ties: list[str] | None = None) -> DataFrame:
@@ -216,56 +219,129 @@ def quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame
     return table.select(*[F.col(f"{q}.v0").alias(q) for q in shares])
 
 
-def quantile_table(df: DataFrame, columns: list[str], shares: dict[str, float]) -> DataFrame:
+def _sketched(df: DataFrame, column: str) -> tuple[Column, bool]:
+    """The column as its sketch takes it, and whether as whole numbers. The cast keeps
+    the order of values, though different ones may become equal."""
+    whole = isinstance(df.schema[column].dataType, T.IntegralType)
+    return F.col(f"`{column}`").cast("long" if whole else "double"), whole
+
+
+def quantile_sketches(df: DataFrame, columns: list[str], *, size: int = SKETCH) -> DataFrame:
+    """``(field, n, whole, sketch)``: a mergeable KLL sketch of each numeric column, with
+    its number of values. One scan; a sketch takes some 100 kB at the default size, however
+    many rows there are, so sketches can be stored with parts of a table and used later."""
+    return df.agg(F.array(*sketch_measures(df, columns, size)).alias("rows")).select(F.inline("rows"))
+
+
+def sketch_measures(df: DataFrame, columns: list[str], size: int = SKETCH) -> list[Column]:
+    """The rows of :func:`quantile_sketches` as aggregates, to be had with others."""
+    rows = []
+    for c in columns:
+        value, whole = _sketched(df, c)
+        sketch = (F.kll_sketch_agg_bigint if whole else F.kll_sketch_agg_double)(value, size)
+        rows.append(
+            F.struct(F.lit(c).alias("field"), F.count(value).alias("n"), F.lit(whole).alias("whole"), sketch.alias("sketch"))
+        )
+    return rows
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch for each field, from those of several parts of a table."""
+    filled = lambda whole: F.when(F.col("whole") == whole, F.col("sketch"))
+    return sketches.filter("n > 0").groupBy("field", "whole").agg(
+        F.sum("n").alias("n"),
+        F.kll_merge_agg_bigint(filled(True)).alias("long_sketch"),
+        F.kll_merge_agg_double(filled(False)).alias("double_sketch"),
+    )
+
+
+def _brackets(sketches: DataFrame, shares: dict[str, float]) -> dict[str, tuple[int, list]]:
+    """For each field its number of values, and two values around each share."""
+    points = [p for s in shares.values() for p in (max(0.0, s - SLACK), min(1.0, s + SLACK))]
+    at = F.array(*[F.lit(float(p)) for p in points])
+    # Sketches leave NaN out; one of nothing else has no quantiles.
+    longs = F.col("whole") & (F.kll_sketch_get_n_bigint("long_sketch") > 0)
+    doubles = ~F.col("whole") & (F.kll_sketch_get_n_double("double_sketch") > 0)
+    rows = merged_sketches(sketches).select(
+        "field",
+        "n",
+        F.when(longs, F.kll_sketch_get_quantile_bigint("long_sketch", at)).alias("longs"),
+        F.when(doubles, F.kll_sketch_get_quantile_double("double_sketch", at)).alias("doubles"),
+    )
+    return {r["field"]: (r["n"], r["longs"] if r["doubles"] is None else r["doubles"]) for r in rows.collect()}
+
+
+def quantile_table(
+    df: DataFrame, columns: list[str], shares: dict[str, float], *, sketches: DataFrame | None = None
+) -> DataFrame:
     """Exact quantiles of several numeric columns: ``(field, ...)`` with a struct per
     share, in which ``v0``, ``v1``, ... stand for the different column types.
 
-    Three scans, whatever the number of columns. The first brackets each rank by
-    approximate quantiles, the second counts what lies below a bracket and in it, and
-    the third settles the rank among the values inside. Nothing else is moved. A
-    bracket that misses its rank is replaced by the whole column. Without rows the
-    quantiles are null.
+    Two scans, whatever the number of columns. The first makes sketches, which bracket
+    each rank with a known error; it falls away if ``sketches`` of all parts of ``df`` are
+    given (see :func:`quantile_sketches`). The second writes the few values inside the
+    brackets and counts those below. The rank is settled among what was written. A bracket
+    that misses its rank, of which the counts tell, takes another scan of that column.
+    Without rows the quantiles are null.
     """
     kinds = list(dict.fromkeys(df.schema[c].dataType for c in columns))
-    slack = 4 / ACCURACY
-    points = [p for s in shares.values() for p in (max(0.0, s - slack), min(1.0, s + slack))]
-    at = F.array(*[F.lit(float(p)) for p in points])
-    measures = [
-        m for c in columns for m in (F.count(c), F.percentile_approx(c, at, ACCURACY))
-    ]
-    row = df.agg(*[m.alias(f"_{i}") for i, m in enumerate(measures)]).first()
-    bounds, counts, ranks = {}, [], {}
+    found = _brackets(quantile_sketches(df, columns) if sketches is None else sketches, shares)
+    bounds, single, counts, ranks = {}, {}, [], {}
     for i, c in enumerate(columns):
-        n, found = row[2 * i], row[2 * i + 1]
+        n, values = found.get(c, (0, None))
+        exact = not isinstance(df.schema[c].dataType, T.DecimalType)
         for j, share in enumerate(shares.values()):
-            low, high = (found[2 * j], found[2 * j + 1]) if n else (None, None)
-            bounds[i, j] = None
             if n:
+                low, high = values[2 * j : 2 * j + 2] if values else (0, 0)
+                value, _ = _sketched(df, c)
                 ranks[i, j] = max(1, _ceil_share(n, share))
-                value, kind = F.col(c), df.schema[c].dataType
-                bounds[i, j] = (F.lit(low).cast(kind), F.lit(high).cast(kind))
-                counts.append(F.count_if(value < bounds[i, j][0]).alias(f"_l{i}_{j}"))
-                counts.append(F.count_if(value <= bounds[i, j][1]).alias(f"_h{i}_{j}"))
-    totals = df.agg(*counts).first() if counts else None
-    cells = []
-    for (i, j), rank in ranks.items():
-        value = F.col(columns[i])
-        below, upto = totals[f"_l{i}_{j}"], totals[f"_h{i}_{j}"]
-        inside = value.isNotNull()
-        if below < rank <= upto:
-            inside = value.between(*bounds[i, j])
-            ranks[i, j] = rank - below
-        own = [
-            (value if df.schema[columns[i]].dataType == k else F.lit(None).cast(k)).alias(f"v{t}")
-            for t, k in enumerate(kinds)
-        ]
-        cell = F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.struct(*own).alias("_v"))
-        cells.append(F.when(inside, cell))
+                if low == high and exact:
+                    single[i, j] = F.lit(low)  # a value with many rows, if the counts agree
+                else:
+                    bounds[i, j] = value.between(low, high)
+                counts.append(F.count_if(value < low).alias(f"l{i}_{j}"))
+                counts.append(F.count_if(value <= high).alias(f"h{i}_{j}"))
+
+    def cells(inside: dict[tuple[int, int], Column], values: dict[tuple[int, int], Column]) -> Column:
+        """For each rank its value, if it lies inside."""
+        made = []
+        for (i, j), within in inside.items():
+            kind = df.schema[columns[i]].dataType
+            own = [values[i, j].cast(kind) if k == kind else F.lit(None).cast(k) for k in kinds]
+            value = F.struct(*[v.alias(f"v{t}") for t, v in enumerate(own)])
+            made.append(F.when(within, F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), value.alias("_v"))))
+        return F.inline(F.array_compact(F.array(*made)))
+
+    settled = None
+    if ranks:
+        own = {(i, j): F.col(f"`{columns[i]}`") for i, j in ranks}
+        if bounds:
+            # The counts belong to the scan that writes, whose tasks count once each.
+            counted = Observation()
+            settled = stored(df.observe(counted, *counts).select(cells(bounds, own)), "inside")
+            totals = counted.get
+        else:
+            totals = df.agg(*counts).first().asDict()
+        known, missed = {}, {}
+        for (i, j), rank in ranks.items():
+            below, upto = totals[f"l{i}_{j}"], totals[f"h{i}_{j}"]
+            if not below < rank <= upto:
+                missed[i, j] = own[i, j].isNotNull()
+            elif (i, j) in single:
+                known[i, j], ranks[i, j] = F.lit(True), 1
+            else:
+                ranks[i, j] = rank - below
+        if missed and settled is not None:
+            gone = [(F.col("_i") == i) & (F.col("_j") == j) for i, j in missed]
+            settled = settled.filter(~functools.reduce(operator.or_, gone))
+        more = [df.select(cells(missed, own))] if missed else []
+        more += [df.sparkSession.range(1).select(cells(known, single))] if known else []
+        given = [*([settled] if settled is not None else []), *more]
+        settled = functools.reduce(DataFrame.unionByName, given)
     names = df.sparkSession.createDataFrame(list(enumerate(columns)), "_i int, field string")
     empty = F.lit(None).cast(T.StructType([T.StructField(f"v{t}", k) for t, k in enumerate(kinds)]))
-    if not cells:
+    if settled is None:
         return names.select("field", *[empty.alias(q) for q in shares])
-    settled = df.select(F.inline(F.array_compact(F.array(*cells))))
     counted = settled.groupBy("_i", "_j", "_v").agg(F.count(F.lit(1)).alias("_n"))
     placed = running_totals(counted, ["_i", "_j"], ["_v"], "_n", name="_start")
     wanted = F.lit(None)

@@ -15,7 +15,7 @@ from weft.operators.grouping import (
     reduce_by_key as reduced,
     summary,
 )
-from weft.operators.ordering import quantiles
+from weft.operators.ordering import quantile_sketches, quantile_table, quantiles
 from weft.plans.registry import labelled_documents, query
 from weft.sources.scratch import stored
 
@@ -226,6 +226,25 @@ def summary_table(t):
     )
 
 
+@query(
+    "A21",
+    """
+    SELECT 'l_partkey' AS field, quantile_disc(l_partkey, 0.1)::DOUBLE AS q10,
+           quantile_disc(l_partkey, 0.9)::DOUBLE AS q90 FROM lineitem
+    UNION ALL
+    SELECT 'l_extendedprice', quantile_disc(l_extendedprice, 0.1), quantile_disc(l_extendedprice, 0.9) FROM lineitem
+    """,
+)
+def quantiles_of_stored_sketches(t):
+    """Sketches of parts of the table, stored apart, are merged and settled in one scan."""
+    columns = ["l_partkey", "l_extendedprice"]
+    parts = [t.lineitem.filter(F.col("l_returnflag").isin(*flags)) for flags in (["A"], ["N", "R"])]
+    kept = [stored(quantile_sketches(part, columns), "sketches") for part in parts]
+    table = quantile_table(t.lineitem, columns, {"q10": 0.1, "q90": 0.9}, sketches=kept[0].unionByName(kept[1]))
+    number = lambda q: F.coalesce(*[F.col(f"{q}.{f.name}").cast("double") for f in table.schema[q].dataType.fields])
+    return table.select("field", number("q10").alias("q10"), number("q90").alias("q90"))
+
+
 @query(
     "A20 A21",
     """
