@@ -173,3 +173,38 @@ def test_near_ranges_are_read_together():
     runs = list(_ranges(iter([batch.slice(0, 2), batch.slice(2)]), gap=5, most=80))
     assert [len(r) for r in runs] == [3, 1, 1, 1]
     assert [x for r in runs for x in r] == rows
+
+
+@pytest.mark.parametrize("copies", [1, 6, 50])
+def test_repeated_queries_find_equal_vectors_of_other_ids(spark, copies):
+    rng = np.random.default_rng(copies)
+    vectors = rng.normal(size=(60, 8))
+    vectors[59] = vectors[0]
+    vectors[40:45] = vectors[10]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [rows[0]] * (copies - 1) + [rows[41]] * (copies - 1)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    ids, table = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    want = brute(ids, table, [0, 10, 20, 30, 40, 50], 5)
+    found = {}
+    for r in nearest_neighbours(df, F.col("vec_id") % 10 == 0, probes=10_000).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert {q: [i for i, _ in pairs] for q, pairs in found.items()} == {q: [i for i, _ in pairs] for q, pairs in want.items()}
+    assert found[0][0][0] == 59 and found[0][0][1] == pytest.approx(1)
+    # As many lists are probed as hold rows besides the query's own.
+    few = nearest_neighbours(df.filter("vec_id IN (0, 59, 20)"), F.col("vec_id") == 0, probes=1).collect()
+    assert len({r["vec_id"] for r in few}) == 2
+
+
+def test_archives_are_read_by_tasks_of_bounded_bytes(spark):
+    folder = scratch_path(spark, "warc")
+    noise = np.random.default_rng(1)
+    pages = [(i, f"http://x/{i}", noise.bytes(40_000).hex()) for i in range(120)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    index = write_warc(df.repartition(4), folder)
+    total = index.agg(F.sum("length")).first()[0]
+    for size in (200_000, 1 << 30):
+        read = read_warc(index, folder, task_bytes=size, payloads=False)
+        tasks = read.select(F.spark_partition_id().alias("p"), "page_id").groupBy("p").count().collect()
+        wanted = max(-(-total // size), min(8, total // (1 << 20)))
+        assert wanted * 0.6 <= len(tasks) <= wanted and sum(r["count"] for r in tasks) == 120

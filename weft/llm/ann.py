@@ -107,17 +107,22 @@ def fit_lists(vectors: DataFrame, dimension: int, neighbours: int, seed: int = 5
 def scan_list(queries, query_ids, vectors, vector_ids, rotated, k: int) -> Iterator[tuple]:
     """``(query ids, candidate ids, scores)`` of the k best candidates per query.
 
-    ``rotated`` rotates and scales. Of equal vectors only the k + 1 smallest ids can
-    be among the best, so no more of them are compared.
+    ``rotated`` rotates and scales. Rows with the id of the query are no candidates. Of
+    equal vectors only rows of the k + 1 smallest ids can be among the best, as one of
+    them may be the query's own, and of each id k rows; no more of them are compared.
     """
     order = np.argsort(vector_ids, kind="stable")
     vectors, vector_ids = vectors[order], vector_ids[order]
     _, group = np.unique(vectors, axis=0, return_inverse=True)
     by_group = np.argsort(group.ravel(), kind="stable")
     sorted_group = group.ravel()[by_group]
-    begins = np.flatnonzero(np.r_[True, sorted_group[1:] != sorted_group[:-1]])
-    rank = np.arange(len(by_group)) - np.repeat(begins, np.diff(np.r_[begins, len(by_group)]))
-    chosen = np.sort(by_group[rank <= k])
+    sorted_ids, place = vector_ids[by_group], np.arange(len(by_group))
+    new_group = np.r_[True, sorted_group[1:] != sorted_group[:-1]]
+    new_id = new_group | np.r_[True, sorted_ids[1:] != sorted_ids[:-1]]
+    number = np.cumsum(new_id) - 1  # of the id, over all groups
+    id_rank = number - number[np.maximum.accumulate(np.where(new_group, place, 0))]
+    repeat = place - np.maximum.accumulate(np.where(new_id, place, 0))
+    chosen = np.sort(by_group[(id_rank <= k) & (repeat < k)])
     vectors, vector_ids = vectors[chosen], vector_ids[chosen]
     turned, asked = rotated(vectors), rotated(queries)
     norms = np.linalg.norm(vectors, axis=1)
@@ -126,8 +131,9 @@ def scan_list(queries, query_ids, vectors, vector_ids, rotated, k: int) -> Itera
     for begin in range(0, len(asked), QUERIES_AT_ONCE):
         q, ids = asked[begin : begin + QUERIES_AT_ONCE], query_ids[begin : begin + QUERIES_AT_ONCE]
         # The k-th distance to some first candidates bounds what can be among the best.
-        head = np.sort(np.maximum(0, 2 - 2 * q @ turned[: 64 * (k + 1)].T), axis=1)
-        bound = head[:, min(k, head.shape[1] - 1)] if n > k else np.full(len(q), np.inf)
+        head = np.maximum(0, 2 - 2 * q @ turned[: 64 * (k + 1)].T)
+        head[ids[:, None] == vector_ids[None, : 64 * (k + 1)]] = np.inf
+        bound = np.sort(head, axis=1)[:, k - 1] if n >= k else np.full(len(q), np.inf)
         i, j = np.divmod(np.arange(len(q) * n), n)
         part, low = np.zeros(len(i)), 0
         for high in cuts:
@@ -174,7 +180,8 @@ def nearest_neighbours(
     Rows with the id of the query are no candidates. If fewer than k rows take part,
     all of them come. Rows with a null id and vectors that are null, zero, or hold
     null or non-finite components take no part (see :func:`usable_vectors`); a query
-    id that is repeated asks once, repeated candidates are candidates each. An empty
+    id that is repeated asks once, with the least of its vectors; repeated candidates are
+    candidates each. An empty
     table gives no rows; other columns are left out. ``probes`` overrides the number
     of lists per query.
 
@@ -192,8 +199,11 @@ def nearest_neighbours(
             yield pa.RecordBatch.from_arrays(columns, ["_id", "_v", "_list"])
 
     index = kept(rows.mapInArrow(assign, "_id long, _v array<double>, _list int"), "ann-index")
-    sizes = {r["_list"]: r["n"] for r in index.groupBy("_list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    size = np.array([sizes.get(i, 0) for i in range(number)])
+    per_list = index.groupBy("_list").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_id").alias("ids"))
+    lists_of = {r["_list"]: r for r in per_list.collect()}  # at most MOST_LISTS
+    sizes = {i: r["n"] for i, r in lists_of.items()}
+    # Rows besides the query's own that a list holds at least.
+    others = np.array([max(0, int(0.8 * lists_of[i]["ids"]) - 1) if i in lists_of else 0 for i in range(number)])
     probed = min(number, probes or lists.probes)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,15 +212,15 @@ def nearest_neighbours(
                 batch = whole.slice(at, 256)
                 near = lists.nearest(lists.rotated(_matrix(batch.column(1), dimension)), number)
                 # At least so many lists, and enough for k rows besides the query's own.
-                held = np.cumsum(size[near], axis=1)
-                enough = np.maximum(probed, (held < k + 1).sum(axis=1) + 1)
+                held = np.cumsum(others[near], axis=1)
+                enough = np.maximum(probed, (held < k).sum(axis=1) + 1)
                 row, rank = np.nonzero(np.arange(number)[None] < enough[:, None])
                 taken, number_of = pa.array(row), pa.array(near[row, rank].astype(np.int32))
                 columns = [batch.column(0).take(taken), batch.column(1).take(taken), number_of]
                 yield pa.RecordBatch.from_arrays(columns, ["_id", "_v", "_list"])
 
     asked = index.withColumnRenamed("_id", id).filter(is_query).withColumnRenamed(id, "_id")
-    asked = asked.dropDuplicates(["_id"]).select("_id", "_v")
+    asked = asked.groupBy("_id").agg(F.min("_v").alias("_v"))
     asked = kept(asked.mapInArrow(probe, "_id long, _v array<double>, _list int"), "ann-queries")
     wanted = {r["_list"]: r["n"] for r in asked.groupBy("_list").agg(F.count(F.lit(1)).alias("n")).collect()}
 

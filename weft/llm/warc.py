@@ -29,6 +29,7 @@ FILE_BYTES = 1 << 30
 LEVEL = 3
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
 OUT_BYTES = 16 << 20
+TASK_BYTES, SMALL_BYTES = 128 << 20, 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -167,12 +168,14 @@ def read_warc(
     id: str = "page_id",
     gap: int = GAP_BYTES,
     most: int = READ_BYTES,
+    task_bytes: int = TASK_BYTES,
     payloads: bool = True,
 ) -> DataFrame:
     """The records that ``index`` names: the id column, ``url``, ``record_type``,
     ``refers_to``, ``payload_bytes``, ``payload_digest`` and, on request, ``payload``.
 
-    Ranges at most ``gap`` bytes apart are read together, up to ``most`` bytes. The
+    Ranges at most ``gap`` bytes apart are read together, up to ``most`` bytes, and a task
+    reads about ``task_bytes`` (less if there would be fewer tasks than cores). The
     payload of a response is checked against its digest; a revisit has no payload of
     its own (null), and gives the size and digest of the full one. A row that is
     named twice comes twice; an empty index gives no rows.
@@ -225,8 +228,12 @@ def read_warc(
         if source is not None:
             source.close()
 
+    # Tasks by the bytes to read: left open, their number would follow the index's size.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-total // task_bytes), min(cores, total // SMALL_BYTES))
     order = ["file", "offset"]
-    ranged = index.select("file", "offset", "length").repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = index.select("file", "offset", "length").repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     read = ranged.mapInArrow(run, schema)
     key = F.when(F.col("_name") != "null", F.col("_name")).cast(own).alias(id)
     refers = F.when(F.col("refers_to") != "null", F.col("refers_to")).cast(own).alias("refers_to")
