@@ -110,14 +110,14 @@ def exact_groups(
     id being the largest, and of several rows with that id one. Texts of any length
     are compared whole. An empty table gives no rows; other columns are left out.
     """
-    place = _place_name(df)
+    place = place_name(df)
     rows = placed(df.select(*dict.fromkeys((id, text))), place)
     return _decided(rows, id, text, place, digest).select(
         F.col("_id").alias(id), "keep_id", "group_size", "kept", "text_sha256"
     )
 
 
-def _place_name(df: DataFrame) -> str:
+def place_name(df: DataFrame) -> str:
     """Longer than any column's name."""
     return "_" * (1 + max(map(len, df.columns), default=0)) + "place"
 
@@ -160,7 +160,7 @@ def _decided(df, id, text, place, digest) -> DataFrame:
 
 def drop_exact_copies(df: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with one row of each group of equal texts; see :func:`exact_groups`."""
-    place = _place_name(df)
+    place = place_name(df)
     rows = placed(df, place)
     gone = _decided(rows, id, text, place, sha256).filter(~F.col("kept")).select(F.col("_place").alias(place))
     return rows.join(gone, place, "left_anti").select(df.columns)

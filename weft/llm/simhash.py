@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.common import kept, map_rows, uniform, utf8
+from weft.llm.exact import place_name, placed
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 SHARD_NODES = 16_384
@@ -229,23 +230,38 @@ def near_components(
     component of null ids only has a null one). Repeated rows come out as often; an
     empty table gives no rows; other columns are left out.
     """
-    marked = add_fingerprint(df.select(F.col(id).alias("_id"), F.col(text).alias("_text")), text="_text", keep=["_id"])
-    marked = kept(marked, "fingerprints")
-    nodes = kept(marked.groupBy("fingerprint").agg(F.min("_id").alias("_first")), "nodes")
+    rows = df.select(F.col(id).alias("_id"), F.lit(0).alias("_place"), F.col(text).alias("_text"))
+    marked, named = _components(rows, radius)
+    joined = marked.join(named, "fingerprint", "left")
+    return joined.select(F.col("_id").alias(id), "fingerprint", F.col("_best._id").alias("component_id"))
+
+
+def _components(rows: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """``(_id, _place, fingerprint)`` of ``(_id, _place, _text)``, and ``(fingerprint,
+    _best)``: the first row of a fingerprint's component by id, null last, and place."""
+    marked = kept(add_fingerprint(rows, text="_text", keep=["_id", "_place"]), "fingerprints")
+    best = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_place")).alias("_best")
+    nodes = kept(marked.groupBy("fingerprint").agg(best), "nodes")
     roots = join_trees(near_links(nodes, nodes.count(), radius))
     roots = roots.select(F.col("u").alias("fingerprint"), F.col("v").alias("_root"))
     rooted = nodes.join(roots, "fingerprint", "left").withColumn("_root", F.coalesce("_root", "fingerprint"))
-    lowest = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    named = rooted.join(lowest, "_root").select("fingerprint", "component_id")
-    return marked.join(named, "fingerprint", "left").select(F.col("_id").alias(id), "fingerprint", "component_id")
+    lowest = rooted.groupBy("_root").agg(F.min("_best").alias("_best"))
+    return marked, rooted.drop("_best").join(lowest, "_root").select("fingerprint", "_best")
 
 
-def drop_near_copies(df: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one document of each component, that of the smallest id.
+def drop_near_copies(
+    df: DataFrame, *, id: str = "doc_id", text: str = "text", radius: int = RADIUS
+) -> DataFrame:
+    """``df`` with one row of each component of near-duplicates; see near_components.
 
-    Rows are named by their id: rows that share one stay or go together, and rows
-    with a null id stay.
+    The row with the smallest id stays, a null id being the largest, and of several rows
+    with that id one. Rows are told apart by their place, so a repeated id or a null
+    one loses no text that is in no other component. Null and empty texts are one
+    component. An empty table gives no rows, and columns of any name stay.
     """
-    components = near_components(df, id=id, text=text)
-    gone = components.filter(F.col(id) != F.col("component_id")).select(id).distinct()
-    return df.join(gone, id, "left_anti").select(df.columns)
+    place = place_name(df)
+    rows = placed(df, place)
+    given = rows.select(F.col(f"`{id}`").alias("_id"), F.col(place).alias("_place"), F.col(f"`{text}`").alias("_text"))
+    marked, named = _components(given, radius)
+    gone = marked.join(named, "fingerprint").filter(F.col("_place") != F.col("_best._place"))
+    return rows.join(gone.select(F.col("_place").alias(place)), place, "left_anti").select(df.columns)
