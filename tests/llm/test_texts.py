@@ -261,3 +261,21 @@ def test_secrets_query(spark):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(b[0] == k for b in bases) for k in KINDS]
         spans = r["spans"].split(",") if r["spans"] else []
         assert [s for s in spans if not s.startswith("like_")] == marks
+
+
+def test_repeated_ids_bring_no_more_rows_than_the_bound(spark, monkeypatch):
+    from weft.llm import langid, quality
+
+    seen, plain = [], quality.fit_trees
+    monkeypatch.setattr(quality, "fit_trees", lambda x, y: seen.append(len(x)) or plain(x, y))
+    rows = [(1, f"text {i}", "en") for i in range(900)] + [(2, "other", "de"), (3, "more", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    quality.train_quality(df, labels, sample_rows=50)
+    assert seen == [100]
+    taught, plain_network = [], langid.train_network
+    monkeypatch.setattr(langid, "train_network", lambda w, t, n: taught.append((len(w), n)) or plain_network(w, t, n))
+    langid.train_langid(df, F.lit(True), texts_per_language=1000, most_texts=40)
+    langid.train_langid(df, F.lit(True), languages=1)
+    assert taught[0][0] <= 2 * 40 * langid.WINDOWS_PER_TEXT and taught[0][1] == ["de", "en"]
+    assert taught[1][1] == ["en"]

@@ -23,7 +23,8 @@ UNKNOWN = "und"
 WINDOW = 512
 WIDTHS = (2, 3, 4)
 FILTERS, EMBEDDING = 8, 8
-TEXTS_PER_LANGUAGE, WINDOWS_PER_TEXT, LANGUAGES = 1500, 4, 1000
+TEXTS_PER_LANGUAGE, WINDOWS_PER_TEXT = 1500, 4
+LANGUAGES, MOST_TEXTS = 1000, 50_000
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 PAD = 0x20
 CHUNK = 64  # windows scored together: their responses stay in the processor's cache
@@ -166,20 +167,24 @@ def train_langid(
     text: str = "text",
     lang: str = "lang",
     texts_per_language: int = TEXTS_PER_LANGUAGE,
+    languages: int = LANGUAGES,
+    most_texts: int = MOST_TEXTS,
 ) -> Network | None:
     """A network learned from the rows for which ``usable`` holds.
 
-    About ``texts_per_language`` texts of each language are drawn by hash of the id,
-    and a few windows of each reach the driver; the LANGUAGES most frequent languages
-    are learned. Rows with a null or empty text, language or id teach nothing. None if
-    no row is left.
+    About ``texts_per_language`` texts of each language are drawn by hash of the id, or
+    fewer where that would be ``most_texts`` in all, and a few windows of each reach the
+    driver; no more than twice as many texts do, also if an id is repeated. The
+    ``languages`` most frequent languages are learned (ties: the smaller name). Rows with
+    a null or empty text, language or id teach nothing. None if no row is left.
     """
     known = df.filter(usable & F.col(lang).isNotNull() & (F.length(text) > 0) & F.col(id).isNotNull())
     known = known.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"), F.col(id).alias("_id"))
-    counts = known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(languages).collect()
     if not counts:
         return None
-    shares = [(r["_lang"], min(1.0, texts_per_language / r["count"])) for r in counts]
+    each = max(1, min(texts_per_language, most_texts // len(counts)))
+    shares = [(r["_lang"], min(1.0, each / r["count"])) for r in counts]
     table = F.broadcast(df.sparkSession.createDataFrame(shares, "_lang string, _share double"))
     drawn = known.join(table, "_lang").filter(uniform("_id", seed=1) < F.col("_share"))
     drawn = drawn.withColumn("_seed", F.xxhash64("_id"))
@@ -188,15 +193,16 @@ def train_langid(
         return [pa.array(sample_windows(texts, seeds.to_pylist()), pa.binary())]
 
     rows = map_rows(drawn, ["_text", "_seed"], "windows binary", run, keep=["_lang", "_seed"])
-    table = rows.toArrow().sort_by([("_seed", "ascending")])
-    languages = sorted(l for l, _ in shares)
-    number = {l: i for i, l in enumerate(languages)}
+    some = rows.orderBy("_seed", "_lang", "windows").limit(2 * each * len(counts))
+    table = some.toArrow().sort_by([("_seed", "ascending")])
+    names = sorted(l for l, _ in shares)
+    number = {l: i for i, l in enumerate(names)}
     windows, target = [], []
     for l, joined in zip(table.column("_lang").to_pylist(), table.column("windows").to_pylist()):
         part = np.frombuffer(joined, np.uint8).reshape(-1, WINDOW)
         windows.append(part)
         target += [number[l]] * len(part)
-    return train_network(np.concatenate(windows), np.array(target), languages)
+    return train_network(np.concatenate(windows), np.array(target), names)
 
 
 def identify_language(

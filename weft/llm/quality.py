@@ -161,8 +161,10 @@ def train_quality(
 
     About ``sample_rows`` labels, drawn by hash of the id, are used at most (all, if
     there are fewer). They are the broadcast side of a join with the texts, so the
-    texts are not moved, and only their statistics reach the driver. Labels with a
-    null id or label are ignored; a document with two labels counts twice.
+    texts are not moved, and only the statistics of at most ``2 * sample_rows`` of them
+    reach the driver: of more, as when a labelled id is repeated, the first by a hash of
+    the id and by statistics. Labels with a null id or label are ignored; a document with
+    two labels counts twice.
     """
     usable = labels.select(F.col(id).alias("_id"), F.col(label).cast("double").alias("_y"))
     usable = usable.filter(F.col("_id").isNotNull() & F.col("_y").isNotNull())
@@ -174,7 +176,8 @@ def train_quality(
         return [pa.array(list(statistics(texts)), pa.list_(pa.float64()))]
 
     rows = map_rows(matched, ["_text"], "x array<double>", run, keep=["_id", "_y"])
-    table = rows.toArrow().sort_by("_id")  # so that the order of tasks has no effect
+    some = rows.orderBy(F.xxhash64("_id"), "_id", "_y", "x").limit(2 * sample_rows)
+    table = some.toArrow().sort_by("_id")  # so that the order of tasks has no effect
     x = np.array(table.column("x").to_pylist(), float)
     return fit_trees(x, table.column("_y").to_numpy())
 
