@@ -261,3 +261,16 @@ def test_near_copies_are_dropped_by_row_not_by_id(spark):
     found = drop_near_copies(df.repartition(3))
     assert found.columns == df.columns
     assert sorted((tuple(r)[:2] for r in found.collect()), key=repr) == [(1, a), (2, b), (7, "")]
+
+
+def test_registered_query_of_near_copies(spark):
+    from weft.llm.queries import op4_simhash
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    prints = {i: plain_fingerprint(t) for i, t in texts.items()}
+    values = sorted(set(prints.values()))
+    roots, lowest = dict(zip(values, plain_components(values))), {}
+    for i, p in prints.items():
+        lowest[roots[p]] = min(i, lowest.get(roots[p], i))
+    found = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in op4_simhash(spark, SMALL).collect()}
+    assert found == {i: (f"{p:016x}", lowest[roots[p]]) for i, p in prints.items()}

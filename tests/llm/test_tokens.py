@@ -206,3 +206,41 @@ def test_packing_query(spark):
     part = struct.pack(f"<{row['length']}I", *ids[: row["length"]])
     assert row["ids_crc32"] == zlib.crc32(part)
     assert row["doc_tokens"] == len(ids)
+
+
+@pytest.mark.parametrize("pattern", [r"\S+\s*|\s+", r"\p{Lu}\p{Ll}*|\p{Ll}+|[^\p{L}]+", r"(?:.|\n){1,3}", r"(\w+)|(\W+)"])
+def test_any_pattern_gives_the_ids_of_the_library(spark, pattern):
+    ranks = read_ranks(RANKS)
+    plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(3)
+    texts = [mixed(rng) for _ in range(80)] + ["Some evenly spaced Words here\nand there", "aB cD eF", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: unpacked(r["ids"]) for r in encode_bpe(df, RANKS, pattern).collect()}
+    assert found == {i: plain.encode_ordinary(t) for i, t in enumerate(texts)}
+    again = recount_tokens(df, RANKS, pattern, ("[aeT ]", "X.")).collect()
+    for r in again:
+        assert r["n_tokens"] == len(plain.encode_ordinary(r["text"]))
+        assert r["edited_tokens"] == len(plain.encode_ordinary(r["edited_text"]))
+
+
+def test_registered_queries_equal_the_libraries(spark, bpe):
+    """The digests of op2 and op3 themselves, over a whole table."""
+    import hashlib
+    import re
+
+    from weft.llm.queries import op2_byte_bpe, op3_token_counts
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = {r["doc_id"]: r for r in op2_byte_bpe(spark, folder).collect()}
+    counts = {r["doc_id"]: r for r in op3_token_counts(spark, folder).collect()}
+    assert set(found) == set(counts) == set(texts)
+    for i, text in texts.items():
+        ids = bpe.encode_ordinary(text)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        assert found[i]["n_tokens"] == counts[i]["n_tokens"] == len(ids)
+        assert found[i]["ids_sha256"] == hashlib.sha256(packed).hexdigest()
+        assert found[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        edited_text = re.sub("[0-9]+", "0", text)
+        assert counts[i]["edited_tokens"] == len(bpe.encode_ordinary(edited_text))
+        assert counts[i]["edited_sha256"] == hashlib.sha256(edited_text.encode()).hexdigest()

@@ -16,6 +16,7 @@ import base64
 import struct
 from array import array
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -27,6 +28,11 @@ LONGEST_KEPT = 64
 FITS_KEPT = 150_000
 
 
+#: Patterns that begin a piece at a single blank or line end between words, whatever
+#: stands around it, and leave letters alone whole; words are looked up under these only.
+WORDWISE = {public_tokenizers.PATTERN}
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a file of base64 and rank lines."""
     with open(path, "rb") as lines:
@@ -131,7 +137,7 @@ def evenly_spaced(text: str) -> bool:
     """Whether single blanks and line ends are the only white space, none of them at
     an end of the text, and no word is very long.
 
-    Then a piece begins at each blank and line end, whatever stands around it.
+    Then a WORDWISE pattern begins a piece at each blank and line end.
     """
     words = text.split()
     gaps = text.count(" ") + text.count("\n")
@@ -150,7 +156,9 @@ class Encoder:
         import regex
 
         self.merges = Merges(read_ranks(path))
-        self.find = regex.compile(pattern).findall
+        self.wordwise = pattern in WORDWISE
+        find = regex.compile(pattern)
+        self.find = find.findall if self.wordwise else lambda text: [m[0] for m in find.finditer(text) if m[0]]
         self.pieces = Memo(self._piece, PIECES_KEPT)
         self.first = Memo(lambda word: self._word("", word), PIECES_KEPT)
         self.spaced = Memo(lambda word: self._word(" ", word), WORDS_KEPT)
@@ -169,10 +177,10 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
-        Words of evenly spaced texts are looked up; other texts are cut by the
-        pattern as a whole.
+        Words of evenly spaced texts are looked up under a WORDWISE pattern; other texts
+        are cut by the pattern as a whole.
         """
-        if not evenly_spaced(text):
+        if not self.wordwise or not evenly_spaced(text):
             return self._split(text)
         first, spaced, parts = self.first, self.spaced.__getitem__, []
         for line in text.split("\n"):
@@ -189,9 +197,9 @@ def encode_bpe(
 ) -> DataFrame:
     """Adds ``ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens``.
 
-    ``pattern`` cuts a text into pieces, each of which is encoded alone by the
-    ranks in the file ``path``, which every worker must be able to open. Null and
-    empty texts have no ids. Rows are independent: repeated rows and null ids stay
+    ``pattern`` cuts a text of any length into pieces, each of which is encoded alone by
+    the ranks in the file ``path``, which every worker must be able to open; what it does
+    not match has no ids. Null and empty texts have none. Rows are independent: repeated rows and null ids stay
     as they are, an empty table gives none, and a column already named ``ids`` or
     ``n_tokens`` is replaced.
     """

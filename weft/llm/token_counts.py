@@ -18,12 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from weft.llm.bpe import LONGEST_KEPT, PIECES_KEPT, WORDS_KEPT, Merges, evenly_spaced, read_ranks
+from weft.llm.bpe import LONGEST_KEPT, PIECES_KEPT, WORDS_KEPT, WORDWISE, Merges, evenly_spaced, read_ranks
 from weft.llm.common import Memo, held, map_rows
 
 BLOCK = 64
-#: A border between pre-tokens is decided by at most so many characters after it:
-#: the longest contraction of the pattern has three, of which the first is before it.
+#: Under a WORDWISE pattern a border between pre-tokens is decided by at most so many
+#: characters after it: its longest contraction has three, the first of them before it.
 AHEAD = 3
 EDITS = "array<struct<start:int,end:int,text:string>>"
 
@@ -35,7 +35,7 @@ class Counter:
         import regex
 
         self.merges = Merges(read_ranks(path))
-        self.cut = regex.compile(pattern)
+        self.cut, self.wordwise = regex.compile(pattern), pattern in WORDWISE
         self.pieces = Memo(lambda piece: len(self.merges.encode(piece.encode())), PIECES_KEPT)
         self.first = Memo(lambda word: self._word("", word), PIECES_KEPT)
         self.spaced = Memo(lambda word: self._word(" ", word), WORDS_KEPT)
@@ -46,7 +46,7 @@ class Counter:
         return len(self.merges.encode(piece.encode()))
 
     def _split(self, text: str) -> bytes:
-        pairs = [x for p in self.cut.findall(text) for x in (len(p), self.count(p))]
+        pairs = [x for m in self.cut.finditer(text) if (p := m[0]) for x in (len(p), self.count(p))]
         return struct.pack(f"<{len(pairs)}i", *pairs)
 
     def _word(self, blank: str, word: str) -> bytes:
@@ -60,7 +60,7 @@ class Counter:
 
     def leaves(self, text: str) -> np.ndarray:
         """One row (characters, tokens) per pre-token."""
-        if not evenly_spaced(text):
+        if not self.wordwise or not evenly_spaced(text):
             data = self._split(text)
         else:
             spaced, parts = self.spaced.__getitem__, []
@@ -182,6 +182,9 @@ def edited(text: str, tree: Tree, edits: list[tuple[int, int, str]], counter: Co
     if not taken:
         return text, tree, 0
     fresh = "".join([*parts, text[at:]])
+    if not counter.wordwise:  # a border may depend on anything behind it
+        leaves = counter.leaves(fresh) if fresh else np.zeros((0, 2), np.int32)
+        return fresh, Tree(leaves), len(leaves)
     changes, k, behind, encoded = [], 0, 0, 0
     while k < len(taken):
         first = tree.locate(max(behind, taken[k][0] - AHEAD))
@@ -217,8 +220,8 @@ def count_tokens(
 ) -> DataFrame:
     """Adds ``n_tokens`` and ``tree``, the segment tree of the text.
 
-    Tokens are those of byte-level BPE by the rank file ``path``. Null and empty
-    texts have no tokens. Rows are independent: repeated rows and null ids stay as
+    Tokens are those of byte-level BPE by the rank file ``path``, of texts of any length.
+    Null and empty texts have no tokens. Rows are independent: repeated rows and null ids stay as
     they are, an empty table gives none, and columns already named like the two are
     replaced.
     """
