@@ -19,11 +19,14 @@ from weft.llm.exact import drop_exact_copies, exact_groups, update_state  # noqa
 from weft.llm.queries import ORACLES, QUERIES  # noqa: E402
 from weft.llm.simhash import (  # noqa: E402
     choose_vantages,
+    dealt_nodes,
     drop_near_copies,
     fingerprint,
+    halves,
     join_trees,
     link_nodes,
     near_components,
+    near_links,
     shards_of,
 )
 from weft.sources.scratch import scratch_path  # noqa: E402
@@ -198,15 +201,41 @@ def test_links_of_a_crowd_around_its_middle_end():
 
 def test_no_link_is_lost_between_shards():
     values = crowd(5, 900, 4, 5)
-    vantages = choose_vantages(values, 4)
-    rows, codes = shards_of(values, vantages, 3)
-    shards = {}
-    for row, code in zip(rows.tolist(), codes.tolist()):
-        shards.setdefault(row, set()).add(code)
+    shards, names = {}, set()
+    for half, metric in enumerate(halves(3)):
+        rows, codes = shards_of(values, choose_vantages(values, 4, [metric]), half)
+        names |= set(codes.tolist())
+        for row, code in zip(rows.tolist(), codes.tolist()):
+            shards.setdefault(row, set()).add(code)
     for i, j in combinations(range(len(values)), 2):
         if (int(values[i]) ^ int(values[j])).bit_count() <= 3:
             assert shards[i] & shards[j]
-    assert len(set(codes.tolist())) == 16
+    assert 16 < len(names) <= 32
+
+
+def test_shards_are_bounded(spark, monkeypatch):
+    """Even where a crowd is too dense to be cut by distance."""
+    monkeypatch.setattr(simhash, "SHARD_NODES", 60)
+    monkeypatch.setattr(simhash, "MOST_NODES", 120)
+    dense = np.array([0] + [1 << i for i in range(64)] + [1 << i | 1 << j for i in range(64) for j in range(i)][:300], np.uint64)
+    values = np.unique(np.concatenate([crowd(8, 500, 3, 4), dense ^ np.uint64(0x5A5A << 20)]))
+    nodes = spark.createDataFrame([(v,) for v in values.view(np.int64).tolist()], "fingerprint long")
+    shards = {}
+    for r in dealt_nodes(nodes, len(values)).collect():
+        shards.setdefault(r["shard"], set()).add(r["fingerprint"] & (1 << 64) - 1)
+    assert max(map(len, shards.values())) <= 120
+    together = {pair for members in shards.values() for pair in combinations(sorted(members), 2)}
+    near = [(a, b) for a, b in combinations(values.tolist(), 2) if (a ^ b).bit_count() <= 3]
+    assert len(near) > 10_000 and together.issuperset(near)
+    trees = {r["u"]: r["v"] for r in join_trees(near_links(nodes, len(values))).collect()}
+    signed = values.view(np.int64)
+    groups = {}
+    for v in signed.tolist():
+        groups.setdefault(trees.get(v, v), set()).add(v)
+    want = {}
+    for v, root in zip(signed.tolist(), plain_components(values)):
+        want.setdefault(root, set()).add(v)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
 def test_trees_join_to_components(spark):

@@ -5,14 +5,18 @@ points: a node at most the median distance away lies inside, any other outside.
 nodes that link differ in that distance by at most the radius, so an inner node
 closer to the border than the radius is also handed to the outer side, and no link
 crosses a border unseen. The first levels, with one vantage point each, deal nodes
-out to shards; within a shard the splitting goes on down to small blocks. Links are
-reduced to a tree per shard, and the trees are joined to components.
+out to shards, once by the distance in the low half of the bits and once in the high
+half: nodes that link differ in one half by at most half the radius, so few lie at a
+border. Shards that come out large are dealt again. Within a shard the splitting goes on
+down to small blocks. Links are reduced to a tree per shard, and the trees are joined to
+components.
 """
 
 from __future__ import annotations
 
 import math
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +27,8 @@ from weft.llm.common import kept, map_rows, uniform, utf8
 from weft.llm.exact import place_name, placed
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
-SHARD_NODES = 16_384
+SHARD_NODES = 8_192
+MOST_NODES = 65_536
 BLOCK = 512
 SAMPLE = 4_096
 HASHED_AT_ONCE = 200_000
@@ -69,29 +74,68 @@ def distances(values: np.ndarray, point) -> np.ndarray:
     return np.bitwise_count(values ^ point)
 
 
-def choose_vantages(sample: np.ndarray, levels: int) -> list[tuple[int, int]]:
-    """A point and its median distance for each level. Of some candidates the one is
-    taken that splits most evenly into two sides with few nodes at the border."""
+class Vantage(NamedTuple):
+    """Nodes at most ``border`` away from ``point``, in the bits of ``mask``, lie inside.
+
+    Nodes that have to meet differ in at most ``radius`` of these bits.
+    """
+
+    point: int
+    mask: int
+    radius: int
+    border: int
+
+    def distances(self, values: np.ndarray) -> np.ndarray:
+        return distances(values & np.uint64(self.mask), np.uint64(self.point & self.mask)).astype(int)
+
+
+def halves(radius: int) -> list[tuple[int, int]]:
+    """Masks with a radius each: two nodes that link are that close under one of them."""
+    low = (1 << 32) - 1
+    return [(low, radius // 2), (low << 32, radius // 2)]
+
+
+def choose_vantages(sample: np.ndarray, levels: int, metrics: list[tuple[int, int]]) -> list[Vantage]:
+    """A vantage for each level, taken one after the other from random points.
+
+    Each is the one that leaves the least sum of squared shard sizes in the sample, so
+    it cuts the largest shards and has few nodes at its border.
+    """
     rng = np.random.default_rng(11)
-    ranked = []
-    for point in rng.choice(sample, min(len(sample), 4 * levels + 8), replace=False):
-        d = distances(sample, point).astype(int)
-        border = int(np.median(d))
-        inner = d <= border
-        load = np.mean(inner) ** 2 + np.mean(~inner | (d > border - RADIUS)) ** 2
-        ranked.append((load, int(point), border))
-    return [(point, border) for _, point, border in sorted(ranked)[:levels]]
-
-
-def shards_of(values: np.ndarray, vantages: list[tuple[int, int]], radius: int):
-    """Row numbers and shard numbers; a node at borders is in several shards."""
-    rows, codes = np.arange(len(values)), np.zeros(len(values), np.int64)
-    for point, border in vantages:
-        d = distances(values[rows], np.uint64(point)).astype(int)
-        codes = 2 * codes + (d > border)
-        both = (d <= border) & (d > border - radius)
-        rows = np.concatenate([rows, rows[both]])
-        codes = np.concatenate([codes, codes[both] + 1])
+    tried = []
+    for point in rng.choice(sample, min(len(sample), 2 * levels + 8), replace=False):
+        for mask, radius in metrics:
+            d = Vantage(int(point), mask, radius, 0).distances(sample)
+            middle = int(np.median(d))
+            tried += [(Vantage(int(point), mask, radius, b), d) for b in (middle - 1, middle, middle + 1)]
+    rows, codes, chosen = np.arange(len(sample)), np.zeros(len(sample), np.int64), []
+    for _ in range(levels):
+
+        def load(one: tuple[Vantage, np.ndarray]) -> int:
+            d, count = one[1][rows], codes.max() + 1
+            inner = np.bincount(codes[d <= one[0].border], minlength=count)
+            outer = np.bincount(codes[d > one[0].border - one[0].radius], minlength=count)
+            return int((inner**2).sum() + (outer**2).sum())
+
+        best = min(tried, key=load)
+        chosen.append(best[0])
+        rows, codes = _cut(rows, codes, best[1][rows], best[0])
+        codes = np.unique(codes, return_inverse=True)[1].ravel()
+    return chosen
+
+
+def _cut(rows: np.ndarray, codes: np.ndarray, d: np.ndarray, vantage: Vantage):
+    both = (d <= vantage.border) & (d > vantage.border - vantage.radius)
+    codes = 2 * codes + (d > vantage.border)
+    return np.concatenate([rows, rows[both]]), np.concatenate([codes, codes[both] + 1])
+
+
+def shards_of(values: np.ndarray, vantages: list[Vantage], first: int = 0):
+    """Row numbers and shard numbers; a node at borders is in several shards. ``first``
+    leads the numbers, to tell several series of vantages apart."""
+    rows, codes = np.arange(len(values)), np.full(len(values), first, np.int64)
+    for vantage in vantages:
+        rows, codes = _cut(rows, codes, vantage.distances(values[rows]), vantage)
     return rows, codes
 
 
@@ -159,32 +203,93 @@ def _link_block(values: np.ndarray, members: np.ndarray, sets: _Sets, radius: in
         left = np.setdiff1d(left, part, assume_unique=True)
 
 
-def near_links(nodes: DataFrame, count: int, radius: int = RADIUS) -> DataFrame:
-    """``(u, v)``: trees over the nodes that link, with ``v`` the smaller end.
+def dealt_nodes(nodes: DataFrame, count: int, radius: int = RADIUS) -> DataFrame:
+    """``(shard, fingerprint)``: any two nodes that link are in one shard at least.
 
-    ``nodes`` has distinct fingerprints. Only a bounded sample of them, from which
-    the vantage points are taken, reaches the driver.
+    Each half of the bits deals out all nodes by vantage points of its own. Only a bounded
+    sample, from which the points are taken, reaches the driver. Shards are then counted,
+    and one of more than MOST_NODES nodes is dealt again.
     """
-    levels = max(0, math.ceil(math.log2(max(1, count) / SHARD_NODES)))
-    share = min(1.0, 2 * SAMPLE / max(1, count))
-    drawn = nodes.filter(uniform("fingerprint") < share).limit(SAMPLE).toPandas() if levels else None
-    sample = np.sort(drawn["fingerprint"].to_numpy()).view(np.uint64) if levels else None
-    vantages = choose_vantages(sample, levels) if levels else []
+    if count <= SHARD_NODES:
+        return nodes.select(F.lit(0).cast("long").alias("shard"), "fingerprint")
+    # A half of evenly spread nodes keeps about 0.57 of them, those at the border included.
+    levels = math.ceil(math.log(count / SHARD_NODES) / math.log(1.75))
+    drawn = nodes.filter(uniform("fingerprint") < min(1.0, 2 * SAMPLE / count)).limit(4 * SAMPLE).toPandas()
+    sample = np.sort(drawn["fingerprint"].to_numpy()).view(np.uint64)
+    series = [choose_vantages(sample, levels, [metric]) for metric in halves(radius)]
 
     def deal(batches):
         for batch in batches:
             values = batch.column(0).to_numpy().view(np.uint64)
-            rows, codes = shards_of(values, vantages, radius)
-            columns = [pa.array(codes), pa.array(values[rows].view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "fingerprint"])
+            for half, vantages in enumerate(series):
+                rows, codes = shards_of(values, vantages, half)
+                columns = [pa.array(codes), pa.array(np.full(len(rows), half, np.int32))]
+                columns.append(pa.array(values[rows].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "half", "fingerprint"])
+
+    dealt = nodes.select("fingerprint").mapInArrow(deal, "shard long, half int, fingerprint long")
+    return _bounded(kept(dealt, "shards"), radius)
+
+
+def _bounded(dealt: DataFrame, radius: int) -> DataFrame:
+    """Shards of at most MOST_NODES nodes.
+
+    A larger one is split in two at a vantage point from a sample of its own, again
+    and again. If no point cuts it, as in a dense crowd, it is dealt into pieces by hash, and
+    each pair of pieces becomes a shard. All of it is done for all large shards at once.
+    """
+    most, sampled, ready = MOST_NODES, SAMPLE, []
+
+    def choose(table: pa.Table) -> pa.Table:
+        sample = np.sort(table.column("fingerprint").to_numpy()).view(np.uint64)
+        metrics = [halves(radius)[table.column("half")[0].as_py()], ((1 << 64) - 1, radius)]
+        vantage = choose_vantages(sample, 1, metrics)[0]
+        d = vantage.distances(sample)
+        larger = max((d <= vantage.border).mean(), (d > vantage.border - vantage.radius).mean())
+        pieces = 0 if larger < 0.8 else math.ceil(4 * table.column("nodes")[0].as_py() / most)
+        signed = np.array([vantage.point, vantage.mask], np.uint64).view(np.int64).tolist()
+        row = [table.column("shard")[0].as_py(), *signed, vantage.border, vantage.border - vantage.radius, pieces]
+        return pa.table({name: [value] for name, value in zip(_SPLIT, row)})
+
+    while True:
+        sizes = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("nodes")).filter(F.col("nodes") > most)
+        large = kept(sizes, "large-shards")
+        if large.isEmpty():
+            break
+        ready.append(dealt.join(large, "shard", "left_anti"))
+        crowded = dealt.join(large, "shard")
+        drawn = crowded.filter(uniform("fingerprint", "shard") < sampled / F.col("nodes"))
+        splits = kept(drawn.groupBy("shard").applyInArrow(choose, ", ".join(f"{n} long" for n in _SPLIT)), "splits")
+        cut = kept(dealt.join(splits, "shard"), "crowded")
+        piece = F.pmod(F.xxhash64("fingerprint", F.lit(7)), "pieces")
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other")
+        pairs = cut.filter("pieces > 0").select("*", piece.alias("piece"), other).filter("piece <> other")
+        number = F.xxhash64("shard", F.least("piece", "other"), F.greatest("piece", "other"))
+        ready.append(pairs.select(number.alias("shard"), "half", "fingerprint"))
+        away = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("point")).bitwiseAND(F.col("mask")))
+        sides = F.array(F.when(away <= F.col("inside"), 0), F.when(away > F.col("outside"), 1))
+        split = cut.filter("pieces = 0").withColumn("side", F.explode(F.array_compact(sides)))
+        number = F.xxhash64("shard", "side", "point", "mask")
+        dealt = kept(split.select(number.alias("shard"), "half", "fingerprint"), "shards")
+    for part in ready:
+        dealt = dealt.unionByName(part)
+    return dealt.select("shard", "fingerprint")
+
+
+_SPLIT = ["shard", "point", "mask", "inside", "outside", "pieces"]
+
+
+def near_links(nodes: DataFrame, count: int, radius: int = RADIUS) -> DataFrame:
+    """``(u, v)``: trees over the nodes that link, with ``v`` the smaller end; ``nodes``
+    has distinct fingerprints."""
 
     def link(table: pa.Table) -> pa.Table:
-        values = np.sort(table.column("fingerprint").to_numpy())
+        values = np.unique(table.column("fingerprint").to_numpy())
         first = link_nodes(values.view(np.uint64), radius)
         linked = first != np.arange(len(values))
         return pa.table({"u": values[linked], "v": values[first[linked]]})
 
-    dealt = nodes.select("fingerprint").mapInArrow(deal, "shard long, fingerprint long")
+    dealt = dealt_nodes(nodes, count, radius)
     return dealt.groupBy("shard").applyInArrow(link, "u long, v long")
 
 
