@@ -14,7 +14,7 @@ import numpy as np  # noqa: E402
 import xxhash  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from weft.llm import simhash  # noqa: E402
+from weft.llm import exact, simhash  # noqa: E402
 from weft.llm.exact import drop_exact_copies, exact_groups, update_state  # noqa: E402
 from weft.llm.queries import ORACLES, QUERIES  # noqa: E402
 from weft.llm.simhash import (  # noqa: E402
@@ -57,9 +57,11 @@ def space(text):
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
 
 
+@pytest.mark.parametrize("sent", [0, 1000])
 @pytest.mark.parametrize("weak", [False, True])
-def test_exact_groups_of_edge_rows(edge, weak):
+def test_exact_groups_of_edge_rows(edge, monkeypatch, weak, sent):
     """A weak digest puts different texts under one state; their bytes part them."""
+    monkeypatch.setattr(exact, "HITS_SENT", sent)
     options = {"digest": lambda text: F.length(text) % 3} if weak else {}
     rows = exact_groups(edge, **options).collect()
     groups = {}

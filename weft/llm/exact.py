@@ -20,6 +20,9 @@ from weft.sources.scratch import scratch_path
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Digests that are sent to all executors at most, some tens of megabytes.
+HITS_SENT = 250_000
+
 
 def normalised(text: str) -> Column:
     """The text with each run of white space as one blank; null is empty."""
@@ -132,11 +135,16 @@ def _decided(df, id, text, place, digest) -> DataFrame:
     marks.write.parquet(path)
     arrivals = spark.read.schema(marks.schema).parquet(path)
     state = kept(update_state(path, scratch_path(spark, "state"), arrivals), "state")
-    # Full bytes of the hits, which are met by their places, so that no group of copies
-    # gathers in a task: the extremes of a group combine before they move. Different
-    # texts of one digest are told apart by their bytes; with SHA-256 there are none.
-    hits = arrivals.join(state.filter("_size > 1"), "_digest").select("_place", "_digest")
-    texts = rows.select("_place", "_text").join(hits, "_place")
+    # Full bytes of the hits. No group of copies gathers in a task, as the extremes of a
+    # group combine before they move. Different texts of one digest are told apart by their
+    # bytes; with SHA-256 there are none. Few digests of hits go to the rows; many would be
+    # too much for an executor, so then the hits meet their rows by place.
+    hit = state.filter("_size > 1").select("_digest")
+    if hit.count() <= HITS_SENT:
+        texts = rows.join(F.broadcast(hit), "_digest", "left_semi")
+    else:
+        hits = arrivals.join(hit, "_digest").select("_place", "_digest")
+        texts = rows.select("_place", "_text").join(hits, "_place")
     extremes = texts.groupBy("_digest").agg(F.min("_text").alias("_low"), F.max("_text").alias("_high"))
     mixed = kept(extremes.filter("_low <> _high").select("_digest"), "mixed")
     sha = F.lower(F.hex("_digest")) if digest is sha256 else F.col("_sha")
