@@ -12,6 +12,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from weft.llm import ann  # noqa: E402
 from weft.llm.ann import nearest_neighbours, scan_list  # noqa: E402
+from weft.llm.common import kept  # noqa: E402
 from weft.llm.queries import op6_neighbours  # noqa: E402
 from weft.llm.warc import _ranges, parse_record, payload_digest, read_warc, record, write_warc  # noqa: E402
 from weft.sources.scratch import scratch_path  # noqa: E402
@@ -92,6 +93,41 @@ def test_neighbours_of_edge_rows(spark):
     assert nearest_neighbours(df.filter("vec_id = 0"), F.col("vec_id") >= 0).count() == 0
 
 
+def test_each_dimension_has_its_own_neighbours(spark):
+    """Also where one has a row more than another; an id in both asks with its least vector."""
+    rng = np.random.default_rng(2)
+    sizes = {3: 41, 5: 40, 8: 1}
+    rows, at = [], 0
+    for d, n in sizes.items():
+        rows += [(at + i, rng.normal(size=d).tolist()) for i in range(n)]
+        at += n
+    rows.append((0, [9.0] * 5))  # beside the vector of id 0 with three components
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = {}
+    for r in nearest_neighbours(df, F.col("vec_id") % 2 == 0, probes=10_000).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    for d in sizes:
+        same = [(i, v) for i, v in rows if len(v) == d]
+        asked = [i for i, v in same if i % 2 == 0 and v == min(w for j, w in rows if j == i)]
+        want = brute(np.array([i for i, _ in same]), np.array([v for _, v in same]), asked, 5)
+        for q, pairs in want.items():
+            assert found.pop(q, []) == [i for i, _ in pairs]
+    assert not found
+
+
+def test_a_row_repeated_often_is_many_pieces(spark, monkeypatch):
+    """All rows have one id but for two, so a piece by id would hold a whole list."""
+    monkeypatch.setattr(ann, "PIECE", 16)
+    written = {}
+    monkeypatch.setattr(ann, "kept", lambda df, label: written.setdefault(label, kept(df, label)))
+    rows = [(7, [1.0, 2.0])] * 200 + [(8, [1.0, 2.1]), (50, [2.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    found = nearest_neighbours(df, F.col("vec_id") % 50 == 0, probes=10_000).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [7, 7, 7, 7, 7]
+    turns = written["ann-index"].groupBy(F.pmod("_turn", F.lit(202 // 16 + 1))).count()
+    assert turns.agg(F.max("count")).first()[0] <= 16
+
+
 PAGES = [
     (3, "http://a/3", "<p>same</p>"),
     (1, "http://a/1", "<p>same</p>"),

@@ -10,6 +10,7 @@ than chance allows. Those that remain are scored exactly on the original vectors
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,19 +46,13 @@ class Lists:
         return np.argsort(-(rotated @ self.centroids.T), axis=1, kind="stable")[:, :count]
 
 
-def usable_vectors(df: DataFrame, id: str, vector: str) -> tuple[DataFrame, int]:
-    """``(_id, _v)`` of the rows that take part, and the dimension.
-
-    An id, and a vector without null and non-finite components, not all zero. Of
-    several dimensions the commonest takes part (ties: the largest).
-    """
+def usable_vectors(df: DataFrame, id: str, vector: str) -> DataFrame:
+    """``(_id, _v)`` of the rows that take part: an id, and a vector without null and
+    non-finite components, not all zero."""
     sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = df.filter(F.col(id).isNotNull() & F.col(vector).isNotNull() & sound)
     rows = rows.filter(F.exists(vector, lambda x: x != 0))
-    rows = rows.select(F.col(id).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
-    sizes = rows.groupBy(F.size("_v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    dimension = sizes["d"] if sizes else 0
-    return rows.filter(F.size("_v") == dimension), dimension
+    return rows.select(F.col(id).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
@@ -181,24 +176,47 @@ def nearest_neighbours(
     all of them come. Rows with a null id and vectors that are null, zero, or hold
     null or non-finite components take no part (see :func:`usable_vectors`); a query
     id that is repeated asks once, with the least of its vectors; repeated candidates are
-    candidates each. An empty
+    candidates each. A vector has its neighbours among those of its own dimension; each
+    dimension is a search of its own, of which a table is expected to need few. An empty
     table gives no rows; other columns are left out. ``probes`` overrides the number
     of lists per query.
 
     A list of many rows is cut into pieces and many queries of one list into blocks,
-    which meet pairwise, so no task gets a whole list.
+    which meet pairwise, so no task gets a whole list, however often a row is repeated.
+    """
+    rows = usable_vectors(df, id, vector)
+    asked = rows.withColumnRenamed("_id", id).filter(is_query).withColumnRenamed(id, "_id")
+    asked = asked.groupBy(F.col("_id").cast("long").alias("_id")).agg(F.min("_v").alias("_v"))
+    size = F.size("_v")
+    dimensions = sorted(r["d"] for r in rows.select(size.alias("d")).distinct().collect())
+    # An empty table is searched too, for a result of the same columns.
+    parts = [
+        _search(rows.filter(size == d), asked.filter(size == d), d, k, probes) for d in dimensions or [0]
+    ]
+    found = functools.reduce(DataFrame.unionByName, parts)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "_found")
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.col("_found").alias(id), "score")
+
+
+def _search(rows: DataFrame, asked: DataFrame, dimension: int, k: int, probes: int | None) -> DataFrame:
+    """``(query_id, _found, score)``: from each piece of a list the k best of each query.
+
+    ``rows`` and ``asked`` hold ``(_id, _v)`` of one dimension, ``asked`` each id once.
     """
-    rows, dimension = usable_vectors(df, id, vector)
     lists = fit_lists(rows, dimension, k)
     number = len(lists.centroids)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             owner = lists.nearest(lists.rotated(_matrix(batch.column(1), dimension)), 1)[:, 0]
-            columns = [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(owner.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["_id", "_v", "_list"])
+            turn = np.arange(seen, seen + batch.num_rows)
+            seen += batch.num_rows
+            columns = [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(owner.astype(np.int32)), pa.array(turn)]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "_v", "_list", "_turn"])
 
-    index = kept(rows.mapInArrow(assign, "_id long, _v array<double>, _list int"), "ann-index")
+    index = kept(rows.mapInArrow(assign, "_id long, _v array<double>, _list int, _turn long"), "ann-index")
     per_list = index.groupBy("_list").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_id").alias("ids"))
     lists_of = {r["_list"]: r for r in per_list.collect()}  # at most MOST_LISTS
     sizes = {i: r["n"] for i, r in lists_of.items()}
@@ -219,8 +237,6 @@ def nearest_neighbours(
                 columns = [batch.column(0).take(taken), batch.column(1).take(taken), number_of]
                 yield pa.RecordBatch.from_arrays(columns, ["_id", "_v", "_list"])
 
-    asked = index.withColumnRenamed("_id", id).filter(is_query).withColumnRenamed(id, "_id")
-    asked = asked.groupBy("_id").agg(F.min("_v").alias("_v"))
     asked = kept(asked.mapInArrow(probe, "_id long, _v array<double>, _list int"), "ann-queries")
     wanted = {r["_list"]: r["n"] for r in asked.groupBy("_list").agg(F.count(F.lit(1)).alias("n")).collect()}
 
@@ -231,11 +247,10 @@ def nearest_neighbours(
         return F.lit(1) if table is None else F.coalesce(table[F.col("_list")], F.lit(1))
 
     pieces, blocks = parts(sizes, PIECE), parts(wanted, QUERY_BLOCK)
-    own = F.xxhash64("_id")
     cells = ["_list", "_piece", "_block"]
-    left = asked.withColumn("_block", F.pmod(own, blocks).cast("int"))
+    left = asked.withColumn("_block", F.pmod(F.xxhash64("_id"), blocks).cast("int"))
     left = left.withColumn("_piece", F.explode(F.sequence(F.lit(0), (pieces - 1).cast("int"))))
-    right = index.withColumn("_piece", F.pmod(own, pieces).cast("int"))
+    right = index.withColumn("_piece", F.pmod("_turn", pieces).cast("int")).drop("_turn")
     right = right.withColumn("_block", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
 
     def scan(queries: pa.Table, vectors: pa.Table) -> pa.Table:
@@ -256,7 +271,4 @@ def nearest_neighbours(
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], ["query_id", "_found", "score"])
 
     both = left.groupBy(*cells).cogroup(right.groupBy(*cells))
-    found = both.applyInArrow(scan, "query_id long, _found long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "_found")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("_found").alias(id), "score")
+    return both.applyInArrow(scan, "query_id long, _found long, score double")
