@@ -1,5 +1,8 @@
 import random
+from decimal import Context, Decimal
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -87,6 +90,47 @@ def test_running_totals_go_on_over_batches_and_ranges(spark):
         ordering.running_totals(wide, [], ["id"], "w").collect()
 
 
+@pytest.mark.parametrize("kind", ["double", "small", "large"])
+def test_sums_of_a_batch_equal_a_plain_loop(kind):
+    """Runs of all lengths, some going on from the batch before; doubles to the last bit."""
+    rng = random.Random(5)
+    types = {"double": pa.float64(), "small": pa.decimal128(22, 2), "large": pa.decimal128(38, 0)}
+    make = {
+        "double": lambda: rng.choice([0.1, -0.0, 1e17, -3.3, float("inf"), 2.5e-9]) if rng.random() < 0.1 else rng.random(),
+        "small": lambda: Decimal(rng.randint(-(10**12), 10**12)).scaleb(-2),
+        "large": lambda: Decimal(rng.randint(10**30, 10**31)),
+    }[kind]
+    context = Context(prec=76)
+    for trial in range(60):
+        values = [make() for _ in range(rng.randint(1, 400))]
+        starts = [i for i in range(len(values)) if rng.random() < rng.choice([0.01, 0.5])]
+        held = pa.scalar(make(), types[kind]) if trial % 2 else None
+        if held is None and 0 not in starts:
+            starts = [0, *starts]
+        batch = pa.array([make(), *values], types[kind])[1:]
+        end, before = ordering._sums(batch, np.array(starts, np.int64), held)
+        total, want = (held.as_py() if held is not None else None), []
+        for i, value in enumerate(batch.to_pylist()):
+            total = type(value)(0) if i in starts else total
+            add = total + value if kind == "double" else context.add(total, value)
+            want.append((total, add))
+            total = add
+        assert before.type == end.type == types[kind]
+        assert [(repr(a), repr(b)) for a, b in zip(before.to_pylist(), end.to_pylist())] == [
+            (repr(a), repr(b)) for a, b in zip(*(pa.array(c, types[kind]).to_pylist() for c in zip(*want)))
+        ]
+
+
+def test_running_totals_of_large_decimals(spark):
+    """Beyond 28 digits too every digit counts; too many digits are an error."""
+    rows = spark.range(40).select("id", F.expr("cast('1000000000000000000000000000000000001' as decimal(38,0)) as w"))
+    found = ordering.running_totals(rows, [], ["id"], "w").orderBy("id").collect()
+    assert [int(r["start"]) for r in found] == [i * (10**36 + 1) for i in range(40)]
+    wide = rows.withColumn("w", F.expr("cast(repeat('9', 38) as decimal(38,0))"))
+    with pytest.raises(Exception):
+        ordering.running_totals(wide, [], ["id"], "w").collect()
+
+
 def test_running_totals_exchange_rows_once(spark):
     from weft.sources import scratch
 

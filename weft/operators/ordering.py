@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Iterator
+from decimal import Decimal, localcontext
 from itertools import accumulate
 
 import numpy as np
@@ -19,6 +20,7 @@ from weft.operators.names import fresh
 from weft.sources.scratch import stored
 
 SKETCH = 4096  # size of the sketches that bracket exact quantiles
+LONG_RUN = 64  # rows of a key in a batch that are summed apart from other keys
 SLACK = 0.003  # of a rank; some twice the error of such a sketch
 
 
@@ -169,34 +171,83 @@ def with_position(
 def _sums(w: pa.Array, starts: np.ndarray, held) -> tuple[pa.Array, pa.Array]:
     """Running sums with and without the row itself; each run of rows begins at one
     of ``starts``, but a first run without a start goes on from ``held``."""
-    n = len(w)
+    goes_on = held is not None and not (len(starts) and starts[0] == 0)
     if pa.types.is_integer(w.type):
-        values = w.to_numpy()
-        carry = 0 if held is None or (len(starts) and starts[0] == 0) else held.as_py()
-        if abs(float(carry)) + np.abs(values.astype(float)).sum() >= 2**63:
+        sums = _long_sums(w.to_numpy(), starts, held.as_py() if goes_on else 0)
+        if sums is None:
             raise OverflowError("a running total leaves the range of long")
-        before = np.cumsum(values) - values
-        bases = np.zeros(n, np.int64)
-        if len(starts):
-            lengths = np.diff(np.r_[starts, n])
-            bases[starts[0] :] = np.repeat(before[starts], lengths)
-            bases[: starts[0]] = -carry
-        else:
-            bases[:] = -carry
-        before = before - bases
-        return pa.array(before + values), pa.array(before)
-    values = w.to_pylist()
-    end, before = [], []
-    for low, high in zip([0, *starts], [*starts, n]):
-        if low < high:
-            carry = held.as_py() if low == 0 and not (len(starts) and starts[0] == 0) else None
-            start = type(values[low])(0) if carry is None else carry
-            sums = list(accumulate(values[low:high], initial=start))
-            before += sums[:-1]
-            end += sums[1:]
+        return pa.array(sums[0]), pa.array(sums[1])
+    if pa.types.is_floating(w.type):
+        sums = _double_sums(w.to_numpy(), starts, held.as_py() if goes_on else 0.0)
+        return pa.array(sums[0]), pa.array(sums[1])
+    carry = held.as_py() if goes_on else Decimal(0)
+    units, carried = _units(w), _units(pa.array([carry], w.type))
+    sums = None if units is None or carried is None else _long_sums(units, starts, int(carried[0]))
+    if sums is not None:
+        return _from_units(sums[0], w.type), _from_units(sums[1], w.type)
+    values, end, before = w.to_pylist(), [], []
+    with localcontext(prec=76):  # exact for any two decimals of 38 digits
+        for low, high in zip([0, *starts], [*starts, len(w)]):
+            if low < high:
+                sums = list(accumulate(values[low:high], initial=Decimal(0) if low else carry))
+                before += sums[:-1]
+                end += sums[1:]
     return pa.array(end, w.type), pa.array(before, w.type)
 
 
+def _long_sums(values: np.ndarray, starts: np.ndarray, carry: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """``_sums`` of longs; nothing if a sum could leave their range."""
+    if abs(float(carry)) + np.abs(values.astype(float)).sum() >= 2**63:
+        return None
+    n = len(values)
+    before = np.cumsum(values) - values
+    bases = np.full(n, -carry, np.int64)
+    if len(starts):
+        bases[starts[0] :] = np.repeat(before[starts], np.diff(np.r_[starts, n]))
+    before = before - bases
+    return before + values, before
+
+
+def _double_sums(values: np.ndarray, starts: np.ndarray, carry: float) -> tuple[np.ndarray, np.ndarray]:
+    """``_sums`` of doubles, rounded as if each run were added up row by row.
+
+    Long runs are summed one after the other, all short ones together, row by row.
+    """
+    lows = starts if len(starts) and starts[0] == 0 else np.r_[0, starts].astype(np.int64)
+    lengths, totals = np.diff(np.r_[lows, len(values)]), np.zeros(len(lows))
+    totals[:1] = carry
+    before, end = np.empty(len(values)), np.empty(len(values))
+    long = lengths > LONG_RUN
+    with np.errstate(invalid="ignore", over="ignore"):  # infinities are summed like others
+        for low, length, total in zip(lows[long], lengths[long], totals[long]):
+            sums = np.cumsum(np.r_[total, values[low : low + length]])
+            before[low : low + length], end[low : low + length] = sums[:-1], sums[1:]
+        lows, lengths, totals = lows[~long], lengths[~long], totals[~long]
+        for step in range(lengths.max(initial=0)):
+            more = lengths > step
+            lows, lengths, totals = lows[more], lengths[more], totals[more]
+            before[lows + step] = totals
+            totals = totals + values[lows + step]
+            end[lows + step] = totals
+    return end, before
+
+
+def _units(column: pa.Array) -> np.ndarray | None:
+    """Decimals as longs that count units of the last place; nothing if one is too large."""
+    if not pa.types.is_decimal128(column.type):
+        return None
+    halves = np.frombuffer(column.buffers()[1], np.int64).reshape(-1, 2)
+    low, high = halves[column.offset : column.offset + len(column)].T
+    return low if np.array_equal(high, low >> 63) else None
+
+
+def _from_units(units: np.ndarray, kind: pa.DataType) -> pa.Array:
+    halves = np.stack([units, units >> 63], axis=1)
+    made = pa.Array.from_buffers(kind, len(units), [None, pa.py_buffer(np.ascontiguousarray(halves))])
+    made.validate(full=True)  # raises if a sum has too many digits
+    return made
+
+
 def explode_range(df: DataFrame, low: Column, high: Column, name: str) -> DataFrame:
     """One row per integer from ``low`` to ``high``, both included.
 
